@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -43,6 +44,10 @@ HEAVY = 20_000
 #: At most so many values are that heavy: they hold HEAVY_SHARE of all fingerprints or more.
 HEAVY_SHARE = 1e-5
 COST_SIGNATURE, COST_CANDIDATE = 1.0, 0.2
+#: Of near_copies: shingle width, radius over the distinct words' fingerprint, and how many of the 256 checking bits may
+#: differ.  At a similarity of 0.8 of five-word shingles 39 do on average, with a standard deviation of 6.
+SKETCH_SHINGLE, SKETCH_RADIUS, SKETCH_DIFFER = 5, 6, 48
+CHECK = ["v0", "v1", "v2", "v3"]
 
 _P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 U = np.uint64
@@ -120,7 +125,18 @@ def majority(h: np.ndarray, border: np.ndarray) -> np.ndarray:
     return out
 
 
+def _shingles(wb: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last word of every shingle, repeats included, and the borders of
+    the rows; a row of fewer words is one shingle, one without words none."""
+    n_words = np.diff(wb)
+    count = np.where(n_words >= width, n_words - width + 1, np.minimum(n_words, 1))
+    sb = np.concatenate([[0], np.cumsum(count)])
+    first = np.repeat(wb[:-1], count) + np.arange(sb[-1]) - np.repeat(sb[:-1], count)
+    return first, first + np.repeat(np.minimum(n_words, width), count) - 1, sb
+
+
 def fingerprint_chunk(c: ts.Chunk) -> np.ndarray:
+    """The contract's fingerprints: majority over XXH64 of the shingles' bytes."""
     start, end, wb = ts.words(c)
     if not len(start):
         return np.zeros(c.n, np.uint64)
@@ -131,25 +147,53 @@ def fingerprint_chunk(c: ts.Chunk) -> np.ndarray:
     keep[to[1:] - 1] = True
     flat = np.full(int(to[-1]), 0x20, np.uint8)
     flat[~keep] = ts.LOWER[c.data[ts.NOT_SPACE[c.data]]]
-    n_words = np.diff(wb)
-    count = np.where(n_words >= SHINGLE, n_words - SHINGLE + 1, np.minimum(n_words, 1))
-    sb = np.concatenate([[0], np.cumsum(count)])
-    first = np.repeat(wb[:-1], count) + np.arange(sb[-1]) - np.repeat(sb[:-1], count)
-    last = first + np.repeat(np.minimum(n_words, SHINGLE), count) - 1
+    first, last, sb = _shingles(wb, SHINGLE)
     return majority(xxh64(flat, to[first], to[last] + size[last] - to[first]), sb)
 
 
-def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        got = [fingerprint_chunk(c) for c in ts.chunks(b)]
-        if got:
-            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "fp": pa.array(np.concatenate(got).view(np.int64))})
+def sketch_chunk(c: ts.Chunk) -> np.ndarray:
+    """Five words of bits a row: the majority over the distinct words, which near
+    copies hardly change, and 256 bits over the five-word shingles, from which
+    their similarity is told."""
+    c = ts.Chunk(c.first, c.n, ts.LOWER[c.data], c.border)
+    start, end, wb = ts.words(c)
+    out = np.zeros((c.n, 5), np.uint64)
+    if not len(start):
+        return out
+    h = ts.range_hashes(c.data, start, end)
+    row = ts.row_of(wb)
+    order = np.lexsort((h, row))
+    hs, rs = h[order], row[order]
+    new = np.concatenate([[True], (hs[1:] != hs[:-1]) | (rs[1:] != rs[:-1])])
+    out[:, 0] = majority(hs[new], np.searchsorted(rs[new], np.arange(c.n + 1)))
+    first, last, sb = _shingles(wb, SKETCH_SHINGLE)
+    k = np.zeros(len(first), np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(SKETCH_SHINGLE):
+            k = np.where(first + i <= last, ts.mix(k + h[np.minimum(first + i, len(h) - 1)]), k)
+        for i in range(4):
+            out[:, i + 1] = majority(ts.mix(k + U((i + 1) * 0xD1B54A32D192ED03 % (1 << 64))), sb)
+    return out
+
+
+def _fingerprints(sketch: bool):
+    names = ["fp", *CHECK] if sketch else ["fp"]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [sketch_chunk(c) if sketch else fingerprint_chunk(c)[:, None] for c in ts.chunks(b)]
+            if got:
+                bits = np.concatenate(got).view(np.int64)
+                yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), **{x: pa.array(bits[:, i].copy()) for i, x in enumerate(names)}})
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and the fingerprint (as a signed long) of every whole text; null counts as empty."""
+    return run
+
+
+def fingerprints(docs: DataFrame, sketch: bool = False) -> DataFrame:
+    """doc_id and the fingerprint (as a signed long) of every whole text; null counts as empty.
+    With sketch, that of sketch_chunk and its checking bits."""
     d = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return d.mapInArrow(_fingerprints, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, fp long")
+    return d.mapInArrow(_fingerprints(sketch), f"doc_id {d.schema['doc_id'].dataType.simpleString()}, fp long" + "".join(f", {x} long" for x in CHECK) * sketch)
 
 
 # ---------------------------------------------------------------- partitions
@@ -197,10 +241,8 @@ def gather(fp: np.ndarray, bits: list[int]) -> np.ndarray:
 
 
 def flips(width: int, t: int) -> np.ndarray:
-    """Masks of one to t bits."""
-    from itertools import combinations
-
-    return np.array([sum(1 << b for b in c) for k in range(1, t + 1) for c in combinations(range(width), k)], np.uint64)
+    """Masks of exactly t bits."""
+    return np.array([sum(1 << b for b in c) for c in combinations(range(width), t)], np.uint64)
 
 
 def collision(co: np.ndarray, bits: list[int]) -> float:
@@ -264,7 +306,7 @@ class Probe:
 
     def __init__(self, groups: list[list[int]], radius: int, light: list[float], heavy: dict[int, dict[int, int]]) -> None:
         self.groups, self.radius, self.light = groups, radius, light
-        self.values = [np.array(sorted(heavy.get(i, {})), np.uint64) for i in range(len(groups))]
+        self.values = [np.array(sorted(heavy.get(i, {})), np.int64).view(np.uint64) for i in range(len(groups))]
         self.counts = [np.array([heavy[i][v] for v in sorted(heavy.get(i, {}))], float) for i in range(len(groups))]
 
     def _heavy(self, i: int, v: np.ndarray) -> np.ndarray:
@@ -275,7 +317,7 @@ class Probe:
         return np.where(self.values[i][at] == v, self.counts[i][at], 0.0)
 
     def keys(self, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(key, fingerprint) rows."""
+        """(key, number of the fingerprint) rows."""
         m = len(self.groups)
         budget = self.radius - m + 1
         top = max(0, budget + 1)
@@ -293,122 +335,151 @@ class Probe:
             est.append(e)
         t = allocate(est, [len(g) for g in self.groups], budget, top)
         keys, rows = [], []
+
+        def file(i: int, value: np.ndarray, who: np.ndarray) -> None:
+            hot = self._heavy(i, value) > 0
+            base = ts.mix(value + U((i + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
+            keys.append(base[~hot])
+            rows.append(who[~hot])
+            if hot.any():
+                others = sorted(set(range(64)) - set(self.groups[i]))
+                for j in range(self.radius + 1):
+                    sub = gather(fp[who[hot]], others[j :: self.radius + 1])
+                    keys.append(ts.mix(base[hot] + ts.mix(sub + U(j + 101))))
+                    rows.append(who[hot])
+
+        everyone = np.arange(len(fp))
         for i, v in enumerate(parts):
-            for value, who in [(v, fp), *((v[on] ^ x, fp[on]) for s in range(1, top + 1) if (on := np.flatnonzero(t[:, i] >= s)).size for x in flips(len(self.groups[i]), s)[len(flips(len(self.groups[i]), s - 1)) if s > 1 else 0 :])]:
-                hot = self._heavy(i, value) > 0
-                base = ts.mix(value + U((i + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
-                keys.append(base[~hot])
-                rows.append(who[~hot])
-                if hot.any():
-                    others = sorted(set(range(64)) - set(self.groups[i]))
-                    for j in range(self.radius + 1):
-                        sub = gather(who[hot], others[j :: self.radius + 1])
-                        keys.append(ts.mix(base[hot] + ts.mix(sub + U(j + 101))))
-                        rows.append(who[hot])
+            file(i, v, everyone)
+            for s in range(1, top + 1):
+                on = np.flatnonzero(t[:, i] >= s)
+                if len(on):
+                    for x in flips(len(self.groups[i]), s):
+                        file(i, v[on] ^ x, on)
         return np.concatenate(keys), np.concatenate(rows)
 
 
 # ---------------------------------------------------------------- verification
 
 
-def forest(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of a spanning forest of the links among these fingerprints.
+class Near:
+    """Whether two nodes are linked: their bits (rows of 64-bit words, the fingerprint
+    first) differ in ``radius`` bits of the first and ``differ`` of the others at most."""
+
+    def __init__(self, radius: int, differ: int | None = None) -> None:
+        self.radius, self.differ = radius, differ
+
+    def pairs(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Element by element; the leading dimensions broadcast."""
+        ok = np.bitwise_count(x[..., 0] ^ y[..., 0]) <= self.radius
+        if self.differ is not None and ok.any():
+            more = sum(np.bitwise_count(x[..., i] ^ y[..., i]).astype(np.int16) for i in range(1, x.shape[-1]))
+            ok &= more <= self.differ
+        return ok
+
+
+def forest(bits: np.ndarray, near: Near) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (pairs of row numbers) of a spanning forest of the links among these rows.
 
-    Breadth first: each reached fingerprint meets only those not reached yet,
-    so a group in which most are linked takes little more than one look each.
+    Breadth first: each reached row meets only those not reached yet, so a group
+    in which most are linked takes little more than one look each.
     """
-    left, a, b = fp, [], []
+    left, a, b = np.arange(len(bits)), [], []
     while len(left):
         root, left = left[:1], left[1:]
         front = root
         while len(front) and len(left):
-            head, front = front[:64], front[64:]
+            head, front = front[:16], front[16:]
             hit = np.zeros(len(left), bool)
             for lo in range(0, len(left), 65_536):
-                near = np.bitwise_count(head[:, None] ^ left[None, lo : lo + 65_536]) <= radius
-                hit[lo : lo + near.shape[1]] = near.any(0)
+                some = left[lo : lo + 65_536]
+                hit[lo : lo + len(some)] = near.pairs(bits[head][:, None], bits[some][None]).any(0)
             if hit.any():
                 new = left[hit]
                 a.append(new)
                 b.append(np.broadcast_to(root, len(new)))
                 front = np.concatenate([front, new])
                 left = left[~hit]
-    if not a:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    return np.concatenate(a), np.concatenate(b)
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate(a or none), np.concatenate(b or none)
 
 
-def _edges_of(key: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Forest edges of every run of equal keys."""
+def _edges_of(key: np.ndarray, bits: np.ndarray, near: Near) -> tuple[np.ndarray, np.ndarray]:
+    """Forest edges (row numbers) of every run of equal keys."""
     border = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
     size = np.diff(border)
-    a, b = [], []
-    small = (size > 1) & (size <= 8)
-    is_small = np.repeat(small, size)
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    is_small = np.repeat((size > 1) & (size <= 24), size)
     run = np.repeat(np.arange(len(size)), size)
-    for d in range(1, 8):
-        i = np.flatnonzero(is_small[:-d] & (run[:-d] == run[d:])) if len(fp) > d else np.zeros(0, int)
+    for d in range(1, 24):
+        i = np.flatnonzero(is_small[:-d] & (run[:-d] == run[d:])) if len(key) > d else a[0]
         if not len(i):
             break
-        i = i[np.bitwise_count(fp[i] ^ fp[i + d]) <= radius]
-        a.append(fp[i])
-        b.append(fp[i + d])
-    for k in np.flatnonzero(size > 8):
-        x, y = forest(np.unique(fp[border[k] : border[k + 1]]), radius)
-        a.append(x)
-        b.append(y)
-    x, y = np.concatenate(a or [np.zeros(0, np.uint64)]), np.concatenate(b or [np.zeros(0, np.uint64)])
-    return x[x != y], y[x != y]
-
-
-def _emit(probe: Probe):
+        i = i[near.pairs(bits[i], bits[i + d])]
+        a.append(i)
+        b.append(i + d)
+    for k in np.flatnonzero(size > 24):
+        x, y = forest(bits[border[k] : border[k + 1]], near)
+        a.append(x + border[k])
+        b.append(y + border[k])
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _emit(probe: Probe, names: list[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            fp = pdf["fp"].to_numpy(np.int64).view(np.uint64)
-            for part in np.array_split(fp, max(1, len(fp) // 20_000)):
-                key, who = probe.keys(part)
-                yield pd.DataFrame({"key": key.view(np.int64), "fp": who.view(np.int64)})
+            for lo in range(0, len(pdf), 8192):
+                part = pdf.iloc[lo : lo + 8192]
+                key, who = probe.keys(part["fp"].to_numpy(np.int64).view(np.uint64))
+                yield pd.DataFrame({"key": key.view(np.int64), **{x: part[x].to_numpy()[who] for x in names}})
 
     return run
 
 
-def _verify(radius: int):
+def _verify(near: Near, names: list[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows come sorted by key; the last key of a batch waits for the next one."""
-        key = fp = np.zeros(0, np.uint64)
-        held: list = []
+        held: list[pd.DataFrame] = []
 
-        def out(k: np.ndarray, f: np.ndarray) -> pd.DataFrame:
-            a, b = _edges_of(k, f, radius)
-            e = pd.DataFrame({"a": np.maximum(a.view(np.int64), b.view(np.int64)), "b": np.minimum(a.view(np.int64), b.view(np.int64))})
-            return e.drop_duplicates()
+        def out(pdf: pd.DataFrame) -> pd.DataFrame:
+            bits = np.stack([pdf[x].to_numpy(np.int64) for x in names[1:]], axis=1).view(np.uint64)
+            i, j = _edges_of(pdf["key"].to_numpy(), bits, near)
+            x, y = pdf["first"].to_numpy()[i], pdf["first"].to_numpy()[j]
+            e = pd.DataFrame({"a": np.maximum(x, y), "b": np.minimum(x, y)})
+            return e[e["a"] != e["b"]].drop_duplicates()
 
         for pdf in batches:
-            k, f = pdf["key"].to_numpy(np.int64).view(np.uint64), pdf["fp"].to_numpy(np.int64).view(np.uint64)
-            held.append((k, f))
-            if k[0] == k[-1] and (len(held) == 1 or held[0][0][0] == k[0]):
+            if not len(pdf):
+                continue
+            held.append(pdf)
+            last = pdf["key"].iloc[-1]
+            if held[0]["key"].iloc[0] == last:
                 continue  # one key so far
-            key, fp = (np.concatenate(x) for x in zip(*held, strict=True))
-            cut = int(np.flatnonzero(key != key[-1])[-1]) + 1
-            yield out(key[:cut], fp[:cut])
-            held = [(key[cut:], fp[cut:])]
+            both = pd.concat(held, ignore_index=True)
+            cut = int(both["key"].searchsorted(last))
+            yield out(both.iloc[:cut])
+            held = [both.iloc[cut:]]
         if held:
-            key, fp = (np.concatenate(x) for x in zip(*held, strict=True))
-            yield out(key, fp)
+            yield out(pd.concat(held, ignore_index=True))
 
     return run
 
 
-def links(reps: DataFrame, radius: int = RADIUS, heavy_from: int = HEAVY) -> DataFrame:
-    """(a, b): edges between distinct fingerprints (column fp) whose components are those of all links."""
+def links(reps: DataFrame, near: Near, heavy_from: int = HEAVY) -> DataFrame:
+    """(a, b): edges between nodes, named by column first, whose components are those of all links.
+
+    reps has one row per node: first, fp and, if near.differ is given, the checking bits.
+    """
     spark = reps.sparkSession
+    names = ["first", "fp", *(CHECK if near.differ is not None else [])]
+    reps = reps.select(*names).where("first IS NOT NULL")
     co = np.zeros((65, 65), np.int64)
     for r in reps.select("fp").mapInPandas(_co_counts, "i int, j int, n long").groupBy("i", "j").agg(F.sum("n").alias("n")).collect():  # 2145 numbers
         co[r.i, r.j] = co[r.j, r.i] = r.n
     n = int(co[64, 64])
     if n < 2:
         return spark.createDataFrame([], "a long, b long")
-    groups = bit_groups(co, choose_m(co, radius))
+    groups = bit_groups(co, choose_m(co, near.radius))
     least = max(heavy_from, int(n * HEAVY_SHARE))
 
     def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -421,10 +492,11 @@ def links(reps: DataFrame, radius: int = RADIUS, heavy_from: int = HEAVY) -> Dat
     if n > least:  # else no value can be
         values = reps.select("fp").mapInPandas(parts, "i int, v long").groupBy("i", "v").count()
         for r in values.where(F.col("count") >= least).collect():  # len(groups) / HEAVY_SHARE values at most
-            heavy.setdefault(r.i, {})[int(np.int64(r.v).view(np.uint64))] = r["count"]
-    probe = Probe(groups, radius, [n * collision(co, g) for g in groups], heavy)
-    keyed = reps.select("fp").mapInPandas(_emit(probe), "key long, fp long")
-    return keyed.repartition("key").sortWithinPartitions("key").mapInPandas(_verify(radius), "a long, b long").distinct()
+            heavy.setdefault(r.i, {})[r.v] = r["count"]
+    probe = Probe(groups, near.radius, [n * collision(co, g) for g in groups], heavy)
+    schema = "key long, " + ", ".join(f"{x} long" for x in names)
+    keyed = reps.mapInPandas(_emit(probe, names), schema)
+    return keyed.repartition("key").sortWithinPartitions("key").mapInPandas(_verify(near, names), "a long, b long").distinct()
 
 
 # ---------------------------------------------------------------- components
@@ -456,19 +528,35 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return e.select(F.col("a").alias("node"), F.col("b").alias("root")).union(e.select(F.col("b"), F.col("b"))).distinct()
 
 
+def _classes(fps: DataFrame, near: Near, heavy_from: int) -> DataFrame:
+    """fps with component_id: the least doc_id reachable over links and equal bits."""
+    names = ["fp", *(CHECK if near.differ is not None else [])]
+    fps = common.kept(fps, "fps")
+    reps = common.kept(fps.groupBy(*names).agg(F.min("doc_id").cast("long").alias("first")), "reps")
+    member = components(links(reps, near, heavy_from))
+    label = reps.join(member, reps["first"] == member["node"], "left").select(*[F.col(x).alias(f"_{x}") for x in names], F.coalesce("root", "first").alias("component_id"))
+    on = [F.col(x) == F.col(f"_{x}") for x in names]
+    return fps.join(label, on).drop(*[f"_{x}" for x in names])
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, heavy_from: int = HEAVY) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id: the least doc_id reachable over links.
 
     A null or empty text, or one of white space, has fingerprint zero and is
     linked like any other.  Repeated rows have equal fingerprints and share a
-    component.  An empty table gives no rows.  Only doc_id and text are read.
+    component.  Rows without doc_id take part in none but their own
+    fingerprint's.  An empty table gives no rows.  Only doc_id and text are read.
     """
-    fps = common.kept(fingerprints(docs), "fps")
-    reps = common.kept(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "reps")
-    member = components(links(reps, radius, heavy_from))
-    of = reps.join(member, reps.fp == member.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    of = common.kept(of, "roots")
-    least = of.groupBy("root").agg(F.min("first").alias("component_id"))
-    label = of.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
-    out = fps.join(label, F.col("fp") == F.col("_fp"))
+    out = _classes(fingerprints(docs), Near(radius), heavy_from)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def near_copies(docs: DataFrame, radius: int = SKETCH_RADIUS, differ: int = SKETCH_DIFFER, heavy_from: int = HEAVY) -> DataFrame:
+    """doc_id and component_id, links being pairs alike in 0.8 of their five-word shingles.
+
+    Candidates come from the SimHash of the distinct words within ``radius``
+    bits by the same search; a link is verified on 256 SimHash bits over the
+    five-word shingles, of which ``differ`` may differ.  Texts without words are
+    one class.  Else as near_duplicates().
+    """
+    return _classes(fingerprints(docs, sketch=True), Near(radius, differ), heavy_from).select("doc_id", "component_id")
