@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from winnow.llm import decontaminate, mixing, perplexity, quality, simhash, tokens
+from winnow.llm import decontaminate, mixing, perplexity, quality, secrets, simhash, tokens
 from winnow.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op3_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -32,5 +36,5 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op3_perplexity, op5_decontaminate, op7_token_files, op10_mix)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op3_perplexity, op4_secrets, op5_decontaminate, op7_token_files, op10_mix)}
 ORACLES = {"op10_mix": mixing.ORACLE}
