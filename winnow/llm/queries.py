@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from winnow.llm import decontaminate, mixing, perplexity, quality, secrets, simhash, tokens
+from winnow.llm import decontaminate, mixing, perplexity, pii, quality, secrets, simhash, tokens
 from winnow.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.tokenised(table(spark, sf_dir, "documents"))
 
@@ -36,5 +40,5 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op3_perplexity, op4_secrets, op5_decontaminate, op7_token_files, op10_mix)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op3_perplexity, op4_secrets, op5_decontaminate, op6_pii, op7_token_files, op10_mix)}
 ORACLES = {"op10_mix": mixing.ORACLE}
