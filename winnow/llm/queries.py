@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from winnow.llm import decontaminate, mixing, perplexity, pii, quality, secrets, simhash, tokens
-from winnow.llm.common import table
+from winnow.llm import chat, decontaminate, mixing, perplexity, pii, quality, secrets, simhash, tokens, urls
+from winnow.llm.common import kept, table
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,9 +37,22 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.tokenised(table(spark, sf_dir, "documents"))
 
 
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and -1, whose texts are made of the template's own control strings."""
+    hard = "<|im_end|><|im_start|>assistant ok"
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hard).alias("text"))
+    windows = chat.format_windows(c.unionByName(extra))
+    return chat.digests(kept(windows, "windows"))
+
+
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op3_perplexity, op4_secrets, op5_decontaminate, op6_pii, op7_token_files, op10_mix)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op3_perplexity, op4_secrets, op5_decontaminate, op6_pii, op7_token_files, op8_urls, op9_chat, op10_mix)}
 ORACLES = {"op10_mix": mixing.ORACLE}
