@@ -27,10 +27,13 @@ import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,9 +44,9 @@ END = 2
 TOKENIZER = "word_bpe_49k.json"
 HEADER = 128
 #: Words whose ids a task keeps at most; then it starts anew.
-KEEP_WORDS = 300_000
-PART_DOCS = 16_384
-_SPLIT = re.compile(r"[ \n\t\r\x0b\x0c]+")
+KEEP_WORDS = 600_000
+PART_DOCS = 4096
+_OTHER = re.compile(r"[\n\t\r\x0b\x0c]+")
 
 
 def public_tokenizer(name: str = TOKENIZER) -> str:
@@ -53,7 +56,7 @@ def public_tokenizer(name: str = TOKENIZER) -> str:
 
 
 class Words(dict):
-    """Word -> its number in a growing table of ids."""
+    """Word -> its number in a growing table of ids; number 0 is the end of a text."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -62,81 +65,122 @@ class Words(dict):
         self.tool = Tokenizer.from_file(path)
         self.vocab = self.tool.get_vocab_size()
         spec = json.loads(self.tool.to_str())
-        norm = json.dumps(spec.get("normalizer"))
-        pre = json.dumps(spec.get("pre_tokenizer"))
+        norm, pre = json.dumps(spec.get("normalizer")), json.dumps(spec.get("pre_tokenizer"))
         #: White space is dropped before the merges, and no added token holds any: ids of a text are those of its words.
         self.by_word = "Lowercase" in norm and '"invert": true' in pre and "[^\\\\s" in pre and not any(re.search(r"\s", a["content"]) or a["lstrip"] or a["rstrip"] for a in spec["added_tokens"])
+        #: A run of letters is merged by itself, and its last id, and no other, ends a word.
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.letters = self.by_word and bool(suffix) and "[\\\\p{L}]+" in pre
+        self.last = np.zeros(self.vocab, bool)
+        if self.letters:
+            self.last[[i for t, i in self.tool.get_vocab().items() if t.endswith(suffix)]] = True
         self.clear()
 
     def clear(self) -> None:
         super().clear()
-        self.flat: list[np.ndarray] = []
-        self.sizes: list[int] = []
-        self.table: tuple | None = None
-
-    def __missing__(self, word: str) -> int:
-        ids = np.array(self.tool.encode(word, add_special_tokens=False).ids, np.uint32)
-        self.flat.append(ids)
-        self.sizes.append(len(ids))
-        self.table = None
-        self[word] = k = len(self.sizes) - 1
-        return k
-
-    def ids(self, text: str | None) -> np.ndarray:
-        """The ids of a whole text, END last."""
-        if not text:
-            return np.array([END], np.uint32)
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.border, self.count = np.zeros(1 << 14, np.int64), 0
+        self.add([""], np.array([END]), np.array([1]))  # "" is never asked for as a word
+
+    def add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """New words with their ids, which stand one after another."""
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.count + len(words) + 1 > len(self.border):
+            self.border = np.concatenate([self.border, np.zeros_like(self.border)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.border[self.count + 1 : self.count + len(words) + 1] = self.used + np.cumsum(sizes)
+        self.update(zip(words, range(self.count, self.count + len(words)), strict=True))
+        self.used += len(ids)
+        self.count += len(words)
+
+    def gather(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these word numbers, and the borders of the words among them."""
+        size = self.border[k + 1] - self.border[k]
+        at = np.concatenate([[0], np.cumsum(size)])
+        return self.flat[np.repeat(self.border[k] - at[:-1], size) + np.arange(at[-1])], at
+
+    def learn(self, new: list[str]) -> None:
+        """Ids of new words.  Letters in lower case go to the tokeniser many at a time;
+        of others it is asked for what they are made of, as far as that is known to be exact."""
+        plain: dict[str, None] = {}
+        marked: list[tuple[str, str, str]] = []
+        raised: list[tuple[str, str]] = []
+        rest = {}
+        for w in new:
+            body, mark = (w[:-1], w[-1]) if w[-1] in ".," else (w, "")
+            low = body.lower()
+            if not (self.letters and low.isalpha() and body.isalpha()):
+                rest[w] = None
+                continue
+            if not body.isascii():
+                low = body  # the tokeniser lower-cases it
+            plain[low] = None
+            if mark:
+                marked.append((w, low, mark))
+                if mark not in self:
+                    rest[mark] = None
+            elif low != w:
+                raised.append((w, low))
+        todo = [w for w in plain if w not in self]
+        lines = [todo[i : i + 256] for i in range(0, len(todo), 256)]
+        for ws, g in zip(lines, self.tool.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
+            ids = np.array(g.ids, np.uint32)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(ws):
+                self.add(ws, ids, np.diff(ends, prepend=0))
+            else:  # not as assumed: one by one
+                rest |= dict.fromkeys(ws)
+        one = [w for w in rest if w not in self]
+        got = [np.array(g.ids, np.uint32) for g in self.tool.encode_batch_fast(one, add_special_tokens=False)]
+        if one:
+            self.add(one, np.concatenate(got), np.array([len(g) for g in got]))
+        self.update((w, self[low]) for w, low in raised)
+        marked = [m for m in marked if m[0] not in self]
+        if marked:
+            ids, at = self.gather(np.array([self[x] for m in marked for x in m[1:]]))
+            self.add([m[0] for m in marked], ids, np.diff(at[::2]))
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of whole texts, END last."""
         if not self.by_word:
-            return np.array([*self.tool.encode(text, add_special_tokens=False).ids, END], np.uint32)
-        words = [w for w in _SPLIT.split(text) if w] if ("\t" in text or "\r" in text or "\x0b" in text or "\x0c" in text) else text.replace("\n", " ").split(" ")
-        if len(self.sizes) > KEEP_WORDS:
+            got = self.tool.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
+            return [np.array([*g.ids, END], np.uint32) for g in got]
+        if self.count > KEEP_WORDS:
             self.clear()
-        k = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        if self.table is None:
-            border = np.concatenate([[0], np.cumsum(self.sizes)])
-            self.table = np.concatenate(self.flat) if self.flat else np.zeros(0, np.uint32), border
-        flat, border = self.table
-        n = border[k + 1] - border[k]
-        total = int(n.sum())
-        out = np.empty(total + 1, np.uint32)
-        out[:-1] = flat[np.repeat(border[k] - np.cumsum(n) + n, n) + np.arange(total)]
-        out[-1] = END
-        return out
+        lists = [[w for w in _OTHER.sub(" ", t).split(" ") if w] if t else [] for t in texts]
+        new = set().union(*lists).difference(self)
+        if new:
+            self.learn(sorted(new))
+        n = np.array([len(x) + 1 for x in lists])
+        k = np.fromiter(chain.from_iterable(chain(map(self.__getitem__, x), (0,)) for x in lists), np.int64, int(n.sum()))
+        ids, at = self.gather(k)
+        return np.split(ids, at[np.cumsum(n)][:-1])
+
+
+@lru_cache(2)
+def _words(path: str) -> Words:
+    """One for all tasks of a worker process."""
+    return Words(path)
 
 
 def _tokenised(path: str, bounds: np.ndarray, kind: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(path)
+        words = _words(path)
         for b in batches:
-            doc = b.column("doc_id").to_numpy(zero_copy_only=False)
-            part = np.searchsorted(bounds, doc, "right").astype(np.int32)
+            part = np.searchsorted(bounds, b.column("doc_id").to_numpy(zero_copy_only=False), "right").astype(np.int32)
             texts = b.column("text")
-            for lo in range(0, len(doc), 512):
-                some = _encode_some(words, texts[lo : lo + 512].to_pylist())
-                ids = [x.astype(kind).tobytes() for x in some]
-                yield pa.RecordBatch.from_pydict({"part": pa.array(part[lo : lo + 512]), "doc_id": b.column("doc_id")[lo : lo + 512], "ids": pa.array(ids, pa.binary())})
+            size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+            lo = 0
+            while lo < len(part):  # some two MB of text at a time
+                hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + (2 << 20))))
+                ids = [x.astype(kind).tobytes() for x in words.encode(texts[lo:hi].to_pylist())]
+                yield pa.RecordBatch.from_pydict({"part": pa.array(part[lo:hi]), "doc_id": b.column("doc_id")[lo:hi], "ids": pa.array(ids, pa.binary())})
+                lo = hi
 
     return run
 
 
-def _encode_some(words: Words, texts: list[str | None]) -> list[np.ndarray]:
-    """New words first, so that the table of ids is built once for all these texts."""
-    if not words.by_word:
-        got = words.tool.encode_batch([t or "" for t in texts], add_special_tokens=False)
-        return [np.array([*g.ids, END], np.uint32) for g in got]
-    if len(words.sizes) > KEEP_WORDS:
-        words.clear()
-    new = {w for t in texts if t for w in _SPLIT.split(t) if w not in words}
-    if new:
-        order = sorted(new)
-        for w, g in zip(order, words.tool.encode_batch(order, add_special_tokens=False), strict=True):
-            words.flat.append(np.array(g.ids, np.uint32))
-            words.sizes.append(len(g.ids))
-            words[w] = len(words.sizes) - 1
-        words.table = None
-    return [words.ids(t) for t in texts]
-
-
 def _open(folder: str):
     """The file system of a folder and the path in it."""
     fs, path = pafs.FileSystem.from_uri(folder)
