@@ -98,15 +98,17 @@ def max_homopolymer(c: Column) -> Column:
 
 
 def gc_window(c: Column, width: int) -> tuple[Column, Column]:
-    """Least and greatest GC fraction over all windows (one window, if the text is shorter):
-    the running count is built once per row."""
-    chars = F.split(F.upper(c), "")
-    start = F.struct(F.array(F.lit(0)).alias("sums"))
-    sums = F.aggregate(chars, start, lambda acc, x: F.struct(F.concat(acc["sums"], F.array(F.element_at(acc["sums"], -1) + x.isin("G", "C").cast("int"))).alias("sums")))["sums"]
-    n = F.size(sums) - 1
+    """Least and greatest GC fraction over all windows (one window, if the text is shorter)."""
+    s = F.upper(c)
+    n = F.length(s)
     w = F.least(F.lit(width), n)
-    fr = F.transform(F.sequence(F.lit(1), n - w + 1), lambda i: (F.element_at(sums, i + w) - F.element_at(sums, i)) / w)
-    return F.when(F.length(c) > 0, F.array_min(fr)), F.when(F.length(c) > 0, F.array_max(fr))
+
+    def share(i: Column) -> Column:
+        part = F.substring(s, i, w)
+        return (F.length(part) - F.length(F.translate(part, "GC", ""))) / w
+
+    fr = F.transform(F.sequence(F.lit(1), n - w + 1), share)
+    return F.when(n > 0, F.array_min(fr)), F.when(n > 0, F.array_max(fr))
 
 
 def load_labels_by_type(df: DataFrame, key: str, kind: str) -> DataFrame:

@@ -485,12 +485,12 @@ def chain_suffix(spark: SparkSession, d: str) -> DataFrame:
 
 # ------------------------------------------------------------------ sequences
 
-_U = "t AS (SELECT doc_id, upper(text) AS s FROM documents)"
+_U = "t AS (SELECT doc_id, upper(regexp_replace(text, '[^\\x00-\\x7F]', '_', 'g')) AS s FROM documents)"
 _DNA = "t AS (SELECT doc_id, left(translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'BDEFHIJKLMNOPQRSUVWXYZ', 'ACGTACGTACGTACGTACGTAC'), 300) AS s FROM documents)"
 
 
 def upper_docs(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", F.upper("text").alias("sequence"))
+    return table(spark, d, "documents").select("doc_id", F.upper(F.regexp_replace("text", r"[^\x00-\x7F]", "_")).alias("sequence"))
 
 
 def dna_docs(spark: SparkSession, d: str) -> DataFrame:
@@ -526,9 +526,9 @@ def gc_windows(spark: SparkSession, d: str) -> DataFrame:
     return dna_docs(spark, d).filter("length(sequence) > 0").select("doc_id", r6(lo, "gc_min"), r6(hi, "gc_max"))
 
 
-@query("SELECT item_id, array_to_string(list_sort(list_distinct(string_split(regexp_replace(upper(text), '[ACDEFGHIKLMNPQRSTVWY]', '', 'g'), ''))), '') AS odd FROM benchmark")
+@query("SELECT item_id, array_to_string(list_sort(list_distinct(string_split(regexp_replace(upper(regexp_replace(text, '[^ -~]', '', 'g')), '[ACDEFGHIKLMNPQRSTVWY]', '', 'g'), ''))), '') AS odd FROM benchmark")
 def alphabet_check(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "benchmark").select("item_id", F.array_join(seq.odd_characters(F.upper("text")), "").alias("odd"))
+    return table(spark, d, "benchmark").select("item_id", F.array_join(seq.odd_characters(F.upper(F.regexp_replace("text", "[^ -~]", ""))), "").alias("odd"))
 
 
 @query("SELECT doc_id, 'P' || doc_id AS a, 'Q' || doc_id AS b, 'x_' || doc_id AS stem FROM documents")
