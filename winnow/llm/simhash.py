@@ -273,8 +273,8 @@ def allocate(estimate: list[np.ndarray], widths: list[int], budget: int, top: in
     (t = -1: none).  The programme runs over the partitions for all rows at once.
     """
     n, m = len(estimate[0]), len(widths)
-    low = -m
-    span = budget - low + 1
+    low = -m  # sums on the way lie between -m and budget + m
+    span = budget + 2 * m + 1
     best = np.full((n, span), np.inf)
     best[:, -low] = 0
     choice = np.zeros((m, n, span), np.int8)
@@ -294,7 +294,7 @@ def allocate(estimate: list[np.ndarray], widths: list[int], budget: int, top: in
             choice[i][less] = t
         best = new
     out = np.zeros((n, m), np.int8)
-    at = np.full(n, span - 1)
+    at = np.full(n, budget - low)
     for i in reversed(range(m)):
         out[:, i] = choice[i][np.arange(n), at]
         at = at - out[:, i]
