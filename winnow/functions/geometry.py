@@ -244,7 +244,7 @@ def cyclisation(atoms: DataFrame, aromatic_cutoff: float = 6.0, far_bonds: int =
     lig = ligand(atoms).filter(F.upper("element") == "C")
     f = lig.groupBy("struct_id").applyInPandas(fold, "struct_id string, ligand_rg double, fold_back double")
     arom = atoms.filter(F.col("res_name").isin("TRP", "TYR", "PHE")).select("struct_id", "res_idx", *[F.col(c).alias(f"m{c}") for c in "xyz"])
-    n = lig.join(arom, "struct_id").filter(dist() <= aromatic_cutoff).groupBy("struct_id").agg(F.countDistinct("res_idx").alias("n_aromatic_contacts"))
+    n = lig.select("struct_id", "x", "y", "z").join(arom, "struct_id").filter(dist() <= aromatic_cutoff).groupBy("struct_id").agg(F.countDistinct("res_idx").alias("n_aromatic_contacts"))
     return f.join(n, "struct_id", "left").fillna(0, ["n_aromatic_contacts"])
 
 

@@ -246,5 +246,7 @@ def fold_inputs(df: DataFrame, proteins: list[str], ligands: list[str], ions: li
     parts = [one("protein", [F.array(F.lit(next(names))).alias("id"), F.col(c).alias("sequence")]) for c in proteins]
     parts += [one("ligand", [F.array(F.lit(next(names))).alias("id"), F.col(c).alias("smiles")]) for c in ligands]
     parts += [one("ligand", [F.array(F.lit(next(names))).alias("id"), F.array(F.col(c)).alias("ccdCodes")]) for c in ions]
-    body = F.concat(F.lit('{"name":'), F.to_json(F.struct(F.col("ID").alias("n"))).substr(F.lit(6), F.length("ID") + 2), F.lit(f',"modelSeeds":[{",".join(map(str, range(1, seeds + 1)))}],"sequences":['), F.concat_ws(",", *parts), F.lit('],"dialect":"alphafold3","version":1}'))
+    name = F.regexp_extract(F.to_json(F.struct(F.col("ID").cast("string").alias("n"))), r"(?s)^\{\"n\":(.*)\}$", 1)
+    seeds_json = ",".join(map(str, range(1, seeds + 1)))
+    body = F.concat(F.lit('{"name":'), name, F.lit(f',"modelSeeds":[{seeds_json}],"sequences":['), F.concat_ws(",", *parts), F.lit('],"dialect":"alphafold3","version":1}'))
     return df.select("ID", body.alias("json"))
