@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from conftest import DOCUMENTS, prose, rows_of
+from made import DOCUMENTS, prose, rows_of
 from winnow.llm import decontaminate as D
 
 ITEMS = "item_id long, text string"

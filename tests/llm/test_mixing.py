@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from conftest import DOCUMENTS
+from made import DOCUMENTS
 from winnow.llm import mixing
 
 
@@ -71,3 +71,18 @@ def test_odd_tables(spark):
     extra = spark.createDataFrame([(1, "a b", "s", 9, 9)], "doc_id long, text string, source string, size int, k int")
     assert mixing.mix(extra).first().taken == 2
     assert mixing.mixed(extra).columns == extra.columns
+
+
+def test_sql_on_the_smallest_tables(spark):
+    import os
+
+    import duckdb
+
+    path = "/root/testdata/sf0.001/documents.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no tables here")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}'")
+    want = {r[0]: r[1:] for r in con.execute(f"SELECT doc_id, size, source_size, target, taken FROM ({mixing.ORACLE})").fetchall()}
+    got = {r.doc_id: tuple(r)[1:] for r in mixing.mix(spark.read.parquet(path)).collect()}
+    assert got == want

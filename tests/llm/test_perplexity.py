@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from conftest import DOCUMENTS, prose, rows_of
+from made import DOCUMENTS, prose, rows_of
 from winnow.llm import perplexity as P
 
 LABELS = "doc_id long, quality int"

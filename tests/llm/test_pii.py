@@ -2,7 +2,7 @@
 
 import re
 
-from conftest import DOCUMENTS, rows_of
+from made import DOCUMENTS, rows_of
 from winnow.llm import pii
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")

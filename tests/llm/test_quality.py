@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 
-from conftest import DOCUMENTS, prose, rows_of
+from made import DOCUMENTS, prose, rows_of
 from winnow.llm import quality
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")

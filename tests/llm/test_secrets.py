@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from conftest import DOCUMENTS, rows_of
+from made import DOCUMENTS, rows_of
 from winnow.llm import secrets as S
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from conftest import DOCUMENTS, prose, rows_of
+from made import DOCUMENTS, prose, rows_of
 from winnow.llm import simhash
 
 

@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 
-from conftest import DOCUMENTS, rows_of
+from made import DOCUMENTS, rows_of
 from winnow.llm import tokens as T
 
 
