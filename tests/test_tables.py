@@ -54,8 +54,8 @@ def test_hits(spark):
     assert top == [("q", 1, "t2"), ("q", 2, "t1"), ("r", 1, "t1")]
     members = spark.createDataFrame([("T2.1",)], "member string")
     assert [r.is_member for r in hits.membership(h.filter("target = 't2'"), "target", members).collect()] == [True]
-    e = spark.createDataFrame([("d", "marts_E1_A"), ("d", "weird_id")], "query_id string, neighbour_id string")
-    assert sorted(r.neighbour_id for r in hits.strip_chain(e, spark.createDataFrame([("marts_E1",)], "id string")).collect()) == ["marts_E1", "weird_id"]
+    e = spark.createDataFrame([("d", "ref_E1_A"), ("d", "weird_id")], "query_id string, neighbour_id string")
+    assert sorted(r.neighbour_id for r in hits.strip_chain(e, spark.createDataFrame([("ref_E1",)], "id string")).collect()) == ["ref_E1", "weird_id"]
     p = hits.panel_match(spark.createDataFrame([("ref1_x",), ("re",), ("ref1",)], "id string"), spark.createDataFrame([("ref1",)], "reference_id string"))
     assert {r.id: r.reference_id for r in p.collect()} == {"ref1_x": "ref1", "re": "ref1", "ref1": "ref1"}
 

@@ -315,6 +315,30 @@ def sdr_divergence(design: tuple[str, np.ndarray], neighbour: tuple[str, np.ndar
     return out
 
 
+def sdr_table(neighbours: DataFrame, structures: DataFrame, panels: DataFrame, tau_high: float = 0.6) -> DataFrame:
+    """sdr_divergence() of every design and its neighbour.
+
+    neighbours: design, neighbour, similarity; structures: id, sequence, ca
+    (array of points); panels: id, residues (0-based).  Pairs below tau_high keep
+    a row, but their structures are not joined at all.
+    """
+    s = structures.select("id", "sequence", "ca")
+    near = neighbours.filter(F.col("similarity") >= tau_high)
+    j = near.join(s.select(F.col("id").alias("design"), F.col("sequence").alias("sa"), F.col("ca").alias("xa")), "design").join(s.select(F.col("id").alias("neighbour"), F.col("sequence").alias("sb"), F.col("ca").alias("xb")), "neighbour").join(panels.select(F.col("id").alias("neighbour"), "residues"), "neighbour")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for r in pdf.itertuples():
+                a, b = (np.array([list(p) for p in x], float) for x in (r.xa, r.xb))
+                rows.append({"design": r.design, "neighbour": r.neighbour, **sdr_divergence((r.sa, a), (r.sb, b), list(r.residues), r.similarity, tau_high)})
+            if rows:
+                yield pd.DataFrame(rows)
+
+    got = j.mapInPandas(run, "design string, neighbour string, n_mapped int, sdr_identity double, differences string, flagged boolean")
+    return neighbours.select("design", "neighbour", "similarity").join(got, ["design", "neighbour"], "left").fillna(0, ["n_mapped"]).fillna(False, ["flagged"])
+
+
 def choose_pocket(pockets: DataFrame, points: DataFrame, limit: float = 12.0) -> DataFrame:
     """struct_id, pocket: of the pockets (struct_id, pocket, x, y, z per sphere) one that
     encloses the metal point (within its own radius), then the nearest, up to the limit;

@@ -65,3 +65,9 @@ def first_row(df: DataFrame, key: str, order: list) -> DataFrame:
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys that occur more than once: none, for a valid key."""
     return df.groupBy(key).count().filter(F.col("count") > 1)
+
+
+def labels_join(ids: DataFrame, labels: DataFrame, key: str = "ID", default: int = -1) -> DataFrame:
+    """Every id with its least label, or the default."""
+    la = labels.groupBy(key).agg(F.min("label").alias("label"))
+    return ids.select(key).join(la, key, "left").select(key, F.coalesce("label", F.lit(default)).alias("label"))

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.functions import geometry, seq
+from winnow.functions import geometry, seq, values
 from winnow.functions.order import prepare_order
 from winnow.operators import cluster, gate, hits, knn, merge, similarity, stats
 from winnow.operators import select as sel
@@ -570,6 +570,44 @@ def nearest_pocket(spark: SparkSession, d: str) -> DataFrame:
     return geometry.nearest_pocket(c, m).select("struct_id", "pocket", r6(F.col("distance"), "distance"))
 
 
+# ------------------------------------------------------------------ small joins and look-ups
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_partkey IN (SELECT p_partkey FROM part WHERE p_size < 15) AS is_member FROM lineitem")
+def membership(spark: SparkSession, d: str) -> DataFrame:
+    li = table(spark, d, "lineitem").withColumn("acc", F.concat(F.lit("p"), F.col("l_partkey"), F.lit(".2")))
+    m = table(spark, d, "part").filter("p_size < 15").select(F.concat(F.lit("P"), F.col("p_partkey")).alias("member"))
+    return hits.membership(li, "acc", m).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "is_member")
+
+
+@query("SELECT doc_id, coalesce(q, -1) AS label FROM documents LEFT JOIN (SELECT doc_id, min(quality) AS q FROM labels GROUP BY 1) USING (doc_id)")
+def labels_join(spark: SparkSession, d: str) -> DataFrame:
+    la = table(spark, d, "labels").select("doc_id", F.col("quality").alias("label"))
+    return merge.labels_join(table(spark, d, "documents"), la, "doc_id")
+
+
+@query("SELECT vec_id, CASE WHEN x >= 0.6 THEN 0.9 WHEN x >= 0.3 THEN 0.5 ELSE 0.5 END::DOUBLE AS c FROM (SELECT vec_id, abs(embedding[1]::DOUBLE) * 4 AS x FROM embeddings)")
+def curve_lookup(spark: SparkSession, d: str) -> DataFrame:
+    curve = [{"lo": 0.0, "hi": 0.3, "n": 0, "accuracy": None}, {"lo": 0.3, "hi": 0.6, "n": 4, "accuracy": 0.5}, {"lo": 0.6, "hi": 0.65, "n": 9, "accuracy": 0.9}, {"lo": 0.65, "hi": 1.0, "n": 0, "accuracy": None}]
+    return vectors(spark, d).select("vec_id", knn.calibrated(F.abs(F.col("embedding")[0].cast("double")) * 4, curve).alias("c"))
+
+
+@query("SELECT c_custkey::VARCHAR AS \"ID\", round(c_acctbal, 2) AS bal, CASE WHEN c_custkey % 2 = 0 THEN 'x' ELSE '1' END AS mixed FROM customer")
+def numeric_inference(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("c_custkey")
+    c = table(spark, d, "customer").select(k.cast("string").alias(" fa_id "), F.round(F.col("c_acctbal"), 2).cast("string").alias("bal"), F.when(k % 2 == 0, "x").otherwise("1").alias("mixed"))
+    return values.infer_numbers(values.without_missing(values.with_id(values.strip_names(c))))
+
+
+@query("SELECT doc_id AS id, CASE WHEN doc_id % 10 = 0 THEN 'd' || doc_id ELSE 'd' || (doc_id - doc_id % 10) END AS reference_id FROM documents WHERE doc_id < 100")
+def panel_match(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "documents").filter("doc_id < 100")
+    k = F.col("doc_id")
+    name = F.when(k % 10 == 0, F.concat(F.lit("d"), k)).otherwise(F.concat(F.lit("d"), k - k % 10, F.lit("_x"), k))
+    got = hits.panel_match(t.select(name.alias("id")), t.filter("doc_id % 10 = 0 AND doc_id > 0").select(F.concat(F.lit("d"), k).alias("reference_id")).union(spark.createDataFrame([("d0",)], "reference_id string")))
+    return t.select(k.alias("id"), name.alias("n")).join(got.withColumnRenamed("id", "n"), "n").select("id", "reference_id")
+
+
 # ------------------------------------------------------------------ without SQL
 
 
