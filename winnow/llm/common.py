@@ -20,10 +20,14 @@ def shared_dir(spark: SparkSession) -> str:
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        done = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = done.get() if done.isDefined() else "file://" + tempfile.mkdtemp(prefix="winnow-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+        context = spark.sparkContext
+        if not context._jsc.sc().getCheckpointDir().isDefined():
+            context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="winnow-"))
+        found = context._jsc.sc().getCheckpointDir().get()
+    # with its scheme, so that Spark's writers and others mean the same store
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(found)
+    full = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return ("file://" + full.removeprefix("file:") if full.startswith("file:/") and not full.startswith("file://") else full).rstrip("/")
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
