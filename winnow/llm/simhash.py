@@ -44,6 +44,8 @@ HEAVY = 20_000
 #: At most so many values are that heavy: they hold HEAVY_SHARE of all fingerprints or more.
 HEAVY_SHARE = 1e-5
 COST_SIGNATURE, COST_CANDIDATE = 1.0, 0.2
+#: Rows under a key that are compared side by side, and links a row beyond which they get a forest instead.
+SIDE, DENSE = 512, 4
 #: Of near_copies: shingle width, radius over the distinct words' fingerprint, and how many of the 256 checking bits may
 #: differ.  At a similarity of 0.8 of five-word shingles 39 do on average, with a standard deviation of 6.
 SKETCH_SHINGLE, SKETCH_RADIUS, SKETCH_DIFFER = 5, 6, 48
@@ -405,20 +407,39 @@ def forest(bits: np.ndarray, near: Near) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _edges_of(key: np.ndarray, bits: np.ndarray, near: Near) -> tuple[np.ndarray, np.ndarray]:
-    """Forest edges (row numbers) of every run of equal keys."""
+    """Edges (row numbers) of every run of equal keys that join what its links join.
+
+    Runs of up to SIDE rows are compared side by side, all runs at once: each row
+    with the one d further on.  A run that turns out to have more than DENSE
+    links a row leaves this and, like the longer ones, gets a spanning forest.
+    """
     border = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
     size = np.diff(border)
-    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    is_small = np.repeat((size > 1) & (size <= 24), size)
     run = np.repeat(np.arange(len(size)), size)
-    for d in range(1, 24):
-        i = np.flatnonzero(is_small[:-d] & (run[:-d] == run[d:])) if len(key) > d else a[0]
-        if not len(i):
+    fp = np.ascontiguousarray(bits[:, 0])
+    a, b, of = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    side = (size > 1) & (size <= SIDE)
+    found = np.zeros(len(size), np.int64)
+    live = np.flatnonzero(np.repeat(side, size))
+    last = np.repeat(border[1:], size)
+    for d in range(1, SIDE):
+        live = live[live + d < last[live]]
+        if not len(live):
             break
-        i = i[near.pairs(bits[i], bits[i + d])]
-        a.append(i)
-        b.append(i + d)
-    for k in np.flatnonzero(size > 24):
+        i = live[np.bitwise_count(fp[live] ^ fp[live + d]) <= near.radius]
+        i = i[near.pairs(bits[i], bits[i + d])] if len(i) else i
+        if len(i):
+            a.append(i)
+            b.append(i + d)
+            of.append(run[i])
+            found += np.bincount(run[i], minlength=len(size))
+            dense = side & (found > DENSE * size)
+            if dense.any():
+                side &= ~dense
+                live = live[side[run[live]]]
+    x, y, r = np.concatenate(a), np.concatenate(b), np.concatenate(of)
+    a, b = [x[side[r]]], [y[side[r]]]
+    for k in np.flatnonzero(~side & (size > 1)):
         x, y = forest(bits[border[k] : border[k + 1]], near)
         a.append(x + border[k])
         b.append(y + border[k])
