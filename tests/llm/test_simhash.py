@@ -123,3 +123,27 @@ def test_odd_tables(spark):
     d = spark.createDataFrame([(None, "a b c", "en"), (1, "a b c", "fp"), (1, "a b c", "x")], "doc_id long, text string, fp string")
     got = simhash.near_duplicates(d).collect()
     assert len(got) == 3 and {r.component_id for r in got} == {1}
+
+
+def test_alike_compares_whole_sets(spark, rng):
+    base = prose(rng, 60)
+    texts = [base, None, "", " \n", "one two", "ONE  two"]
+    for n in (1, 2, 3, 4, 6, 9):  # edited words next to each other, so that similarities lie around the bound
+        w = base.split()
+        at = rng.randrange(len(w) - n)
+        w[at : at + n] = ["edited"] * n
+        texts.append(" ".join(w))
+    pairs = list(itertools.combinations(range(len(texts)), 2))
+    rows = rows_of(texts)
+    docs = spark.createDataFrame([*rows, rows[0]], DOCUMENTS)  # a row twice
+    got = {(r.a, r.b) for r in simhash.alike(docs, spark.createDataFrame([(b, a) for a, b in pairs], "a long, b long")).collect()}
+
+    def shingles(t):
+        w = (t or "").lower().split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets = [shingles(t) for t in texts]
+    want = {(b, a) for a, b in pairs if len(sets[a] & sets[b]) * 5 >= 4 * len(sets[a] | sets[b])}
+    empty = {(b, a) for a, b in pairs if not sets[a] and not sets[b]}  # one class by their bits, whatever this says
+    assert got - empty == want - empty
+    assert len(want - empty) > 3 and len(want) < len(pairs)

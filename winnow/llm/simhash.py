@@ -47,8 +47,9 @@ COST_SIGNATURE, COST_CANDIDATE = 1.0, 0.2
 #: Rows under a key that are compared side by side, and links a row beyond which they get a forest instead.
 SIDE, DENSE = 512, 4
 #: Of near_copies: shingle width, radius over the distinct words' fingerprint, and how many of the 256 checking bits may
-#: differ.  At a similarity of 0.8 of five-word shingles 39 do on average, with a standard deviation of 6.
-SKETCH_SHINGLE, SKETCH_RADIUS, SKETCH_DIFFER = 5, 6, 48
+#: differ, in a dense group and in a pair whose shingles are compared after it.  At a similarity of 0.8 of five-word
+#: shingles 39 do on average, with a standard deviation of 6.
+SKETCH_SHINGLE, SKETCH_RADIUS, SKETCH_DIFFER, SKETCH_LOOSE = 5, 8, 48, 60
 CHECK = ["v0", "v1", "v2", "v3"]
 
 _P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
@@ -153,6 +154,25 @@ def fingerprint_chunk(c: ts.Chunk) -> np.ndarray:
     return majority(xxh64(flat, to[first], to[last] + size[last] - to[first]), sb)
 
 
+def _shingle_hashes(wb: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of every five-word shingle from its words' hashes, and the borders of the rows."""
+    first, last, sb = _shingles(wb, SKETCH_SHINGLE)
+    k = np.zeros(len(first), np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(SKETCH_SHINGLE):
+            k = np.where(first + i <= last, ts.mix(k + h[np.minimum(first + i, len(h) - 1)]), k)
+    return k, sb
+
+
+def _distinct(h: np.ndarray, border: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of each row, sorted, and the borders of the rows."""
+    row = ts.row_of(border)
+    order = np.lexsort((h, row))
+    h, row = h[order], row[order]
+    new = np.concatenate([[True], (h[1:] != h[:-1]) | (row[1:] != row[:-1])]) if len(h) else np.zeros(0, bool)
+    return h[new], np.searchsorted(row[new], np.arange(len(border)))
+
+
 def sketch_chunk(c: ts.Chunk) -> np.ndarray:
     """Five words of bits a row: the majority over the distinct words, which near
     copies hardly change, and 256 bits over the five-word shingles, from which
@@ -163,16 +183,9 @@ def sketch_chunk(c: ts.Chunk) -> np.ndarray:
     if not len(start):
         return out
     h = ts.range_hashes(c.data, start, end)
-    row = ts.row_of(wb)
-    order = np.lexsort((h, row))
-    hs, rs = h[order], row[order]
-    new = np.concatenate([[True], (hs[1:] != hs[:-1]) | (rs[1:] != rs[:-1])])
-    out[:, 0] = majority(hs[new], np.searchsorted(rs[new], np.arange(c.n + 1)))
-    first, last, sb = _shingles(wb, SKETCH_SHINGLE)
-    k = np.zeros(len(first), np.uint64)
+    out[:, 0] = majority(*_distinct(h, wb))
+    k, sb = _shingle_hashes(wb, h)
     with np.errstate(over="ignore"):
-        for i in range(SKETCH_SHINGLE):
-            k = np.where(first + i <= last, ts.mix(k + h[np.minimum(first + i, len(h) - 1)]), k)
         for i in range(4):
             out[:, i + 1] = majority(ts.mix(k + U((i + 1) * 0xD1B54A32D192ED03 % (1 << 64))), sb)
     return out
@@ -198,6 +211,31 @@ def fingerprints(docs: DataFrame, sketch: bool = False) -> DataFrame:
     return d.mapInArrow(_fingerprints(sketch), f"doc_id {d.schema['doc_id'].dataType.simpleString()}, fp long" + "".join(f", {x} long" for x in CHECK) * sketch)
 
 
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for c in ts.chunks(b):
+            low = ts.Chunk(c.first, c.n, ts.LOWER[c.data], c.border)
+            start, end, wb = ts.words(low)
+            h = ts.range_hashes(low.data, start, end) if len(start) else np.zeros(0, np.uint64)
+            values, border = _distinct(*_shingle_hashes(wb, h)) if len(start) else (h, np.zeros(c.n + 1, np.int64))
+            lists = pa.ListArray.from_arrays(pa.array(border.astype(np.int32)), pa.array(values.view(np.int64)))
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id").slice(c.first, c.n), "h": lists})
+
+
+def alike(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of doc_ids whose texts share 0.8 or more of their distinct five-word shingles.
+
+    Only texts that are in a pair are hashed; their sets are stored once and joined to both sides.
+    """
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    sets = common.kept(d.join(ids, d.doc_id == ids._id, "left_semi").mapInArrow(_sets, "doc_id long, h array<long>").dropDuplicates(), "sets")
+    one, other = (sets.select(F.col("doc_id").alias(x), F.col("h").alias(f"h{x}")) for x in "ab")
+    same = F.size(F.array_intersect("ha", "hb"))
+    # same / (size a + size b - same) >= 4 / 5
+    return pairs.join(one, "a").join(other, "b").where(9 * same >= 4 * (F.size("ha") + F.size("hb"))).select("a", "b").distinct()
+
+
 # ---------------------------------------------------------------- partitions
 
 
@@ -366,17 +404,18 @@ class Probe:
 
 class Near:
     """Whether two nodes are linked: their bits (rows of 64-bit words, the fingerprint
-    first) differ in ``radius`` bits of the first and ``differ`` of the others at most."""
+    first) differ in ``radius`` bits of the first and ``differ`` of the others at most;
+    ``loose`` of the others where the pair is checked on its texts afterwards."""
 
-    def __init__(self, radius: int, differ: int | None = None) -> None:
-        self.radius, self.differ = radius, differ
+    def __init__(self, radius: int, differ: int | None = None, loose: int | None = None) -> None:
+        self.radius, self.differ, self.loose = radius, differ, differ if loose is None else loose
 
-    def pairs(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    def pairs(self, x: np.ndarray, y: np.ndarray, loosely: bool = False) -> np.ndarray:
         """Element by element; the leading dimensions broadcast."""
         ok = np.bitwise_count(x[..., 0] ^ y[..., 0]) <= self.radius
         if self.differ is not None and ok.any():
             more = sum(np.bitwise_count(x[..., i] ^ y[..., i]).astype(np.int16) for i in range(1, x.shape[-1]))
-            ok &= more <= self.differ
+            ok &= more <= (self.loose if loosely else self.differ)
         return ok
 
 
@@ -406,8 +445,9 @@ def forest(bits: np.ndarray, near: Near) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(a or none), np.concatenate(b or none)
 
 
-def _edges_of(key: np.ndarray, bits: np.ndarray, near: Near) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (row numbers) of every run of equal keys that join what its links join.
+def _edges_of(key: np.ndarray, bits: np.ndarray, near: Near) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Edges (row numbers) of every run of equal keys that join what its links join,
+    and whether they are of a spanning forest, so that none may be taken out.
 
     Runs of up to SIDE rows are compared side by side, all runs at once: each row
     with the one d further on.  A run that turns out to have more than DENSE
@@ -427,7 +467,7 @@ def _edges_of(key: np.ndarray, bits: np.ndarray, near: Near) -> tuple[np.ndarray
         if not len(live):
             break
         i = live[np.bitwise_count(fp[live] ^ fp[live + d]) <= near.radius]
-        i = i[near.pairs(bits[i], bits[i + d])] if len(i) else i
+        i = i[near.pairs(bits[i], bits[i + d], loosely=True)] if len(i) else i
         if len(i):
             a.append(i)
             b.append(i + d)
@@ -439,11 +479,13 @@ def _edges_of(key: np.ndarray, bits: np.ndarray, near: Near) -> tuple[np.ndarray
                 live = live[side[run[live]]]
     x, y, r = np.concatenate(a), np.concatenate(b), np.concatenate(of)
     a, b = [x[side[r]]], [y[side[r]]]
+    n = len(a[0])
     for k in np.flatnonzero(~side & (size > 1)):
         x, y = forest(bits[border[k] : border[k + 1]], near)
         a.append(x + border[k])
         b.append(y + border[k])
-    return np.concatenate(a), np.concatenate(b)
+    x, y = np.concatenate(a), np.concatenate(b)
+    return x, y, np.arange(len(x)) >= n
 
 
 def _emit(probe: Probe, names: list[str]):
@@ -464,9 +506,9 @@ def _verify(near: Near, names: list[str]):
 
         def out(pdf: pd.DataFrame) -> pd.DataFrame:
             bits = np.stack([pdf[x].to_numpy(np.int64) for x in names[1:]], axis=1).view(np.uint64)
-            i, j = _edges_of(pdf["key"].to_numpy(), bits, near)
+            i, j, sure = _edges_of(pdf["key"].to_numpy(), bits, near)
             x, y = pdf["first"].to_numpy()[i], pdf["first"].to_numpy()[j]
-            e = pd.DataFrame({"a": np.maximum(x, y), "b": np.minimum(x, y)})
+            e = pd.DataFrame({"a": np.maximum(x, y), "b": np.minimum(x, y), "sure": sure | (near.differ is None)})
             return e[e["a"] != e["b"]].drop_duplicates()
 
         for pdf in batches:
@@ -487,7 +529,8 @@ def _verify(near: Near, names: list[str]):
 
 
 def links(reps: DataFrame, near: Near, heavy_from: int = HEAVY) -> DataFrame:
-    """(a, b): edges between nodes, named by column first, whose components are those of all links.
+    """(a, b, sure): edges between nodes, named by column first, whose components are those of all links.
+    Those that are not sure are whole pairs, which a check on the texts may take out one by one.
 
     reps has one row per node: first, fp and, if near.differ is given, the checking bits.
     """
@@ -499,7 +542,7 @@ def links(reps: DataFrame, near: Near, heavy_from: int = HEAVY) -> DataFrame:
         co[r.i, r.j] = co[r.j, r.i] = r.n
     n = int(co[64, 64])
     if n < 2:
-        return spark.createDataFrame([], "a long, b long")
+        return spark.createDataFrame([], "a long, b long, sure boolean")
     groups = bit_groups(co, choose_m(co, near.radius))
     least = max(heavy_from, int(n * HEAVY_SHARE))
 
@@ -517,7 +560,7 @@ def links(reps: DataFrame, near: Near, heavy_from: int = HEAVY) -> DataFrame:
     probe = Probe(groups, near.radius, [n * collision(co, g) for g in groups], heavy)
     schema = "key long, " + ", ".join(f"{x} long" for x in names)
     keyed = reps.mapInPandas(_emit(probe, names), schema)
-    return keyed.repartition("key").sortWithinPartitions("key").mapInPandas(_verify(near, names), "a long, b long").distinct()
+    return keyed.repartition("key").sortWithinPartitions("key").mapInPandas(_verify(near, names), "a long, b long, sure boolean").distinct()
 
 
 # ---------------------------------------------------------------- components
@@ -549,12 +592,16 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return e.select(F.col("a").alias("node"), F.col("b").alias("root")).union(e.select(F.col("b"), F.col("b"))).distinct()
 
 
-def _classes(fps: DataFrame, near: Near, heavy_from: int) -> DataFrame:
+def _classes(docs: DataFrame, fps: DataFrame, near: Near, heavy_from: int) -> DataFrame:
     """fps with component_id: the least doc_id reachable over links and equal bits."""
     names = ["fp", *(CHECK if near.differ is not None else [])]
     fps = common.kept(fps, "fps")
     reps = common.kept(fps.groupBy(*names).agg(F.min("doc_id").cast("long").alias("first")), "reps")
-    member = components(links(reps, near, heavy_from))
+    edges = links(reps, near, heavy_from)
+    if near.differ is not None:
+        edges = common.kept(edges, "links")
+        edges = edges.where("sure").select("a", "b").union(alike(docs, edges.where("NOT sure").select("a", "b")))
+    member = components(edges)
     label = reps.join(member, reps["first"] == member["node"], "left").select(*[F.col(x).alias(f"_{x}") for x in names], F.coalesce("root", "first").alias("component_id"))
     on = [F.col(x) == F.col(f"_{x}") for x in names]
     return fps.join(label, on).drop(*[f"_{x}" for x in names])
@@ -568,16 +615,17 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, heavy_from: int = HEA
     component.  Rows without doc_id take part in none but their own
     fingerprint's.  An empty table gives no rows.  Only doc_id and text are read.
     """
-    out = _classes(fingerprints(docs), Near(radius), heavy_from)
+    out = _classes(docs, fingerprints(docs), Near(radius), heavy_from)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_copies(docs: DataFrame, radius: int = SKETCH_RADIUS, differ: int = SKETCH_DIFFER, heavy_from: int = HEAVY) -> DataFrame:
+def near_copies(docs: DataFrame, radius: int = SKETCH_RADIUS, differ: int = SKETCH_DIFFER, loose: int = SKETCH_LOOSE, heavy_from: int = HEAVY) -> DataFrame:
     """doc_id and component_id, links being pairs alike in 0.8 of their five-word shingles.
 
     Candidates come from the SimHash of the distinct words within ``radius``
-    bits by the same search; a link is verified on 256 SimHash bits over the
-    five-word shingles, of which ``differ`` may differ.  Texts without words are
-    one class.  Else as near_duplicates().
+    bits by the same search.  Those of which ``loose`` or fewer of 256 SimHash bits
+    over the five-word shingles differ are compared shingle by shingle.  In a group
+    so dense that its pairs are not listed (DENSE), ``differ`` bits decide.  Texts
+    without words are one class.  Else as near_duplicates().
     """
-    return _classes(fingerprints(docs, sketch=True), Near(radius, differ), heavy_from).select("doc_id", "component_id")
+    return _classes(docs, fingerprints(docs, sketch=True), Near(radius, differ, loose), heavy_from).select("doc_id", "component_id")
