@@ -147,3 +147,50 @@ def test_alike_compares_whole_sets(spark, rng):
     empty = {(b, a) for a, b in pairs if not sets[a] and not sets[b]}  # one class by their bits, whatever this says
     assert got - empty == want - empty
     assert len(want - empty) > 3 and len(want) < len(pairs)
+
+
+def near_classes(texts):
+    """By brute force: classes of the pairs within the default bits that share 0.8 of their shingles; and their bits' distances."""
+    from winnow.llm import textscan as ts
+
+    import pyarrow as pa
+
+    bits = np.concatenate([simhash.sketch_chunk(c) for c in ts.chunks(pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.large_string())}))])
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    far = []
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        d = np.bitwise_count(bits[a] ^ bits[b]).astype(int)
+        if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+            far.append((int(d[0]), a, b))
+            if d[0] <= 8 and d[1:].sum() <= 60:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {i: find(i) for i in range(len(texts))}, far
+
+
+def edited(r, words, n):
+    w = list(words)
+    for k in r.sample(range(len(w)), n):
+        w[k] = f"edit{r.randrange(10**6)}"
+    return w
+
+
+def test_dense_groups_are_proved_on_shingles(spark):
+    """Groups of near copies of each other, whose centres are alike in some 0.7."""
+    r = random.Random(4)
+    w = [f"w{r.randrange(3000)}" for _ in range(400)]
+    texts = []
+    for n in (0, 14, 15, 16):
+        centre = edited(r, w, n)
+        texts += [" ".join(edited(r, centre, 1)) for _ in range(30)]
+    want, _ = near_classes(texts)
+    assert 1 < len(set(want.values())) < len(texts) / 8
+    got = {x.doc_id: x.component_id for x in simhash.near_copies(spark.createDataFrame(rows_of(texts), DOCUMENTS)).collect()}
+    assert got == want

@@ -44,12 +44,12 @@ HEAVY = 20_000
 #: At most so many values are that heavy: they hold HEAVY_SHARE of all fingerprints or more.
 HEAVY_SHARE = 1e-5
 COST_SIGNATURE, COST_CANDIDATE = 1.0, 0.2
-#: Rows under a key that are compared side by side, and links a row beyond which they get a forest instead.
-SIDE, DENSE = 512, 4
+#: Links a row under a key beyond which its pairs aren't listed: they get a spanning forest instead.
+DENSE = 4
 #: Of near_copies: shingle width, radius over the distinct words' fingerprint, and how many of the 256 checking bits may
-#: differ, in a dense group and in a pair whose shingles are compared after it.  At a similarity of 0.8 of five-word
-#: shingles 39 do on average, with a standard deviation of 6.
-SKETCH_SHINGLE, SKETCH_RADIUS, SKETCH_DIFFER, SKETCH_LOOSE = 5, 6, 48, 60
+#: differ in a pair whose shingles are compared after it.  At a similarity of 0.8 of five-word shingles 39 do on average,
+#: with a standard deviation of 6.
+SKETCH_SHINGLE, SKETCH_RADIUS, SKETCH_LOOSE = 5, 6, 60
 CHECK = ["v0", "v1", "v2", "v3"]
 
 _P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
@@ -222,14 +222,18 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id").slice(c.first, c.n), "h": lists})
 
 
+def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id and h, the distinct shingles, of the documents whose doc_id is among _id."""
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return d.join(ids, d.doc_id == ids._id, "left_semi").mapInArrow(_sets, "doc_id long, h array<long>").dropDuplicates()
+
+
 def alike(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of doc_ids whose texts share 0.8 or more of their distinct five-word shingles.
 
     Only texts that are in a pair are hashed; their sets are stored once and joined to both sides.
     """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = common.kept(d.join(ids, d.doc_id == ids._id, "left_semi").mapInArrow(_sets, "doc_id long, h array<long>").dropDuplicates(), "sets")
+    sets = common.kept(_sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()), "sets")
     one, other = (sets.select(F.col("doc_id").alias(x), F.col("h").alias(f"h{x}")) for x in "ab")
     same = F.size(F.array_intersect("ha", "hb"))
     # same / (size a + size b - same) >= 4 / 5
@@ -404,28 +408,27 @@ class Probe:
 
 class Near:
     """Whether two nodes are linked: their bits (rows of 64-bit words, the fingerprint
-    first) differ in ``radius`` bits of the first and ``differ`` of the others at most;
-    ``loose`` of the others where the pair is checked on its texts afterwards."""
+    first) differ in ``radius`` bits of the first and, if given, ``loose`` of the others
+    at most.  With ``loose``, the texts decide afterwards."""
 
-    def __init__(self, radius: int, differ: int | None = None, loose: int | None = None) -> None:
-        self.radius, self.differ, self.loose = radius, differ, differ if loose is None else loose
+    def __init__(self, radius: int, loose: int | None = None) -> None:
+        self.radius, self.loose = radius, loose
 
-    def pairs(self, x: np.ndarray, y: np.ndarray, loosely: bool = False) -> np.ndarray:
+    def pairs(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Element by element; the leading dimensions broadcast."""
         ok = np.bitwise_count(x[..., 0] ^ y[..., 0]) <= self.radius
-        if self.differ is not None and ok.any():
-            more = sum(np.bitwise_count(x[..., i] ^ y[..., i]).astype(np.int16) for i in range(1, x.shape[-1]))
-            ok &= more <= (self.loose if loosely else self.differ)
+        if self.loose is not None and ok.any():
+            ok &= sum(np.bitwise_count(x[..., i] ^ y[..., i]).astype(np.int16) for i in range(1, x.shape[-1])) <= self.loose
         return ok
 
 
-def forest(bits: np.ndarray, near: Near) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (pairs of row numbers) of a spanning forest of the links among these rows.
+def forest(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (pairs of row numbers) of a spanning forest of the links among these fingerprints.
 
     Breadth first: each reached row meets only those not reached yet, so a group
     in which most are linked takes little more than one look each.
     """
-    left, a, b = np.arange(len(bits)), [], []
+    left, a, b = np.arange(len(fp)), [], []
     while len(left):
         root, left = left[:1], left[1:]
         front = root
@@ -434,7 +437,7 @@ def forest(bits: np.ndarray, near: Near) -> tuple[np.ndarray, np.ndarray]:
             hit = np.zeros(len(left), bool)
             for lo in range(0, len(left), 65_536):
                 some = left[lo : lo + 65_536]
-                hit[lo : lo + len(some)] = near.pairs(bits[head][:, None], bits[some][None]).any(0)
+                hit[lo : lo + len(some)] = (np.bitwise_count(fp[head][:, None] ^ fp[some][None]) <= radius).any(0)
             if hit.any():
                 new = left[hit]
                 a.append(new)
@@ -445,49 +448,86 @@ def forest(bits: np.ndarray, near: Near) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(a or none), np.concatenate(b or none)
 
 
-def _edges_of(key: np.ndarray, bits: np.ndarray, near: Near) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _edges_of(key: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Edges (row numbers) of every run of equal keys that join what its links join,
-    and whether they are of a spanning forest, so that none may be taken out.
+    and whether they are of a spanning forest instead of being links themselves.
 
-    Runs of up to SIDE rows are compared side by side, all runs at once: each row
-    with the one d further on.  A run that turns out to have more than DENSE
-    links a row leaves this and, like the longer ones, gets a spanning forest.
+    Runs are compared side by side, all at once: each row with the one d further
+    on.  A run that turns out to have more than DENSE links a row leaves this and
+    gets a spanning forest.
     """
     border = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
     size = np.diff(border)
     run = np.repeat(np.arange(len(size)), size)
-    fp = np.ascontiguousarray(bits[:, 0])
     a, b, of = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    side = (size > 1) & (size <= SIDE)
+    listed = size > 1
     found = np.zeros(len(size), np.int64)
-    live = np.flatnonzero(np.repeat(side, size))
+    live = np.flatnonzero(np.repeat(listed, size))
     last = np.repeat(border[1:], size)
-    for d in range(1, SIDE):
+    for d in range(1, int(size.max(initial=1))):
         live = live[live + d < last[live]]
         if not len(live):
             break
-        i = live[np.bitwise_count(fp[live] ^ fp[live + d]) <= near.radius]
-        i = i[near.pairs(bits[i], bits[i + d], loosely=True)] if len(i) else i
+        i = live[np.bitwise_count(fp[live] ^ fp[live + d]) <= radius]
         if len(i):
             a.append(i)
             b.append(i + d)
             of.append(run[i])
-            found += np.bincount(run[i], minlength=len(size))
-            dense = side & (found > DENSE * size)
+            np.add.at(found, run[i], 1)
+            dense = listed & (found > DENSE * size)
             if dense.any():
-                side &= ~dense
-                live = live[side[run[live]]]
+                listed &= ~dense
+                live = live[listed[run[live]]]
     x, y, r = np.concatenate(a), np.concatenate(b), np.concatenate(of)
-    a, b = [x[side[r]]], [y[side[r]]]
+    a, b = [x[listed[r]]], [y[listed[r]]]
     n = len(a[0])
-    for k in np.flatnonzero(~side & (size > 1)):
-        x, y = forest(bits[border[k] : border[k + 1]], near)
+    for k in np.flatnonzero(~listed & (size > 1)):
+        x, y = forest(fp[border[k] : border[k + 1]], radius)
         a.append(x + border[k])
         b.append(y + border[k])
     x, y = np.concatenate(a), np.concatenate(b)
     return x, y, np.arange(len(x)) >= n
 
 
+def _proved(near: Near):
+    """Of the nodes of a dense group: edges of a spanning forest of those links that
+    share 0.8 or more of their distinct shingles, each compared set by set."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        node = pdf["node"].to_numpy(np.int64)
+        bits = np.stack([pdf[x].to_numpy(np.int64) for x in ("fp", *CHECK)], axis=1).view(np.uint64)
+        size = pdf["h"].map(len).to_numpy(np.int64)
+        values, code = np.unique(np.concatenate([np.asarray(h, np.int64) for h in pdf["h"]]), return_inverse=True)
+        start = np.concatenate([[0], np.cumsum(size)])
+        mark = np.zeros(len(values), bool)
+        left, a, b = np.arange(len(node)), [], []
+        while len(left):
+            front, left = [left[0]], left[1:]
+            while front and len(left):
+                head = front.pop()
+                own = code[start[head] : start[head + 1]]
+                mark[own] = True
+                near_by = np.flatnonzero(near.pairs(bits[head][None], bits[left]))
+                hit = np.zeros(len(left), bool)
+                for lo in range(0, len(near_by), 4096):
+                    at = near_by[lo : lo + 4096]
+                    n = size[left[at]]
+                    to = np.concatenate([[0], np.cumsum(n)])
+                    flat = code[np.repeat(start[left[at]] - to[:-1], n) + np.arange(to[-1])]
+                    same = np.diff(np.concatenate([[0], np.cumsum(mark[flat])])[to])
+                    hit[at] = 9 * same >= 4 * (size[head] + n)
+                mark[own] = False
+                new = left[hit]
+                a += node[new].tolist()
+                b += [node[head]] * len(new)
+                front += new.tolist()
+                left = left[~hit]
+        e = pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+        return pd.DataFrame({"a": e.max(axis=1), "b": e.min(axis=1)})
+
+    return run
+
+
 def _emit(probe: Probe, names: list[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -499,16 +539,15 @@ def _emit(probe: Probe, names: list[str]):
     return run
 
 
-def _verify(near: Near, names: list[str]):
+def _verify(radius: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows come sorted by key; the last key of a batch waits for the next one."""
         held: list[pd.DataFrame] = []
 
         def out(pdf: pd.DataFrame) -> pd.DataFrame:
-            bits = np.stack([pdf[x].to_numpy(np.int64) for x in names[1:]], axis=1).view(np.uint64)
-            i, j, sure = _edges_of(pdf["key"].to_numpy(), bits, near)
+            i, j, dense = _edges_of(pdf["key"].to_numpy(), pdf["fp"].to_numpy(np.int64).view(np.uint64), radius)
             x, y = pdf["first"].to_numpy()[i], pdf["first"].to_numpy()[j]
-            e = pd.DataFrame({"a": np.maximum(x, y), "b": np.minimum(x, y), "sure": sure | (near.differ is None)})
+            e = pd.DataFrame({"a": np.maximum(x, y), "b": np.minimum(x, y), "dense": dense})
             return e[e["a"] != e["b"]].drop_duplicates()
 
         for pdf in batches:
@@ -529,20 +568,20 @@ def _verify(near: Near, names: list[str]):
 
 
 def links(reps: DataFrame, near: Near, heavy_from: int = HEAVY) -> DataFrame:
-    """(a, b, sure): edges between nodes, named by column first, whose components are those of all links.
-    Those that are not sure are whole pairs, which a check on the texts may take out one by one.
+    """(a, b, dense): edges between nodes, named by column first, whose components are those of all
+    pairs within near.radius.  Those that are not dense are such pairs; dense ones only span a group of them.
 
-    reps has one row per node: first, fp and, if near.differ is given, the checking bits.
+    reps has one row per node: first and fp.  Other bits stay behind, so that a key costs as little disk as may be.
     """
     spark = reps.sparkSession
-    names = ["first", "fp", *(CHECK if near.differ is not None else [])]
+    names = ["first", "fp"]
     reps = reps.select(*names).where("first IS NOT NULL")
     co = np.zeros((65, 65), np.int64)
     for r in reps.select("fp").mapInPandas(_co_counts, "i int, j int, n long").groupBy("i", "j").agg(F.sum("n").alias("n")).collect():  # 2145 numbers
         co[r.i, r.j] = co[r.j, r.i] = r.n
     n = int(co[64, 64])
     if n < 2:
-        return spark.createDataFrame([], "a long, b long, sure boolean")
+        return spark.createDataFrame([], "a long, b long, dense boolean")
     groups = bit_groups(co, choose_m(co, near.radius))
     least = max(heavy_from, int(n * HEAVY_SHARE))
 
@@ -560,7 +599,7 @@ def links(reps: DataFrame, near: Near, heavy_from: int = HEAVY) -> DataFrame:
     probe = Probe(groups, near.radius, [n * collision(co, g) for g in groups], heavy)
     schema = "key long, " + ", ".join(f"{x} long" for x in names)
     keyed = reps.mapInPandas(_emit(probe, names), schema)
-    return keyed.repartition("key").sortWithinPartitions("key").mapInPandas(_verify(near, names), "a long, b long, sure boolean").distinct()
+    return keyed.repartition("key").sortWithinPartitions("key").mapInPandas(_verify(near.radius), "a long, b long, dense boolean").distinct()
 
 
 # ---------------------------------------------------------------- components
@@ -592,15 +631,33 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return e.select(F.col("a").alias("node"), F.col("b").alias("root")).union(e.select(F.col("b"), F.col("b"))).distinct()
 
 
+def _compared(docs: DataFrame, reps: DataFrame, edges: DataFrame, near: Near) -> DataFrame:
+    """(a, b): edges that join what those pairs of links() join whose checking bits are near
+    and whose shingles are alike.
+
+    The nodes of a dense group, and no others, meet in one task with their sets; all
+    other pairs are joined to the bits of both sides and then to their sets.
+    """
+    member = common.kept(components(edges.where("dense")), "dense")
+    of = [member.select(F.col("node").alias(x), F.col("root").alias(f"root{x}")) for x in "ab"]
+    bits = [reps.select(F.col("first").alias(x), *[F.col(v).alias(f"{v}{x}") for v in CHECK]) for x in "ab"]
+    differ = sum((F.bit_count(F.col(f"{v}a").bitwiseXOR(F.col(f"{v}b"))) for v in CHECK), F.lit(0))
+    pairs = edges.where("NOT dense").select("a", "b").join(of[0], "a", "left").join(of[1], "b", "left").where("NOT coalesce(roota = rootb, false)")
+    pairs = common.kept(pairs.join(bits[0], "a").join(bits[1], "b").where(differ <= near.loose).select("a", "b").distinct(), "pairs")
+    group = member.join(reps, member["node"] == reps["first"]).drop("first")
+    sets = _sets_of(docs, member.select(F.col("node").alias("_id")))
+    proved = group.join(sets, group["node"] == sets["doc_id"]).select("root", "node", "fp", *CHECK, "h").groupBy("root").applyInPandas(_proved(near), "a long, b long")
+    return alike(docs, pairs).union(proved)
+
+
 def _classes(docs: DataFrame, fps: DataFrame, near: Near, heavy_from: int) -> DataFrame:
     """fps with component_id: the least doc_id reachable over links and equal bits."""
-    names = ["fp", *(CHECK if near.differ is not None else [])]
+    names = ["fp", *(CHECK if near.loose is not None else [])]
     fps = common.kept(fps, "fps")
     reps = common.kept(fps.groupBy(*names).agg(F.min("doc_id").cast("long").alias("first")), "reps")
     edges = links(reps, near, heavy_from)
-    if near.differ is not None:
-        edges = common.kept(edges, "links")
-        edges = edges.where("sure").select("a", "b").union(alike(docs, edges.where("NOT sure").select("a", "b")))
+    if near.loose is not None:
+        edges = _compared(docs, reps, common.kept(edges, "links"), near)
     member = components(edges)
     label = reps.join(member, reps["first"] == member["node"], "left").select(*[F.col(x).alias(f"_{x}") for x in names], F.coalesce("root", "first").alias("component_id"))
     on = [F.col(x) == F.col(f"_{x}") for x in names]
@@ -619,13 +676,13 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, heavy_from: int = HEA
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_copies(docs: DataFrame, radius: int = SKETCH_RADIUS, differ: int = SKETCH_DIFFER, loose: int = SKETCH_LOOSE, heavy_from: int = HEAVY) -> DataFrame:
+def near_copies(docs: DataFrame, radius: int = SKETCH_RADIUS, loose: int = SKETCH_LOOSE, heavy_from: int = HEAVY) -> DataFrame:
     """doc_id and component_id, links being pairs alike in 0.8 of their five-word shingles.
 
     Candidates come from the SimHash of the distinct words within ``radius``
     bits by the same search.  Those of which ``loose`` or fewer of 256 SimHash bits
-    over the five-word shingles differ are compared shingle by shingle.  In a group
-    so dense that its pairs are not listed (DENSE), ``differ`` bits decide.  Texts
-    without words are one class.  Else as near_duplicates().
+    over the five-word shingles differ are compared shingle by shingle, also in
+    groups so dense that their pairs are not listed (DENSE).  Texts without words
+    are one class.  Else as near_duplicates().
     """
-    return _classes(docs, fingerprints(docs, sketch=True), Near(radius, differ, loose), heavy_from).select("doc_id", "component_id")
+    return _classes(docs, fingerprints(docs, sketch=True), Near(radius, loose), heavy_from).select("doc_id", "component_id")
