@@ -182,6 +182,17 @@ def edited(r, words, n):
     return w
 
 
+def test_near_copies_of_seven_and_eight_bits(spark):
+    r, texts = random.Random(3), []
+    for _ in range(250):
+        w = [f"w{r.randrange(3000)}" for _ in range(100)]
+        texts += [" ".join(w), " ".join(edited(r, w, 2))]
+    want, far = near_classes(texts)
+    got = {x.doc_id: x.component_id for x in simhash.near_copies(spark.createDataFrame(rows_of(texts), DOCUMENTS)).collect()}
+    assert sum(d in (7, 8) for d, _, _ in far) > 5
+    assert got == want
+
+
 def test_dense_groups_are_proved_on_shingles(spark):
     """Groups of near copies of each other, whose centres are alike in some 0.7."""
     r = random.Random(4)

@@ -49,7 +49,7 @@ DENSE = 4
 #: Of near_copies: shingle width, radius over the distinct words' fingerprint, and how many of the 256 checking bits may
 #: differ in a pair whose shingles are compared after it.  At a similarity of 0.8 of five-word shingles 39 do on average,
 #: with a standard deviation of 6.
-SKETCH_SHINGLE, SKETCH_RADIUS, SKETCH_LOOSE = 5, 6, 60
+SKETCH_SHINGLE, SKETCH_RADIUS, SKETCH_LOOSE = 5, 8, 60
 CHECK = ["v0", "v1", "v2", "v3"]
 
 _P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
