@@ -59,3 +59,35 @@ def test_empty_tables(spark, which):
     docs = spark.createDataFrame([] if which == "docs" else [(1, "a b", "", "", 0)], DOCUMENTS)
     bench = spark.createDataFrame([] if which == "bench" else [(1, "a b c d")], ITEMS)
     assert D.overlaps(docs, bench).collect() == []
+
+
+def test_every_accepted_pattern_has_a_seed():
+    import itertools
+
+    for n in range(5, 22):
+        masks = [[k for k, x in enumerate(m) if x == "1"] for m in (*D.MASKS, *(D.SHORT_MASKS if n < D.MIN_OVERLAP else ()))]
+        for out in itertools.combinations(range(1, n - 1), n // 5):
+            assert any(all(at + k < n and at + k not in out for k in m) for m in masks for at in range(n - 3)), (n, out)
+
+
+def test_short_altered_passages_and_text_ends(spark, rng):
+    """Passages of 13 to 20 words with up to a fifth replaced, within, at the ends and cut off."""
+    items, docs, want = [], [], set()
+    for n in range(5, 21):
+        for bad in range(n // 5 + 1):
+            for side in range(3):
+                item = [f"i{len(items)}n{k}" for k in range(n)]
+                got = list(item)
+                for k in rng.sample(range(1, n - 1), bad):
+                    got[k] = "other"
+                docs.append(" ".join([*(prose(rng, 30).split() if side != 1 else []), *got, *(prose(rng, 30).split() if side != 2 else [])]))
+                want.add((len(docs) - 1, len(items)))
+                items.append(" ".join(item))
+    long = [f"long{k}" for k in range(40)]
+    items.append(" ".join(long))
+    for part in (long[:13], long[-13:], long[10:23]):  # 13 words of a longer item at the end of a text, at its start, and as all of it
+        docs += [prose(rng, 20) + " " + " ".join(part), " ".join(part) + " " + prose(rng, 20), " ".join(part)]
+        want |= {(len(docs) - k, len(items) - 1) for k in (1, 2, 3)}
+    docs.append(" ".join(long[:12]))
+    table, bench = spark.createDataFrame(rows_of(docs), DOCUMENTS), spark.createDataFrame(list(enumerate(items)), ITEMS)
+    assert {(r.doc_id, r.item_id) for r in D.overlaps(table, bench).collect()} == want

@@ -1,11 +1,17 @@
 """Benchmark decontamination by spaced seeds.
 
-A seed is a fixed mask over SPAN consecutive tokens; only the tokens at its
-ones are hashed, so a substituted word under a zero doesn't hide the rest.
-The hashes of all benchmark windows are joined with those of all training
-windows, and around every hit the benchmark item is laid along the document
-and compared word by word: an overlap counts if it spans MIN_OVERLAP tokens or
-the whole of a shorter item and at least IDENTITY of its words agree.
+A seed is a fixed mask over four or five consecutive tokens; only the tokens at
+its ones are hashed.  The hashes of all benchmark windows are joined with those
+of all training windows, and along every hit the benchmark item is laid on the
+document and compared word by word: an overlap counts if it spans MIN_OVERLAP
+tokens or the whole of a shorter item and at least IDENTITY of its words agree.
+
+Every such overlap has a seed.  A run of n words, the first and last equal, of
+which e <= n / 5 differ, has n - e equal words in e + 1 stretches at most.
+From 13 words on that is a stretch of four, but where 15 words are stretches of
+three with one word between them, which 11101 meets; of 5 to 12 words a stretch
+of four, or one of three or two with equal words one place on, which one of the
+four masks meets.  An item of fewer than five words has to agree in all.
 
 The benchmark is the query side.  It goes to the tasks in blocks of at most
 BLOCK_WINDOWS windows (a bound in bytes), one pass over the documents for each
@@ -14,8 +20,8 @@ costs no more than any other text.
 
 Tokens are runs of ASCII letters and digits and of bytes beyond ASCII, A-Z
 lower-cased; all else separates.  Defined results: null or empty texts on
-either side match nothing; an item shorter than SPAN tokens is matched by its
-whole token sequence; repeated documents are each reported; an empty table
+either side match nothing; an item shorter than MIN_OVERLAP tokens is matched
+as a whole; repeated documents are each reported; an empty table
 gives no rows.  Only doc_id and text, item_id and text are read.
 """
 
@@ -30,9 +36,9 @@ from pyspark.sql import functions as F
 
 from winnow.llm import textscan as ts
 
-#: Fixed masks, nine of fourteen tokens each: of any three substitutions in a run of 28 words, one mask somewhere avoids all.
-MASKS = ("11101100101011", "11010011101101", "11111111100000")
-SPAN = 14
+#: Fixed masks of four tokens each, and those that only items shorter than MIN_OVERLAP need.
+MASKS = ("1111", "11101")
+SHORT_MASKS = ("11011", "10111")
 MIN_OVERLAP = 13
 IDENTITY = 0.8
 BLOCK_WINDOWS = 1_000_000
@@ -66,17 +72,19 @@ class Block:
         sizes = np.concatenate([np.diff(wb) for _, wb, _ in parts]) if parts else np.zeros(0, int)
         self.border = np.concatenate([[0], np.cumsum(sizes)])
         self.tokens = np.concatenate([h for h, _, _ in parts]) if parts else np.zeros(0, np.uint64)
-        keys, items, offs, ms = [], [], [], []
+        keys, items, offs = [], [], []
         row = ts.row_of(self.border)
-        at = ts.windows_of(self.border, SPAN)
-        for m, mask in enumerate(MASKS):
+        self.masks = MASKS + SHORT_MASKS * bool(((sizes >= 5) & (sizes < MIN_OVERLAP)).any())
+        for mask in self.masks:
+            at = ts.windows_of(self.border, len(mask))
+            if mask in SHORT_MASKS:
+                at = at[sizes[row[at]] < MIN_OVERLAP]
             keys.append(_seed_hashes(self.tokens, at, mask))
             items.append(row[at])
             offs.append(at - self.border[row[at]])
-            ms.append(np.full(len(at), m))
-        # items shorter than a mask: their whole sequence, found by length
+        # items of fewer than five tokens: their whole sequence, found by length
         self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for n in np.unique(sizes[(sizes > 0) & (sizes < SPAN)]):
+        for n in np.unique(sizes[(sizes > 0) & (sizes < 5)]):
             who = np.flatnonzero(sizes == n)
             k = _seed_hashes(self.tokens, self.border[who], "1" * int(n))
             order = np.argsort(k)
@@ -102,8 +110,8 @@ class Block:
             items.append(item[j])
             diag.append(at[which] - off[j])
 
-        at = ts.windows_of(wb, SPAN)
-        for mask in MASKS:
+        for mask in self.masks:
+            at = ts.windows_of(wb, len(mask))
             k = _seed_hashes(h, at, mask)
             on = self.sieve[(k >> _U(42)).astype(np.int64)]
             if on.any():
@@ -116,8 +124,27 @@ class Block:
                 meet(w[on], k[on], key, item, np.zeros(len(item), int))
         if not rows:
             return (np.zeros(0, int),) * 3
-        found = np.unique(np.stack([np.concatenate(rows), np.concatenate(items), np.concatenate(diag)]), axis=1)
-        return found[0], found[1], found[2]
+        r, i, d = np.concatenate(rows), np.concatenate(items), np.concatenate(diag)
+        order = np.lexsort((d, i, r))
+        r, i, d = r[order], i[order], d[order]
+        new = np.concatenate([[True], (r[1:] != r[:-1]) | (i[1:] != i[:-1]) | (d[1:] != d[:-1])])[: len(r)]
+        return self._enough(h, wb, r[new], i[new], d[new])
+
+    def _enough(self, h: np.ndarray, wb: np.ndarray, row: np.ndarray, item: np.ndarray, diag: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of these, where so many words agree along the diagonal as the shortest overlap needs."""
+        n = self.border[item + 1] - self.border[item]
+        lo, hi = np.maximum(diag, wb[row]), np.minimum(diag + n, wb[row + 1])
+        least = np.minimum(MIN_OVERLAP, n)
+        on = np.zeros(len(row), bool)
+        worth = np.flatnonzero(hi - lo >= least)
+        ends = np.cumsum((hi - lo)[worth])
+        for some in np.split(worth, np.flatnonzero(np.diff(ends // 4_000_000)) + 1) if len(worth) else ():
+            size = (hi - lo)[some]
+            to = np.concatenate([[0], np.cumsum(size)])
+            at = np.repeat(lo[some] - to[:-1], size) + np.arange(to[-1])
+            same = h[at] == self.tokens[at + np.repeat(self.border[item[some]] - diag[some], size)]
+            on[some] = np.add.reduceat(same, to[:-1], dtype=np.int64) >= least[some] * IDENTITY - 1e-9
+        return row[on], item[on], diag[on]
 
     def overlaps(self, h: np.ndarray, wb: np.ndarray) -> list[tuple]:
         """(row, item, first word in the row, words, equal words) of the best verified overlap of each pair."""
