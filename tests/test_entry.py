@@ -49,3 +49,16 @@ def test_without_sql(spark, name):
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_whole_benchmark_texts(spark):
+    """No item is left out and no design is cut to its first letters."""
+    from pyspark.sql import functions as F
+
+    from winnow import queries as q
+
+    sf = "/root/testdata/sf0.001"
+    n = {str(r.item_id): r.n for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", F.length(F.regexp_replace("text", "[^A-Za-z]", "")).alias("n")).collect()}
+    got = {r.ID: r.construct for r in q.order_constructs(spark, sf).collect()}
+    assert set(got) == set(n) and all(len(got[i]) > 3 * n[i] for i in n)
+    assert {r[0] for r in q.sequence_identity(spark, sf).collect()} == set(n)

@@ -619,7 +619,6 @@ def pca(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def sequence_identity(spark: SparkSession, d: str) -> DataFrame:
     b = table(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("id"), F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("sequence"))
-    b = b.filter("length(sequence) < 260")
     return similarity.max_identity(b, b, 1, self_mode=True)
 
 
@@ -631,7 +630,7 @@ def native_clusters(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def order_constructs(spark: SparkSession, d: str) -> DataFrame:
-    s = F.left(F.translate(F.upper(F.regexp_replace("text", "[^A-Za-z]", "")), "BJOUXZ", "ACDEFG"), F.lit(60))
+    s = F.translate(F.upper(F.regexp_replace("text", "[^A-Za-z]", "")), "BJOUXZ", "ACDEFG")
     return prepare_order(table(spark, d, "benchmark").select(F.col("item_id").alias("ID"), s.alias("sequence")))
 
 
