@@ -43,3 +43,25 @@ def test_repeated_ids_and_empty(spark):
     got = T.tokenised(spark.createDataFrame([(5, "a"), (5, "a"), (5, "b c")], "doc_id long, text string")).collect()
     assert sorted(r.start for r in got) == [0, 2, 4] and {r.doc_id for r in got} == {5}
     assert T.tokenised(spark.createDataFrame([], DOCUMENTS)).collect() == []
+
+
+def test_words_with_and_without_the_separator_inside(spark):
+    texts = ["<|startoftext|>", "a<|startoftext|>b c", "x1 y-2 <|startoftext|>", "Straße, İstanbul. ΣΑΣ, ﬁx. don't. A.B, .,. ,", "é é Å Å.", "a\x1cb a b"]
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in T.tokenised(spark.createDataFrame(rows_of(texts), DOCUMENTS)).collect()}
+    assert got == want(texts)
+
+
+def test_null_ids_come_first_and_extra_columns_are_not_read(spark):
+    rows = [(None, "b", 1, "z"), (1 << 60, "a", 2, "z"), (None, "a a", 3, "z"), ((1 << 60) + 1, None, 4, "z"), (-3, "c", 5, "z")]
+    got = T.tokenised(spark.createDataFrame(rows, "doc_id long, text string, part int, ids string")).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None, None, -3, 1 << 60, (1 << 60) + 1]
+    assert [r.start for r in got] == [0, got[0].n_tokens, 5, 7, 9] and all(r.file.endswith(".bin") for r in got)
+
+
+def test_many_repeated_ids_over_parts(spark, monkeypatch):
+    monkeypatch.setattr(T, "PART_DOCS", 4)
+    monkeypatch.setattr(T, "KEEP_WORDS", 5)
+    rows = [(i // 10 if i < 30 else i, f"w{i} end", "en", "a", 1) for i in range(60)]
+    got = T.tokenised(spark.createDataFrame(rows, DOCUMENTS).repartition(5)).orderBy("start").collect()
+    assert [r.doc_id for r in got] == sorted(r[0] for r in rows)
+    assert [r.start for r in got] == np.concatenate([[0], np.cumsum([r.n_tokens for r in got])[:-1]]).tolist()
