@@ -43,7 +43,7 @@ def test_against_plain_code(spark):
     src = {r[0]: r[3] for r in rows}
     total = {s: sum(size[i] for i in src if src[i] == s) for s in set(src.values())}
     t = targets(total)
-    order = lambda i: (math.floor(math.log2(size[i] + 1.0) * 8), i * 2654435761 % mixing.SLOTS, i)
+    order = lambda i: (math.floor(math.log2(size[i] + 1.0) * 8), i % mixing.SLOTS, i)
     for s in total:
         rate = t[s] / total[s] if total[s] else 0.0
         for k, i in enumerate(sorted((i for i in src if src[i] == s), key=order), 1):
@@ -60,7 +60,7 @@ def test_emitted_rows(spark):
     out = mixing.mixed(df)
     assert out.columns == df.columns
     n = {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()}
-    want = {r.doc_id: r.copies for r in mixing.copies(mixing.sized(df)).collect() if r.copies}
+    want = {r.id: r.copies for r in mixing.copies(mixing.sized(df)).collect() if r.copies}
     assert n == want
 
 
@@ -86,3 +86,14 @@ def test_sql_on_the_smallest_tables(spark):
     want = {r[0]: r[1:] for r in con.execute(f"SELECT doc_id, size, source_size, target, taken FROM ({mixing.ORACLE})").fetchall()}
     got = {r.doc_id: tuple(r)[1:] for r in mixing.mix(spark.read.parquet(path)).collect()}
     assert got == want
+
+
+def test_repeated_rows_large_ids_and_names_that_clash(spark):
+    rows = [(4_000_000_000, "a b", "s", 1, 2), (4_000_000_000, "a b", "s", 1, 2), (4_000_000_000, "c d", "s", 3, 2), (-(1 << 62), "e f", "s", 4, 2), (None, "g h", "s", 5, 2), (None, "x " * 300_000, "s", 6, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, copies int, _id int")
+    got = mixing.mix(df).collect()
+    assert len(got) == 6 and sum(r.taken for r in got) == sum(r.size for r in got)  # one source: each row once
+    out = mixing.mixed(df)
+    assert out.columns == df.columns and sorted(out.collect(), key=str) == sorted(df.collect(), key=str)
+    other = spark.createDataFrame(rows, "doc_id long, text string, source string, TEXT int, Doc_Id int")
+    assert mixing.mix(other).count() == 6

@@ -16,11 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (spark.checkpoint.dir).
 
-    Where the session has none, as in tests on one machine, one is set.
+    Where a session on one machine has none, as in tests, one is set; on a
+    cluster a local folder would be no place for it, so that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         context = spark.sparkContext
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         if not context._jsc.sc().getCheckpointDir().isDefined():
             context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="winnow-"))
         found = context._jsc.sc().getCheckpointDir().get()
@@ -57,6 +60,18 @@ def n_words(col: str = "text"):
     return F.coalesce(F.regexp_count(F.col(col), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def numbered(df: DataFrame, prefix: str = "c") -> DataFrame:
+    """The columns named by their place, so that no name clashes with any other, in whatever case."""
+    return df.toDF(*[f"{prefix}{i}" for i in range(len(df.columns))])
+
+
+def place(df: DataFrame, name: str) -> int:
+    """The place of the column of exactly this name, else of the first that is so in any case."""
+    low = [x.lower() for x in df.columns]
+    return df.columns.index(name) if name in df.columns else low.index(name.lower())
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
-    """Only these columns; a column of the same name in other case, or any extra one, is not read."""
-    return df.select(*[F.col(f"`{n}`") for n in names])
+    """Only these columns; one of the same name in other case, or any extra one, is not read."""
+    d = numbered(df)
+    return d.select(*[F.col(f"c{place(df, n)}").alias(n) for n in names])

@@ -11,12 +11,16 @@ The order goes by size first (bins of a ninth), so that large and small
 documents are drawn evenly, then by a slot of the id.  Source, bin and slot
 make short strata: one grouped count gives the base of each, and only the rows
 of a stratum are ordered together, so a source with a third of all rows is
-spread over thousands of groups.
+spread over thousands of groups.  Words are counted once and stored; all else
+reads the counts.
 
 Built-in expressions only.  Defined results: a null text has size 0 and may
-be drawn like any other; a null source is one of its own, after the others;
-repeated rows are drawn one by one, in an arbitrary but equal order; a table
-without words takes nothing.  Only the columns of documents named here decide.
+be drawn like any other; a null source is one of its own, after the others; a
+null doc_id takes its slot from the text.  Rows are drawn one by one, whether or
+not they repeat: three rows of one doc_id are three documents, of which equal
+ones are alike to the draw.  A very long text is one row like any other; a
+table without words takes nothing, an empty one gives no rows.  Only doc_id,
+text and source decide; other columns, whatever their names, are left alone.
 """
 
 from __future__ import annotations
@@ -30,7 +34,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 MAX_COPIES = 3.0
 #: The one random offset, drawn once for the seed 42.
 OFFSET = 0.6394267984578837
-SLOTS = 1024
+#: A prime, so that ids in steps of any other number spread over all slots.
+SLOTS = 1021
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
@@ -57,20 +62,23 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS) -> DataFrame
     return s.select("source", F.col("size").cast("long").alias("source_size"), F.when(F.col("is_full") | F.col("level").isNull(), F.col("full")).otherwise(F.col("level") * F.col("weight")).alias("target"))
 
 
-def slot(doc_id, slots: int = SLOTS):
-    return F.pmod(F.coalesce(doc_id, F.lit(-1)) * 2654435761, F.lit(slots))
+def sized(docs: DataFrame) -> DataFrame:
+    """id, source, size, tie of each row, from doc_id, source and text, and the row itself as numbered()."""
+    d = common.numbered(docs)
+    doc_id, source, text = (F.col(f"c{common.place(docs, x)}") for x in ("doc_id", "source", "text"))
+    return d.select("*", doc_id.alias("id"), source.cast("string").alias("source"), text.cast("string").alias("text")).withColumn("size", common.n_words("text")).withColumn("tie", F.xxhash64("text")).drop("text")
 
 
-def copies(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, offset: float = OFFSET) -> DataFrame:
-    """doc_id, size, source_size, target, copies from (doc_id, source, size)."""
-    d = sized.withColumn("bin", F.floor(F.log2(F.col("size") + 1.0) * 8).cast("int")).withColumn("slot", slot(F.col("doc_id")))
+def copies(stored: DataFrame, weights: tuple[float, ...] = WEIGHTS, offset: float = OFFSET) -> DataFrame:
+    """Of rows with id, source, size and tie, which should be read from files: all their columns, source_size, target and copies."""
+    d = stored.withColumn("bin", F.floor(F.log2(F.col("size") + 1.0) * 8).cast("int")).withColumn("slot", F.pmod(F.coalesce(F.col("id"), F.col("tie")), F.lit(SLOTS)))
     strata = common.kept(d.groupBy("source", "bin", "slot").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words")), "strata")
     t = targets(strata.groupBy("source").agg(F.sum("words").alias("source_size")), weights)
     earlier = Window.partitionBy("source").orderBy("bin", "slot").rowsBetween(Window.unboundedPreceding, -1)
     base = strata.withColumn("base", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n", "words")
     plan = base.join(t.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
     plan = plan.select(F.col("source").alias("_source"), F.col("bin").alias("_bin"), F.col("slot").alias("_slot"), "base", "source_size", "target")
-    within = Window.partitionBy("source", "bin", "slot").orderBy("doc_id", "size")
+    within = Window.partitionBy("source", "bin", "slot").orderBy("id", "size", "tie")
     k = F.col("base") + F.col("k")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     d = d.withColumn("k", F.row_number().over(within))
@@ -80,21 +88,18 @@ def copies(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, offset: float
     return d.withColumn("copies", F.least(crossed, F.lit(int(MAX_COPIES)))).drop("_source", "_bin", "_slot", "bin", "slot", "k", "base", "rate")
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.col("source").cast("string").alias("source"), common.n_words("text").alias("size"))
-
-
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, offset: float = OFFSET) -> DataFrame:
     """doc_id, size, source_size, target and taken: the words that the mix takes of each document."""
-    c = copies(sized(docs), weights, offset)
-    return c.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+    stored = common.kept(sized(docs).select("id", "source", "size", "tie"), "sizes")
+    c = copies(stored, weights, offset)
+    return c.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
 def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, offset: float = OFFSET) -> DataFrame:
-    """The documents themselves, each as many times as it is taken.  doc_id must be unique here."""
-    c = copies(sized(docs), weights, offset).where("copies > 0").select(F.col("doc_id").alias("_id"), "copies")
-    out = docs.join(c, F.col("doc_id") == F.col("_id"))
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*[docs[x] for x in docs.columns])
+    """The documents themselves, with all their columns, each as many times as it is taken."""
+    c = copies(common.kept(sized(docs), "sizes"), weights, offset).where("copies > 0")
+    out = c.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return out.select(*[f"c{i}" for i in range(len(docs.columns))]).toDF(*docs.columns)
 
 
 ORACLE = f"""
@@ -113,7 +118,7 @@ WITH d AS (
   SELECT source, size::BIGINT AS source_size,
     CASE WHEN is_full THEN cap ELSE weight * (SELECT level FROM fl WHERE NOT is_full ORDER BY cap / weight, source NULLS LAST LIMIT 1) END AS target FROM fl
 ), o AS (
-  SELECT d.*, row_number() OVER (PARTITION BY source ORDER BY floor(log2(size + 1.0::DOUBLE) * 8), (((doc_id * 2654435761) % {SLOTS}) + {SLOTS}) % {SLOTS}, doc_id, size) AS k FROM d
+  SELECT d.*, row_number() OVER (PARTITION BY source ORDER BY floor(log2(size + 1.0::DOUBLE) * 8), ((doc_id % {SLOTS}) + {SLOTS}) % {SLOTS}, doc_id, size) AS k FROM d
 ), r AS (
   SELECT o.doc_id, o.size, t.source_size, t.target, k, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate
   FROM o JOIN t ON o.source IS NOT DISTINCT FROM t.source
