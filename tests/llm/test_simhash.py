@@ -205,3 +205,17 @@ def test_dense_groups_are_proved_on_shingles(spark):
     assert 1 < len(set(want.values())) < len(texts) / 8
     got = {x.doc_id: x.component_id for x in simhash.near_copies(spark.createDataFrame(rows_of(texts), DOCUMENTS)).collect()}
     assert got == want
+
+
+def test_large_groups_in_blocks(spark, monkeypatch):
+    """One base with 1 to 12 edits: many classes in one dense group, dealt over blocks, some of them by their equal fingerprints."""
+    monkeypatch.setattr(simhash, "BLOCK_NODES", 40)
+    monkeypatch.setattr(simhash, "SAME", 3)
+    r = random.Random(8)
+    w = [f"w{r.randrange(3000)}" for _ in range(300)]
+    texts = [" ".join(edited(r, w, r.randint(1, 12))) for _ in range(150)]
+    texts += [" ".join([*w[:k], *w[k + 1 :]]) for k in range(0, 60, 5)] + [" ".join([*w, w[k]]) for k in range(12)]
+    want, _ = near_classes(texts)
+    got = {x.doc_id: x.component_id for x in simhash.near_copies(spark.createDataFrame(rows_of(texts), DOCUMENTS)).collect()}
+    assert 20 < len(set(want.values())) < 140
+    assert got == want

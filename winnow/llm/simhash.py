@@ -51,6 +51,10 @@ DENSE = 4
 #: with a standard deviation of 6.
 SKETCH_SHINGLE, SKETCH_RADIUS, SKETCH_LOOSE = 5, 8, 60
 CHECK = ["v0", "v1", "v2", "v3"]
+#: Nodes of one fingerprint from which one of them stands for all in the search; they are a group to be proved then.
+SAME = 64
+#: Nodes and shingles of a dense group that are compared in one task.
+BLOCK_NODES, BLOCK_SHINGLES = 2048, 2_000_000
 
 _P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 U = np.uint64
@@ -207,7 +211,7 @@ def _fingerprints(sketch: bool):
 def fingerprints(docs: DataFrame, sketch: bool = False) -> DataFrame:
     """doc_id and the fingerprint (as a signed long) of every whole text; null counts as empty.
     With sketch, that of sketch_chunk and its checking bits."""
-    d = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    d = common.pick(docs, "doc_id", "text").withColumn("text", F.col("text").cast("string"))
     return d.mapInArrow(_fingerprints(sketch), f"doc_id {d.schema['doc_id'].dataType.simpleString()}, fp long" + "".join(f", {x} long" for x in CHECK) * sketch)
 
 
@@ -224,7 +228,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """doc_id and h, the distinct shingles, of the documents whose doc_id is among _id."""
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    d = common.pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return d.join(ids, d.doc_id == ids._id, "left_semi").mapInArrow(_sets, "doc_id long, h array<long>").dropDuplicates()
 
 
@@ -490,38 +494,43 @@ def _edges_of(key: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray,
 
 
 def _proved(near: Near):
-    """Of the nodes of a dense group: edges of a spanning forest of those links that
-    share 0.8 or more of their distinct shingles, each compared set by set."""
+    """Of some nodes, each in a class already: edges that join those classes which
+    a pair near by its bits that shares 0.8 or more of its distinct shingles joins."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         node = pdf["node"].to_numpy(np.int64)
+        _, cls = np.unique(pdf["cls"].to_numpy(np.int64), return_inverse=True)
+        order = np.argsort(cls, kind="stable")
+        members = np.split(order, np.flatnonzero(np.diff(cls[order])) + 1)
         bits = np.stack([pdf[x].to_numpy(np.int64) for x in ("fp", *CHECK)], axis=1).view(np.uint64)
         size = pdf["h"].map(len).to_numpy(np.int64)
         values, code = np.unique(np.concatenate([np.asarray(h, np.int64) for h in pdf["h"]]), return_inverse=True)
         start = np.concatenate([[0], np.cumsum(size)])
         mark = np.zeros(len(values), bool)
-        left, a, b = np.arange(len(node)), [], []
-        while len(left):
-            front, left = [left[0]], left[1:]
-            while front and len(left):
+        waits, a, b = np.ones(len(node), bool), [], []
+        for first in range(len(members)):
+            front = [] if not waits[members[first][0]] else members[first].tolist()
+            waits[members[first]] = False
+            while front:
                 head = front.pop()
+                near_by = np.flatnonzero(waits)
+                near_by = near_by[near.pairs(bits[head][None], bits[near_by])]
                 own = code[start[head] : start[head + 1]]
                 mark[own] = True
-                near_by = np.flatnonzero(near.pairs(bits[head][None], bits[left]))
-                hit = np.zeros(len(left), bool)
                 for lo in range(0, len(near_by), 4096):
                     at = near_by[lo : lo + 4096]
-                    n = size[left[at]]
+                    n = size[at]
                     to = np.concatenate([[0], np.cumsum(n)])
-                    flat = code[np.repeat(start[left[at]] - to[:-1], n) + np.arange(to[-1])]
+                    flat = code[np.repeat(start[at] - to[:-1], n) + np.arange(to[-1])]
                     same = np.diff(np.concatenate([[0], np.cumsum(mark[flat])])[to])
-                    hit[at] = 9 * same >= 4 * (size[head] + n)
+                    new = at[9 * same >= 4 * (size[head] + n)]
+                    a += node[new].tolist()
+                    b += [node[head]] * len(new)
+                    for c in np.unique(cls[new]):
+                        if waits[members[c][0]]:
+                            waits[members[c]] = False
+                            front += members[c].tolist()
                 mark[own] = False
-                new = left[hit]
-                a += node[new].tolist()
-                b += [node[head]] * len(new)
-                front += new.tolist()
-                left = left[~hit]
         e = pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
         return pd.DataFrame({"a": e.max(axis=1), "b": e.min(axis=1)})
 
@@ -546,7 +555,8 @@ def _verify(radius: int):
 
         def out(pdf: pd.DataFrame) -> pd.DataFrame:
             i, j, dense = _edges_of(pdf["key"].to_numpy(), pdf["fp"].to_numpy(np.int64).view(np.uint64), radius)
-            x, y = pdf["first"].to_numpy()[i], pdf["first"].to_numpy()[j]
+            x, y, many = pdf["first"].to_numpy()[i], pdf["first"].to_numpy()[j], pdf["many"].to_numpy()
+            dense |= many[i] | many[j]
             e = pd.DataFrame({"a": np.maximum(x, y), "b": np.minimum(x, y), "dense": dense})
             return e[e["a"] != e["b"]].drop_duplicates()
 
@@ -572,10 +582,20 @@ def links(reps: DataFrame, near: Near, heavy_from: int = HEAVY) -> DataFrame:
     pairs within near.radius.  Those that are not dense are such pairs; dense ones only span a group of them.
 
     reps has one row per node: first and fp.  Other bits stay behind, so that a key costs as little disk as may be.
+    Of SAME or more nodes with one fingerprint only the least is searched for, and it and its links are dense.
     """
     spark = reps.sparkSession
-    names = ["first", "fp"]
-    reps = reps.select(*names).where("first IS NOT NULL")
+    names = ["first", "fp", "many"]
+    reps = reps.select("first", "fp").where("first IS NOT NULL")
+    same = None
+    if near.loose is not None:  # else fingerprints differ
+        one = common.kept(reps.groupBy("fp").agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= SAME), "same")
+        hub = one.select(F.col("fp").alias("_fp"), F.col("first").alias("hub"))
+        found = reps.join(hub, F.col("fp") == F.col("_fp"), "left")
+        same = found.where("first <> hub").select(F.col("first").alias("a"), F.col("hub").alias("b"), F.lit(True).alias("dense"))
+        reps = found.where("hub IS NULL OR first = hub").select("first", "fp", F.col("hub").isNotNull().alias("many"))
+    else:
+        reps = reps.withColumn("many", F.lit(False))
     co = np.zeros((65, 65), np.int64)
     for r in reps.select("fp").mapInPandas(_co_counts, "i int, j int, n long").groupBy("i", "j").agg(F.sum("n").alias("n")).collect():  # 2145 numbers
         co[r.i, r.j] = co[r.j, r.i] = r.n
@@ -597,9 +617,9 @@ def links(reps: DataFrame, near: Near, heavy_from: int = HEAVY) -> DataFrame:
         for r in values.where(F.col("count") >= least).collect():  # len(groups) / HEAVY_SHARE values at most
             heavy.setdefault(r.i, {})[r.v] = r["count"]
     probe = Probe(groups, near.radius, [n * collision(co, g) for g in groups], heavy)
-    schema = "key long, " + ", ".join(f"{x} long" for x in names)
-    keyed = reps.mapInPandas(_emit(probe, names), schema)
-    return keyed.repartition("key").sortWithinPartitions("key").mapInPandas(_verify(near.radius), "a long, b long, dense boolean").distinct()
+    keyed = reps.mapInPandas(_emit(probe, names), "key long, first long, fp long, many boolean")
+    found = keyed.repartition("key").sortWithinPartitions("key").mapInPandas(_verify(near.radius), "a long, b long, dense boolean")
+    return (found if same is None else found.union(same)).distinct()
 
 
 # ---------------------------------------------------------------- components
@@ -631,11 +651,47 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return e.select(F.col("a").alias("node"), F.col("b").alias("root")).union(e.select(F.col("b"), F.col("b"))).distinct()
 
 
+def _in_groups(docs: DataFrame, reps: DataFrame, member: DataFrame, near: Near) -> DataFrame:
+    """(a, b): edges that join what the proved links within each dense group (node, root) join.
+
+    A group of any size is dealt in blocks of bounded nodes and shingles.  Blocks are proved each by itself; then
+    one node of every class found, in blocks again; and where a group still has several classes,
+    every two of its blocks meet, so that no link between classes is lost.
+    """
+    sets = _sets_of(docs, member.select(F.col("node").alias("_id")))
+    rows = member.join(reps, member["node"] == reps["first"]).join(sets, member["node"] == sets["doc_id"]).select("root", "node", "fp", *CHECK, "h")
+    rows = common.kept(rows, "groups")
+
+    def dealt(some: DataFrame) -> DataFrame:
+        """With the block of each node among those of its group, and their number."""
+        n = some.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_NODES), F.ceil(F.sum(F.size("h")) / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+        return some.join(n, "root").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+
+    def proved(some: DataFrame, *by: str) -> DataFrame:
+        return some.select(*by, "node", "cls", "fp", *CHECK, "h").groupBy(*by).applyInPandas(_proved(near), "a long, b long")
+
+    def classed(some: DataFrame, edges: DataFrame) -> DataFrame:
+        c = components(edges).select(F.col("node").alias("_node"), F.col("root").alias("_cls"))
+        return some.join(c, F.col("node") == F.col("_node"), "left").withColumn("cls", F.coalesce("_cls", "node")).drop("_node", "_cls")
+
+    edges = common.kept(proved(dealt(rows).withColumn("cls", F.col("node")), "root", "block"), "proved")
+    large = dealt(rows).where("blocks > 1")
+    if not large.limit(1).count():
+        return edges
+    hubs = classed(large, edges).where("node = cls").drop("blocks", "block")
+    edges = common.kept(edges.union(proved(dealt(hubs), "root", "block")), "proved")
+    nodes = common.kept(classed(large, edges), "classed")
+    several = nodes.groupBy("root").agg(F.min("cls").alias("x"), F.max("cls").alias("y")).where("x < y").select(F.col("root").alias("_root"))
+    each = nodes.join(several, F.col("root") == F.col("_root"), "left_semi").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("other <> block")
+    each = each.select("*", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    return edges.union(proved(each, "root", "low", "high"))
+
+
 def _compared(docs: DataFrame, reps: DataFrame, edges: DataFrame, near: Near) -> DataFrame:
     """(a, b): edges that join what those pairs of links() join whose checking bits are near
     and whose shingles are alike.
 
-    The nodes of a dense group, and no others, meet in one task with their sets; all
+    The nodes of dense groups, and no others, are proved in blocks with their sets; all
     other pairs are joined to the bits of both sides and then to their sets.
     """
     member = common.kept(components(edges.where("dense")), "dense")
@@ -644,10 +700,7 @@ def _compared(docs: DataFrame, reps: DataFrame, edges: DataFrame, near: Near) ->
     differ = sum((F.bit_count(F.col(f"{v}a").bitwiseXOR(F.col(f"{v}b"))) for v in CHECK), F.lit(0))
     pairs = edges.where("NOT dense").select("a", "b").join(of[0], "a", "left").join(of[1], "b", "left").where("NOT coalesce(roota = rootb, false)")
     pairs = common.kept(pairs.join(bits[0], "a").join(bits[1], "b").where(differ <= near.loose).select("a", "b").distinct(), "pairs")
-    group = member.join(reps, member["node"] == reps["first"]).drop("first")
-    sets = _sets_of(docs, member.select(F.col("node").alias("_id")))
-    proved = group.join(sets, group["node"] == sets["doc_id"]).select("root", "node", "fp", *CHECK, "h").groupBy("root").applyInPandas(_proved(near), "a long, b long")
-    return alike(docs, pairs).union(proved)
+    return alike(docs, pairs).union(_in_groups(docs, reps, member, near))
 
 
 def _classes(docs: DataFrame, fps: DataFrame, near: Near, heavy_from: int) -> DataFrame:
@@ -682,7 +735,7 @@ def near_copies(docs: DataFrame, radius: int = SKETCH_RADIUS, loose: int = SKETC
     Candidates come from the SimHash of the distinct words within ``radius``
     bits by the same search.  Those of which ``loose`` or fewer of 256 SimHash bits
     over the five-word shingles differ are compared shingle by shingle, also in
-    groups so dense that their pairs are not listed (DENSE).  Texts without words
+    groups so dense that their pairs are not listed (DENSE), whatever their size.  Texts without words
     are one class.  Else as near_duplicates().
     """
     return _classes(docs, fingerprints(docs, sketch=True), Near(radius, loose), heavy_from).select("doc_id", "component_id")
