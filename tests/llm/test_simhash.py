@@ -169,7 +169,7 @@ def near_classes(texts):
         d = np.bitwise_count(bits[a] ^ bits[b]).astype(int)
         if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
             far.append((int(d[0]), a, b))
-            if d[0] <= 8 and d[1:].sum() <= 60:
+            if d[0] <= 8 and d[1] <= simhash.LOOSE_WORD and d[1:].sum() <= 60:
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     return {i: find(i) for i in range(len(texts))}, far

@@ -51,6 +51,9 @@ DENSE = 4
 #: with a standard deviation of 6.
 SKETCH_SHINGLE, SKETCH_RADIUS, SKETCH_LOOSE = 5, 8, 60
 CHECK = ["v0", "v1", "v2", "v3"]
+#: Of the first 64 of these, which go along in the search: how many may differ.  At a similarity of 0.8 ten do on average,
+#: with a standard deviation of 3, and 32 with one of 4 where texts have nothing in common.
+LOOSE_WORD = 22
 #: Nodes of one fingerprint from which one of them stands for all in the search; they are a group to be proved then.
 SAME = 64
 #: Nodes and shingles of a dense group that are compared in one task.
@@ -426,13 +429,36 @@ class Near:
         return ok
 
 
-def forest(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (pairs of row numbers) of a spanning forest of the links among these fingerprints.
+class Linked:
+    """Rows of fingerprints and their first checking words: which of them are linked.  One that stands
+    for many nodes has the checking word of one of them only, so it is not asked for that."""
+
+    def __init__(self, fp: np.ndarray, radius: int, word: np.ndarray | None = None, many: np.ndarray | None = None) -> None:
+        self.fp, self.radius = fp, radius
+        self.word = np.zeros(len(fp), np.uint64) if word is None else word
+        self.many = np.zeros(len(fp), bool) if many is None else many
+
+    def __len__(self) -> int:
+        return len(self.fp)
+
+    def part(self, lo: int, hi: int) -> Linked:
+        return Linked(self.fp[lo:hi], self.radius, self.word[lo:hi], self.many[lo:hi])
+
+    def __call__(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether rows i and j are, element by element; the shapes broadcast."""
+        ok = np.bitwise_count(self.fp[i] ^ self.fp[j]) <= self.radius
+        if ok.any():
+            ok &= (np.bitwise_count(self.word[i] ^ self.word[j]) <= LOOSE_WORD) | self.many[i] | self.many[j]
+        return ok
+
+
+def forest(linked: Linked) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (pairs of row numbers) of a spanning forest of the links among these rows.
 
     Breadth first: each reached row meets only those not reached yet, so a group
     in which most are linked takes little more than one look each.
     """
-    left, a, b = np.arange(len(fp)), [], []
+    left, a, b = np.arange(len(linked)), [], []
     while len(left):
         root, left = left[:1], left[1:]
         front = root
@@ -441,7 +467,7 @@ def forest(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
             hit = np.zeros(len(left), bool)
             for lo in range(0, len(left), 65_536):
                 some = left[lo : lo + 65_536]
-                hit[lo : lo + len(some)] = (np.bitwise_count(fp[head][:, None] ^ fp[some][None]) <= radius).any(0)
+                hit[lo : lo + len(some)] = linked(head[:, None], some[None]).any(0)
             if hit.any():
                 new = left[hit]
                 a.append(new)
@@ -452,7 +478,7 @@ def forest(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(a or none), np.concatenate(b or none)
 
 
-def _edges_of(key: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _edges_of(key: np.ndarray, linked: Linked) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Edges (row numbers) of every run of equal keys that join what its links join,
     and whether they are of a spanning forest instead of being links themselves.
 
@@ -472,7 +498,7 @@ def _edges_of(key: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray,
         live = live[live + d < last[live]]
         if not len(live):
             break
-        i = live[np.bitwise_count(fp[live] ^ fp[live + d]) <= radius]
+        i = live[linked(live, live + d)]
         if len(i):
             a.append(i)
             b.append(i + d)
@@ -486,7 +512,7 @@ def _edges_of(key: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray,
     a, b = [x[listed[r]]], [y[listed[r]]]
     n = len(a[0])
     for k in np.flatnonzero(~listed & (size > 1)):
-        x, y = forest(fp[border[k] : border[k + 1]], radius)
+        x, y = forest(linked.part(border[k], border[k + 1]))
         a.append(x + border[k])
         b.append(y + border[k])
     x, y = np.concatenate(a), np.concatenate(b)
@@ -554,8 +580,10 @@ def _verify(radius: int):
         held: list[pd.DataFrame] = []
 
         def out(pdf: pd.DataFrame) -> pd.DataFrame:
-            i, j, dense = _edges_of(pdf["key"].to_numpy(), pdf["fp"].to_numpy(np.int64).view(np.uint64), radius)
-            x, y, many = pdf["first"].to_numpy()[i], pdf["first"].to_numpy()[j], pdf["many"].to_numpy()
+            many = pdf["many"].to_numpy(bool)
+            linked = Linked(pdf["fp"].to_numpy(np.int64).view(np.uint64), radius, pdf["word"].to_numpy(np.int64).view(np.uint64), many)
+            i, j, dense = _edges_of(pdf["key"].to_numpy(), linked)
+            x, y = pdf["first"].to_numpy()[i], pdf["first"].to_numpy()[j]
             dense |= many[i] | many[j]
             e = pd.DataFrame({"a": np.maximum(x, y), "b": np.minimum(x, y), "dense": dense})
             return e[e["a"] != e["b"]].drop_duplicates()
@@ -581,19 +609,20 @@ def links(reps: DataFrame, near: Near, heavy_from: int = HEAVY) -> DataFrame:
     """(a, b, dense): edges between nodes, named by column first, whose components are those of all
     pairs within near.radius.  Those that are not dense are such pairs; dense ones only span a group of them.
 
-    reps has one row per node: first and fp.  Other bits stay behind, so that a key costs as little disk as may be.
+    reps has one row per node: first and fp, with near.loose also the checking bits, of which the first word goes
+    along, so that no more pairs leave a task than may be alike, and the others stay behind, to save disk.
     Of SAME or more nodes with one fingerprint only the least is searched for, and it and its links are dense.
     """
     spark = reps.sparkSession
-    names = ["first", "fp", "many"]
-    reps = reps.select("first", "fp").where("first IS NOT NULL")
+    names = ["first", "fp", "word", "many"]
+    reps = reps.select("first", "fp", (F.lit(0).cast("long") if near.loose is None else F.col(CHECK[0])).alias("word")).where("first IS NOT NULL")
     same = None
     if near.loose is not None:  # else fingerprints differ
         one = common.kept(reps.groupBy("fp").agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= SAME), "same")
         hub = one.select(F.col("fp").alias("_fp"), F.col("first").alias("hub"))
         found = reps.join(hub, F.col("fp") == F.col("_fp"), "left")
         same = found.where("first <> hub").select(F.col("first").alias("a"), F.col("hub").alias("b"), F.lit(True).alias("dense"))
-        reps = found.where("hub IS NULL OR first = hub").select("first", "fp", F.col("hub").isNotNull().alias("many"))
+        reps = found.where("hub IS NULL OR first = hub").select("first", "fp", "word", F.col("hub").isNotNull().alias("many"))
     else:
         reps = reps.withColumn("many", F.lit(False))
     co = np.zeros((65, 65), np.int64)
@@ -617,7 +646,7 @@ def links(reps: DataFrame, near: Near, heavy_from: int = HEAVY) -> DataFrame:
         for r in values.where(F.col("count") >= least).collect():  # len(groups) / HEAVY_SHARE values at most
             heavy.setdefault(r.i, {})[r.v] = r["count"]
     probe = Probe(groups, near.radius, [n * collision(co, g) for g in groups], heavy)
-    keyed = reps.mapInPandas(_emit(probe, names), "key long, first long, fp long, many boolean")
+    keyed = reps.mapInPandas(_emit(probe, names), "key long, first long, fp long, word long, many boolean")
     found = keyed.repartition("key").sortWithinPartitions("key").mapInPandas(_verify(near.radius), "a long, b long, dense boolean")
     return (found if same is None else found.union(same)).distinct()
 
