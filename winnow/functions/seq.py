@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ DDXXD_OFFSETS = (0, 1, 4)
 NSE_DTE_OFFSETS = (0, 1, 4, 8)
 AMINO = "ACDEFGHIKLMNPQRSTVWY"
 
+GC = np.array([ord(x) for x in "GCgc"], np.uint32)
+
 
 def find_motifs(df: DataFrame, motifs: list[str], column: str = "sequence") -> DataFrame:
     """A boolean column per expression, named like it; NULL text matches nothing."""
@@ -98,17 +102,25 @@ def max_homopolymer(c: Column) -> Column:
 
 
 def gc_window(c: Column, width: int) -> tuple[Column, Column]:
-    """Least and greatest GC fraction over all windows (one window, if the text is shorter)."""
-    s = F.upper(c)
-    n = F.length(s)
-    w = F.least(F.lit(width), n)
-
-    def share(i: Column) -> Column:
-        part = F.substring(s, i, w)
-        return (F.length(part) - F.length(F.translate(part, "GC", ""))) / w
-
-    fr = F.transform(F.sequence(F.lit(1), n - w + 1), share)
-    return F.when(n > 0, F.array_min(fr)), F.when(n > 0, F.array_max(fr))
+    """Least and greatest GC fraction over all windows (one window, if the text is shorter).
+
+    Prefix sums in Arrow batches: built-in expressions would count every window anew,
+    which takes quadratic time on long texts."""
+
+    @F.pandas_udf("struct<lo double, hi double>")
+    def extremes(texts: pd.Series) -> pd.DataFrame:
+        out = np.full((len(texts), 2), np.nan)
+        for i, t in enumerate(texts):
+            if t:
+                x = np.frombuffer(t.encode("utf-32-le"), np.uint32)
+                k = np.concatenate([[0], np.cumsum(np.isin(x, GC))])
+                w = min(width, len(x))
+                share = (k[w:] - k[:-w]) / w
+                out[i] = share.min(), share.max()
+        return pd.DataFrame(out, columns=["lo", "hi"])
+
+    e = extremes(c)
+    return F.nanvl(e["lo"], F.lit(None).cast("double")), F.nanvl(e["hi"], F.lit(None).cast("double"))
 
 
 def load_labels_by_type(df: DataFrame, key: str, kind: str) -> DataFrame:

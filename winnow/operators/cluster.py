@@ -1,7 +1,13 @@
-"""Native sequence clustering: k-mer candidates, alignment, greedy by length."""
+"""Native sequence clustering: k-mer candidates, alignment, greedy by length.
+
+Candidates share k-mers (a heuristic, as in every fast clustering; ``shared=0``
+compares all of compatible length); on them the greedy rule is exact.
+"""
 
 from __future__ import annotations
 
+import tempfile
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,22 +25,60 @@ def identity_and_coverage(a: str, b: str) -> tuple[float, float]:
     return sum(p == q for p, q in both) / len(both), len(both) / max(len(a), len(b))
 
 
-def candidate_pairs(df: DataFrame, group: str, shared: int = SHARED) -> DataFrame:
-    """Pairs of the same group that share k-mers.  Each k-mer links its sequences to the
-    longest one that has it, so it makes as many pairs as it has sequences."""
-    pos = F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("sequence") - KMER + 1, F.lit(1))), lambda i: F.substring(F.col("sequence"), i, F.lit(KMER)))))
-    k = df.select(group, "ID", "sequence", F.length("sequence").alias("n"), pos.alias("kmer"))
-    first = k.groupBy(group, "kmer").agg(F.min(F.struct((-F.col("n")).alias("n"), "ID")).alias("c")).select(group, "kmer", F.col("c.ID").alias("centre"))
-    p = k.join(first, [group, "kmer"]).filter("ID <> centre").groupBy(group, "centre", "ID").agg(F.count(F.lit(1)).alias("k"))
-    return p.filter(F.col("k") >= shared).select(group, "centre", "ID")
+def _stored(df: DataFrame) -> DataFrame:
+    """Cut the lineage: a checkpoint in the session's shared folder."""
+    context = df.sparkSession.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="winnow-"))
+    return df.checkpoint()
+
+
+def candidate_pairs(df: DataFrame, group: str, shared: int = SHARED, coverage: float = 0.8) -> DataFrame:
+    """Pairs (centre, ID) of the same group that share ``shared`` k-mers or more and whose
+    lengths allow the coverage; the centre is the longer, of equal ones the lesser ID.
+    With shared = 0 all pairs of such lengths: the exact way, for small groups."""
+    # lengths within the coverage of each other lie in one band or in two next to each other
+    band = F.floor(F.log(F.length("sequence").cast("double")) / -F.log(F.lit(coverage))).cast("int")
+    k = df.select(group, "ID", F.length("sequence").alias("n"), "sequence", band.alias("band"))
+    if shared:
+        at = F.sequence(F.lit(1), F.greatest(F.length("sequence") - KMER + 1, F.lit(1)))
+        k = k.withColumn("kmer", F.explode(F.array_distinct(F.transform(at, lambda i: F.substring(F.col("sequence"), i, F.lit(KMER))))))
+    else:
+        k = k.withColumn("kmer", F.lit(""))
+    a = k.select(group, "kmer", F.col("ID").alias("centre"), F.col("n").alias("nc"), F.explode(F.array("band", F.col("band") - 1)).alias("band"))
+    p = a.join(k.select(group, "kmer", "band", "ID", "n"), [group, "kmer", "band"]).filter(((F.col("nc") > F.col("n")) | ((F.col("nc") == F.col("n")) & (F.col("centre") < F.col("ID")))) & (F.col("n") >= coverage * F.col("nc")))
+    return p.groupBy(group, "centre", "ID").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") >= shared).select(group, "centre", "ID")
+
+
+def greedy(pairs: DataFrame, order: DataFrame) -> DataFrame:
+    """member, representative by the greedy rule (longest unclaimed first) over pairs (centre, ID), in rounds.
+
+    order: ID and n, its length.  In a round every sequence that no undecided centre could claim becomes a
+    representative, and what it is linked to joins the first such; each round is written, none depends on the last by plan.
+    """
+    spark = pairs.sparkSession
+    left = _stored(pairs.select("centre", "ID"))
+    undecided, done = _stored(order.select("ID", "n")), None
+    while undecided.limit(1).count():
+        free = undecided.join(left.select("ID").distinct(), "ID", "left_anti").select(F.col("ID").alias("centre"), "n")
+        claimed = left.join(free, "centre").groupBy("ID").agg(F.min(F.struct((-F.col("n")).alias("n"), "centre")).alias("c")).select(F.col("ID").alias("member"), F.col("c.centre").alias("representative"))
+        new = _stored(claimed.union(free.select(F.col("centre").alias("member"), F.col("centre").alias("representative"))))
+        done = new if done is None else done.union(new)
+        gone = new.select(F.col("member").alias("ID"))
+        undecided = _stored(undecided.join(gone, "ID", "left_anti"))
+        # a pair counts as long as both are undecided
+        left = _stored(left.join(gone, "ID", "left_anti").join(gone.withColumnRenamed("ID", "centre"), "centre", "left_anti"))
+    return done if done is not None else spark.createDataFrame([], "member string, representative string")
 
 
-def cluster_sequences(df: DataFrame, threshold: float = 0.7, coverage: float = 0.8, group: str | None = None, thresholds: dict[str, float] | None = None) -> DataFrame:
-    """member, representative: a sequence joins the longest centre that it aligns with at
-    the identity threshold (of its group) and coverage, if that centre is itself
-    a representative; else it is its own."""
+def cluster_sequences(df: DataFrame, threshold: float = 0.7, coverage: float = 0.8, group: str | None = None, thresholds: dict[str, float] | None = None, shared: int = SHARED) -> DataFrame:
+    """member, representative: the longest unclaimed sequence (then the least ID) is a representative and
+    takes all that align with it at the identity threshold (of its group) and coverage; so on until none is left."""
     d = df.filter("sequence IS NOT NULL AND sequence <> ''").select(F.col("ID").cast("string").alias("ID"), "sequence", (F.col(f"`{group}`").cast("string") if group else F.lit("all")).alias("_g"))
-    pairs = candidate_pairs(d, "_g")
+    pairs = candidate_pairs(d, "_g", shared, coverage)
     a = d.select("_g", F.col("ID").alias("centre"), F.col("sequence").alias("sa"))
     b = d.select("_g", "ID", F.col("sequence").alias("sb"))
     limit = F.lit(threshold)
@@ -46,7 +90,4 @@ def cluster_sequences(df: DataFrame, threshold: float = 0.7, coverage: float = 0
         return pd.DataFrame([identity_and_coverage(p, q) for p, q in zip(x, y, strict=True)], columns=["identity", "coverage"])
 
     good = pairs.join(a, ["_g", "centre"]).join(b, ["_g", "ID"]).withColumn("m", measure("sa", "sb")).filter((F.col("m.identity") >= limit) & (F.col("m.coverage") >= coverage))
-    best = good.groupBy("ID").agg(F.min(F.struct((-F.length("sa")).alias("n"), "centre")).alias("c")).select(F.col("ID").alias("member"), F.col("c.centre").alias("representative"))
-    # a member of another centre can't be a representative: its followers stay alone
-    ok = best.join(best.select(F.col("member").alias("representative")), "representative", "left_anti")
-    return d.select(F.col("ID").alias("member")).join(ok, "member", "left").select("member", F.coalesce("representative", "member").alias("representative"))
+    return greedy(good, d.select("ID", F.length("sequence").alias("n")))

@@ -100,11 +100,22 @@ def prefer_rank1(structural: DataFrame, sequence: DataFrame, valid: DataFrame) -
 
 def panel_match(ids: DataFrame, panel: DataFrame) -> DataFrame:
     """id, reference_id: the panel reference that equals the id, else the least that is a
-    prefix of it or that it is a prefix of.  The panel is a hand-written list."""
-    p = panel.select("reference_id").distinct()
-    exact = ids.join(p, F.col("id") == F.col("reference_id")).select("id", "reference_id", F.lit(0).alias("k"))
-    either = ids.join(F.broadcast(p), F.col("id").startswith(F.col("reference_id")) | F.col("reference_id").startswith(F.col("id"))).select("id", "reference_id", F.lit(1).alias("k"))
-    return exact.union(either).groupBy("id").agg(F.min(F.struct("k", "reference_id")).alias("b")).select("id", F.col("b.reference_id").alias("reference_id"))
+    prefix of it or that it is a prefix of.
+
+    Both sides are joined on their prefixes of the lengths that the other side has, so neither is broadcast."""
+    p = panel.select("reference_id").filter("reference_id IS NOT NULL").distinct()
+    i = ids.select("id").filter("id IS NOT NULL").distinct()
+
+    def under(longer: DataFrame, x: str, shorter: DataFrame, y: str) -> DataFrame:
+        sizes = sorted(r[0] for r in shorter.select(F.length(y)).distinct().collect())  # lengths of names: a few
+        cut = F.filter(F.transform(F.array(*map(F.lit, sizes)), lambda n: F.when(n <= F.length(x), F.substring(F.col(x), F.lit(1), n))), lambda c: c.isNotNull())
+        return longer.withColumn("_cut", F.explode(cut)).join(shorter, F.col("_cut") == F.col(y)).select("id", "reference_id")
+
+    if not (i.limit(1).count() and p.limit(1).count()):
+        return i.join(p, F.col("id") == F.col("reference_id")).select("id", "reference_id")
+    both = under(i, "id", p, "reference_id").union(under(p, "reference_id", i, "id"))
+    k = (F.col("id") != F.col("reference_id")).cast("int").alias("k")
+    return both.groupBy("id").agg(F.min(F.struct(k, "reference_id")).alias("b")).select("id", F.col("b.reference_id").alias("reference_id"))
 
 
 def strip_chain(edges: DataFrame, valid: DataFrame, id_col: str = "neighbour_id") -> DataFrame:

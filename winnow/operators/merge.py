@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -11,6 +12,8 @@ from winnow.functions.values import with_id, without_missing
 
 MAX_COLUMNS = 256
 
+log = logging.getLogger(__name__)
+
 
 def first_wins(frames: list[DataFrame], keep_blank: bool = False, max_columns: int = MAX_COLUMNS) -> DataFrame:
     """The union of IDs and columns; each cell from the first frame that has a value.
@@ -18,13 +21,14 @@ def first_wins(frames: list[DataFrame], keep_blank: bool = False, max_columns: i
     One shuffle whatever the number of frames: all are stacked with their
     position and grouped by ID.  Within a frame the first row of an ID counts (rows
     are ordered by their values, as a relation has no order).  Frames wider than
-    max_columns are skipped.  keep_blank: the first frame that has the ID and
+    max_columns are skipped, with a warning; raise it to take them.  keep_blank: the first frame that has the ID and
     the column wins even if its cell is missing.
     """
     parts = []
     for pos, df in enumerate(frames):
         d = without_missing(with_id(df))
         if len(d.columns) - 1 > max_columns:
+            log.warning("frame %d has %d columns, more than %d: not merged", pos, len(d.columns) - 1, max_columns)
             continue
         d = d.filter(F.col("ID").isNotNull())
         parts.append(d.select("ID", F.lit(pos).alias("_pos"), *[F.struct(F.lit(pos).alias("pos"), F.col(f"`{c}`").cast("string").alias("v")).alias(c) if keep_blank else F.when(F.col(f"`{c}`").isNotNull(), F.struct(F.lit(pos).alias("pos"), F.col(f"`{c}`").alias("v"))).alias(c) for c in d.columns if c != "ID"]))

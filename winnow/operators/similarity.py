@@ -54,16 +54,20 @@ def nearest(queries: DataFrame, ref: DataFrame, k: int = 1, id_col: str = "vec_i
                     d2 = (a * a).sum(1)[:, None] + bb[None] - 2 * a @ b.T
                     if self_mode:
                         d2[qid[:, None] == ids[None]] = np.inf
-                    m = min(k + 8, d2.shape[1])
-                    c = np.argpartition(d2, m - 1, axis=1)[:, :m]
-                    d = np.sqrt(((a[:, None] - b[c]) ** 2).sum(2))
-                    if self_mode:
-                        d[qid[:, None] == ids[c]] = np.inf
-                    row = np.repeat(np.arange(len(p)), m)
-                    f = pd.DataFrame({"query_id": qid[row], "neighbour_id": ids[c].ravel(), "score": d.ravel()})
-                    f = f[np.isfinite(f["score"])]
-                    f = f.sort_values(["query_id", "score", "neighbour_id"], kind="stable")
-                    yield f.groupby("query_id", sort=False).head(k)
+                    # all that may be as near as the k-th, whatever the product's rounding, so that ties go by id
+                    m = min(k, d2.shape[1])
+                    most = np.partition(d2, m - 1, axis=1)[:, m - 1] + 1e-9 * (1 + (a * a).sum(1) + bb.max())
+                    for few in range(0, len(p), 64):
+                        row, col = np.nonzero(d2[few : few + 64] <= most[few : few + 64, None])
+                        row += few
+                        keep = np.isfinite(d2[row, col])
+                        row, col = row[keep], col[keep]
+                        d = np.concatenate([np.sqrt(((a[row[x : x + 65_536]] - b[col[x : x + 65_536]]) ** 2).sum(1)) for x in range(0, len(row), 65_536)] or [np.zeros(0)])
+                        order = np.lexsort((ids[col], d.round(12), row))
+                        row, col, d = row[order], col[order], d[order]
+                        first = np.searchsorted(row, row)
+                        best = np.arange(len(row)) - first < k
+                        yield pd.DataFrame({"query_id": qid[row[best]], "neighbour_id": ids[col[best]], "score": d[best]})
 
         part = q.mapInPandas(run, schema)
         out = part if out is None else out.union(part)

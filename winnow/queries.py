@@ -319,10 +319,10 @@ def min_distance_self(spark: SparkSession, d: str) -> DataFrame:
     return similarity.min_distance(e, e, self_mode=True).select("ID", r6(F.col("min_embedding_distance"), "min_embedding_distance"), "hit")
 
 
-@query(f"""WITH {_E} SELECT q AS "ID", round(s, 6) AS min_embedding_distance, n AS hit FROM (SELECT a.vec_id AS q, b.vec_id AS n, list_distance(a.v, b.v) AS s, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_distance(a.v, b.v), 12), b.vec_id) AS rk FROM e a JOIN e b ON a.vec_id % 3 = 0 AND b.vec_id % 3 = 1) WHERE rk = 1""")
+@query(f"""WITH {_E} SELECT q AS "ID", round(s, 6) AS min_embedding_distance, n AS hit FROM (SELECT a.vec_id AS q, b.vec_id AS n, list_distance(a.v, b.v) AS s, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_distance(a.v, b.v), 12), b.vec_id) AS rk FROM e a JOIN e b ON a.vec_id % 100 = 0 AND b.vec_id <> a.vec_id) WHERE rk = 1""")
 def min_distance_two_sets(spark: SparkSession, d: str) -> DataFrame:
     e = vectors(spark, d)
-    return similarity.min_distance(e.filter("vec_id % 3 = 0"), e.filter("vec_id % 3 = 1")).select("ID", r6(F.col("min_embedding_distance"), "min_embedding_distance"), "hit")
+    return similarity.min_distance(e.filter("vec_id % 100 = 0"), e, self_mode=True).select("ID", r6(F.col("min_embedding_distance"), "min_embedding_distance"), "hit")
 
 
 _VOTE = f"""{_E}, {_PAIRS}, s AS (SELECT k.q, k.rk, e.label, 1 / (1 + k.s) AS sim FROM k JOIN e ON e.vec_id = k.n), nn AS (SELECT q, max(sim) AS nn FROM s GROUP BY 1),
@@ -486,7 +486,7 @@ def chain_suffix(spark: SparkSession, d: str) -> DataFrame:
 # ------------------------------------------------------------------ sequences
 
 _U = "t AS (SELECT doc_id, upper(regexp_replace(text, '[^\\x00-\\x7F]', '_', 'g')) AS s FROM documents)"
-_DNA = "t AS (SELECT doc_id, left(translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'BDEFHIJKLMNOPQRSUVWXYZ', 'ACGTACGTACGTACGTACGTAC'), 300) AS s FROM documents)"
+_DNA = "t AS (SELECT doc_id, translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'BDEFHIJKLMNOPQRSUVWXYZ', 'ACGTACGTACGTACGTACGTAC') AS s FROM documents)"
 
 
 def upper_docs(spark: SparkSession, d: str) -> DataFrame:
@@ -495,7 +495,7 @@ def upper_docs(spark: SparkSession, d: str) -> DataFrame:
 
 def dna_docs(spark: SparkSession, d: str) -> DataFrame:
     s = F.translate(F.upper(F.regexp_replace("text", "[^A-Za-z]", "")), "BDEFHIJKLMNOPQRSUVWXYZ", "ACGTACGTACGTACGTACGTAC")
-    return table(spark, d, "documents").select("doc_id", F.left(s, F.lit(300)).alias("sequence"))
+    return table(spark, d, "documents").select("doc_id", s.alias("sequence"))
 
 
 @query(f"WITH {_U} SELECT doc_id, regexp_matches(s, '[DE][DE]..[DE]') AS m1, regexp_matches(s, '(N|D)D(L|I|V).(S|T)...E') AS m2 FROM t")
@@ -520,7 +520,9 @@ def homopolymer(spark: SparkSession, d: str) -> DataFrame:
     return dna_docs(spark, d).select("doc_id", seq.max_homopolymer(F.col("sequence")).alias("longest"))
 
 
-@query(f"WITH {_DNA}, b AS (SELECT doc_id, s, least(length(s), 50) AS w, unnest(range(1, length(s) - least(length(s), 50) + 2)) AS i FROM t WHERE length(s) > 0) SELECT doc_id, round(min(f), 6) AS gc_min, round(max(f), 6) AS gc_max FROM (SELECT doc_id, length(regexp_replace(substr(s, i, w), '[^GC]', '', 'g')) / w AS f FROM b) GROUP BY 1")
+@query(f"""WITH {_DNA}, c AS (SELECT doc_id, least(length(s), 50) AS w, unnest(regexp_extract_all(s, '.')) AS x, unnest(range(length(s))) AS i FROM t WHERE length(s) > 0),
+r AS (SELECT doc_id, w, i, sum((x IN ('G', 'C'))::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS 49 PRECEDING) AS k FROM c)
+SELECT doc_id, round(min(k / w), 6) AS gc_min, round(max(k / w), 6) AS gc_max FROM r WHERE i >= w - 1 GROUP BY 1""")
 def gc_windows(spark: SparkSession, d: str) -> DataFrame:
     lo, hi = seq.gc_window(F.col("sequence"), 50)
     return dna_docs(spark, d).filter("length(sequence) > 0").select("doc_id", r6(lo, "gc_min"), r6(hi, "gc_max"))
@@ -599,13 +601,140 @@ def numeric_inference(spark: SparkSession, d: str) -> DataFrame:
     return values.infer_numbers(values.without_missing(values.with_id(values.strip_names(c))))
 
 
-@query("SELECT doc_id AS id, CASE WHEN doc_id % 10 = 0 THEN 'd' || doc_id ELSE 'd' || (doc_id - doc_id % 10) END AS reference_id FROM documents WHERE doc_id < 100")
+@query("""WITH n AS (SELECT doc_id, 'd' || (doc_id % 7) || CASE WHEN doc_id % 3 = 0 THEN '' ELSE '_x' || doc_id END AS n FROM documents), p AS (SELECT unnest(['d0', 'd1', 'd1_x1', 'd2', 'd3', 'd4_x', 'd5_x5_y']) AS r)
+SELECT doc_id AS id, r AS reference_id FROM (SELECT doc_id, r, row_number() OVER (PARTITION BY doc_id ORDER BY (n <> r)::INT, r) AS k FROM n JOIN p ON starts_with(n, r) OR starts_with(r, n)) WHERE k = 1""")
 def panel_match(spark: SparkSession, d: str) -> DataFrame:
-    t = table(spark, d, "documents").filter("doc_id < 100")
     k = F.col("doc_id")
-    name = F.when(k % 10 == 0, F.concat(F.lit("d"), k)).otherwise(F.concat(F.lit("d"), k - k % 10, F.lit("_x"), k))
-    got = hits.panel_match(t.select(name.alias("id")), t.filter("doc_id % 10 = 0 AND doc_id > 0").select(F.concat(F.lit("d"), k).alias("reference_id")).union(spark.createDataFrame([("d0",)], "reference_id string")))
-    return t.select(k.alias("id"), name.alias("n")).join(got.withColumnRenamed("id", "n"), "n").select("id", "reference_id")
+    name = F.concat(F.lit("d"), k % 7, F.when(k % 3 == 0, "").otherwise(F.concat(F.lit("_x"), k)))
+    t = table(spark, d, "documents").select(k.alias("doc_id"), name.alias("n"))
+    panel = spark.createDataFrame([(x,) for x in ("d0", "d1", "d1_x1", "d2", "d3", "d4_x", "d5_x5_y")], "reference_id string")
+    return t.join(hits.panel_match(t.select(F.col("n").alias("id")), panel), F.col("n") == F.col("id")).select(F.col("doc_id").alias("id"), "reference_id")
+
+
+@query("SELECT * FROM (SELECT a.vec_id AS query_id, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(abs(a.v - b.v), 12), b.vec_id) AS rank, b.vec_id AS neighbour_id, round(abs(a.v - b.v), 6) AS score FROM (SELECT vec_id, round(embedding[1]::DOUBLE * 10) AS v FROM embeddings) a JOIN (SELECT vec_id, round(embedding[1]::DOUBLE * 10) AS v FROM embeddings) b ON a.vec_id <> b.vec_id) WHERE rank <= 3")
+def neighbours_among_ties(spark: SparkSession, d: str) -> DataFrame:
+    e = vectors(spark, d).select("vec_id", F.array(F.rint(F.col("embedding")[0].cast("double") * 10)).alias("embedding"))
+    return similarity.nearest(e, e, 3, self_mode=True).select("query_id", F.col("rank").cast("long").alias("rank"), "neighbour_id", r6(F.col("score"), "score"))
+
+
+# ------------------------------------------------------------------ names and scalars
+
+
+@query("SELECT doc_id, regexp_extract(text, '^([^ \t]*)', 1) AS first FROM documents")
+def first_tokens(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", values.first_token(F.col("text")).alias("first"))
+
+
+@query("SELECT page_id, regexp_replace(url, '[^A-Za-z0-9._-]', '_', 'g') AS safe FROM pages")
+def safe_ids(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages").select("page_id", seq.safe_id(F.col("url")).alias("safe"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 < 2 THEN 'e_' || user_id END AS id, CASE event_id % 3 WHEN 0 THEN 'alpha' WHEN 1 THEN 'beta' END AS type, CASE WHEN event_id % 3 < 2 THEN (event_id % 9)::INT END AS no FROM events")
+def module_names(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("event_id")
+    kind = F.when(k % 3 == 0, "alpha").when(k % 3 == 1, "beta").otherwise("gamma")
+    m = seq.module_parts(F.concat(F.lit("e_"), F.col("user_id"), F.lit("_"), kind, F.lit("_"), k % 9), ["alpha", "beta"])
+    return table(spark, d, "events").select("event_id", m["id"].alias("id"), m["type"].alias("type"), m["no"].alias("no"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(pow(10.0::DOUBLE, l_discount * 10), 6) AS absolute, round(exp(l_tax * 10), 6) AS perplexity FROM lineitem")
+def log_scores(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", r6(seq.from_log10(F.col("l_discount") * 10), "absolute"), r6(seq.pseudo_perplexity(F.col("l_tax") * -10), "perplexity"))
+
+
+@query(f"""WITH {_U}, x AS (SELECT doc_id, s, regexp_extract(s, '[DE][DE]..[DE]') AS a, regexp_extract(s, '(N|D)D(L|I|V).(S|T)...E') AS b FROM t), y AS (SELECT doc_id, CASE WHEN a <> '' THEN instr(s, a) - 1 END AS i, CASE WHEN b <> '' THEN instr(s, b) - 1 END AS j FROM x)
+SELECT doc_id, CASE WHEN i IS NOT NULL THEN array_to_string(list_concat([i, i + 1, i + 4], CASE WHEN j IS NULL THEN [] ELSE [j, j + 1, j + 4, j + 8] END), ',') END AS residues FROM y""")
+def coordinating_residues(spark: SparkSession, d: str) -> DataFrame:
+    return upper_docs(spark, d).select("doc_id", F.array_join(seq.coordinating_relaxed(F.col("sequence")).cast("array<string>"), ",").alias("residues"))
+
+
+@query("""WITH c AS (SELECT o_orderpriority AS a, o_totalprice::VARCHAR AS b, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderkey::VARCHAR END AS c, CASE WHEN o_orderkey % 2 = 0 THEN '1' ELSE 'x' END AS e FROM orders)
+SELECT 'o_orderkey' AS stat_column, 'numeric' AS kind UNION ALL SELECT 'flag', 'categorical'
+UNION ALL SELECT 'a', CASE WHEN count(a) > 0 AND count(try_cast(a AS DOUBLE)) = count(a) THEN 'numeric' ELSE 'categorical' END FROM c
+UNION ALL SELECT 'b', CASE WHEN count(b) > 0 AND count(try_cast(b AS DOUBLE)) = count(b) THEN 'numeric' ELSE 'categorical' END FROM c
+UNION ALL SELECT 'c', CASE WHEN count(c) > 0 AND count(try_cast(c AS DOUBLE)) = count(c) THEN 'numeric' ELSE 'categorical' END FROM c
+UNION ALL SELECT 'e', CASE WHEN count(e) > 0 AND count(try_cast(e AS DOUBLE)) = count(e) THEN 'numeric' ELSE 'categorical' END FROM c""")
+def column_kinds(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    o = table(spark, d, "orders").select("o_orderkey", (k % 2 == 0).alias("flag"), F.col("o_orderpriority").alias("a"), F.col("o_totalprice").cast("string").alias("b"), F.when(k % 3 != 0, k.cast("string")).alias("c"), F.when(k % 2 == 0, "1").otherwise("x").alias("e"))
+    return spark.createDataFrame(sorted(stats.classify(o, o.columns).items()), "stat_column string, kind string")
+
+
+# ------------------------------------------------------------------ domains, substrates, transfer
+
+
+@query("""WITH h AS (SELECT l_orderkey AS design, l_partkey AS reference, l_returnflag AS type, l_discount AS tm, l_tax AS lddt FROM lineitem WHERE l_orderkey <> l_partkey),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY design ORDER BY tm DESC, reference, type, lddt) AS k FROM h) WHERE k = 1), m AS (SELECT design, max(tm) FILTER (type = 'A') AS max_tm_A, max(tm) FILTER (type = 'N') AS max_tm_N, max(tm) FILTER (type = 'R') AS max_tm_R FROM h GROUP BY 1)
+SELECT o_orderkey AS design, tm AS best_tm, type AS best_type, lddt AS best_lddt, max_tm_A, max_tm_N, max_tm_R FROM orders LEFT JOIN b ON b.design = o_orderkey LEFT JOIN m ON m.design = o_orderkey""")
+def domain_best(spark: SparkSession, d: str) -> DataFrame:
+    h = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("design"), F.col("l_partkey").alias("reference"), F.col("l_returnflag").alias("type"), F.col("l_discount").alias("tm"), F.col("l_tax").alias("lddt"))
+    return hits.domain_reduce(h, table(spark, d, "orders").select(F.col("o_orderkey").alias("design")), ["A", "N", "R"], exclude_self=True)
+
+
+@query("""WITH t AS (SELECT l_orderkey AS design, CASE l_returnflag WHEN 'R' THEN 'alpha' ELSE l_returnflag END AS type, l_linenumber AS domain_no, l_suppkey AS module, l_discount AS tm FROM lineitem),
+s AS (SELECT *, CASE WHEN type <> 'alpha' THEN type WHEN dense_rank() OVER (PARTITION BY design, type ORDER BY domain_no) = 1 THEN 'alpha1' ELSE 'alpha2' END AS slot FROM t)
+SELECT design, slot, module, round(1 - max(tm), 6) AS feature FROM s WHERE module IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 13) GROUP BY 1, 2, 3""")
+def domain_feature_rows(spark: SparkSession, d: str) -> DataFrame:
+    kind = F.when(F.col("l_returnflag") == "R", "alpha").otherwise(F.col("l_returnflag"))
+    tm = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("design"), kind.alias("type"), F.col("l_linenumber").alias("domain_no"), F.col("l_suppkey").alias("module"), F.col("l_discount").alias("tm"))
+    modules = table(spark, d, "supplier").filter("s_nationkey < 13").select(F.col("s_suppkey").alias("module"))
+    return hits.domain_features(tm, modules).select("design", "slot", "module", r6(F.col("feature"), "feature"))
+
+
+@query("""WITH c AS (SELECT c_custkey::VARCHAR AS id, c_acctbal AS g, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_nationkey * 400.0::DOUBLE END AS f, c_acctbal AS p, CASE WHEN c_custkey % 5 = 0 THEN 9000.0::DOUBLE END AS q FROM customer)
+SELECT id AS "ID", CASE WHEN s = g THEN 'GPP' WHEN s = f THEN 'FPP' ELSE 'GGPP' END AS ee_substrate, s AS ee_score FROM (SELECT *, greatest(g, f, p, q) AS s FROM c)""")
+def best_substrate(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("c_custkey")
+    c = table(spark, d, "customer").select(k.cast("string").alias("ID"), F.col("c_acctbal").alias("GPP_score"), F.when(k % 4 != 0, F.col("c_nationkey") * 400.0).alias("x (farnesyl pyrophosphate)"), F.col("c_acctbal").alias("CPP_score"), F.when(k % 5 == 0, 9000.0).alias("GGPP_score"), F.lit(1e9).alias("isTPS_score"))
+    return knn.ee_argmax(c)
+
+
+_CURVE = [{"lo": 0.0, "hi": 0.3, "n": 5, "accuracy": 0.2}, {"lo": 0.3, "hi": 0.45, "n": 0, "accuracy": None}, {"lo": 0.45, "hi": 0.46, "n": 4, "accuracy": 0.5}, {"lo": 0.46, "hi": 1.0, "n": 9, "accuracy": 0.9}]
+
+
+@query(f"""WITH {_VOTE}, c2 AS (SELECT q, nn, CASE WHEN nn >= 0.46 THEN 0.9::DOUBLE WHEN nn >= 0.45 THEN 0.5::DOUBLE ELSE 0.2::DOUBLE END AS cal FROM nn)
+SELECT c2.q AS query_id, coalesce(win.label::VARCHAR, 'unknown') AS embedding_label, CASE WHEN win.q IS NULL THEN 0.0::DOUBLE ELSE cal END AS embedding_confidence, round(nn, 6) AS embedding_nn_similarity, coalesce(win.label::VARCHAR, 'unknown') AS label, CASE WHEN win.q IS NULL THEN 0.0::DOUBLE ELSE cal END AS confidence
+FROM c2 LEFT JOIN win ON win.q = c2.q""")
+def label_transfer(spark: SparkSession, d: str) -> DataFrame:
+    calibration = {"spaces": {"embedding": {"tau": 0.43, "calibration_curve": _CURVE}}, "ensemble": {"calibration_curve": _CURVE}}
+    t = knn.transfer({"embedding": neighbour_edges(spark, d)}, _labels(spark, d), calibration)
+    return t.select("query_id", "embedding_label", "embedding_confidence", r6(F.col("embedding_nn_similarity"), "embedding_nn_similarity"), "label", "confidence")
+
+
+# ------------------------------------------------------------------ structures
+
+_ATOMS = """a AS (SELECT label::VARCHAR AS struct_id, (vec_id // 4)::INT AS res_idx, ['CA', 'NE', 'OH', 'NZ'][vec_id % 4 + 1] AS atom_name, ['ARG', 'TYR', 'LYS', 'GLY', 'PHE'][(vec_id // 4) % 5 + 1] AS res_name,
+  embedding[1]::DOUBLE * 10 AS x, embedding[2]::DOUBLE * 10 AS y, embedding[3]::DOUBLE * 10 AS z, 70 + embedding[4]::DOUBLE * 100 AS b, CASE vec_id % 3 WHEN 0 THEN 'MG' ELSE 'C' END AS element, vec_id % 11 = 0 AS hetero FROM embeddings)"""
+
+
+def atoms(spark: SparkSession, d: str) -> DataFrame:
+    """An atom table made of the vectors."""
+    k, at = F.col("vec_id"), lambda names, i: F.array(*map(F.lit, names))[i.cast("int")]
+    v = lambda i: F.col("embedding")[i].cast("double")
+    res = F.floor(k / 4).cast("int")
+    return vectors(spark, d).select(F.col("label").cast("string").alias("struct_id"), res.alias("res_idx"), at(["CA", "NE", "OH", "NZ"], k % 4).alias("atom_name"), at(["ARG", "TYR", "LYS", "GLY", "PHE"], res % 5).alias("res_name"), (v(0) * 10).alias("x"), (v(1) * 10).alias("y"), (v(2) * 10).alias("z"), (70 + v(3) * 100).alias("b"), F.when(k % 3 == 0, "MG").otherwise("C").alias("element"), (k % 11 == 0).alias("hetero"))
+
+
+@query(f"WITH {_ATOMS} SELECT struct_id, round(avg(b), 6) AS mean_plddt, round(quantile_cont(b, 0.5), 6) AS median_plddt, round(min(b), 6) AS min_plddt, round(avg((b >= 70)::INT), 6) AS fraction_confident, count(*) AS n_residues FROM a WHERE atom_name = 'CA' AND NOT hetero GROUP BY 1")
+def plddt(spark: SparkSession, d: str) -> DataFrame:
+    p = geometry.plddt_summary(atoms(spark, d))
+    return p.select("struct_id", *[r6(F.col(c), c) for c in ("mean_plddt", "median_plddt", "min_plddt", "fraction_confident")], "n_residues")
+
+
+@query(f"WITH {_ATOMS}, r AS (SELECT DISTINCT struct_id, res_idx, CASE res_name WHEN 'ARG' THEN 'R' WHEN 'TYR' THEN 'Y' WHEN 'LYS' THEN 'K' WHEN 'GLY' THEN 'G' ELSE 'F' END AS l FROM a WHERE NOT hetero) SELECT struct_id, string_agg(l, '' ORDER BY res_idx) AS sequence, count(*)::INT AS n_residues FROM r GROUP BY 1")
+def structure_sequences(spark: SparkSession, d: str) -> DataFrame:
+    return geometry.sequences(atoms(spark, d))
+
+
+@query(f"WITH {_ATOMS} SELECT struct_id, res_idx, res_name, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z, round(b, 6) AS b FROM a WHERE atom_name = 'CA' AND NOT hetero")
+def alpha_carbons(spark: SparkSession, d: str) -> DataFrame:
+    return geometry.calphas(atoms(spark, d)).select("struct_id", "res_idx", "res_name", *[r6(F.col(c), c) for c in "xyzb"])
+
+
+@query(f"WITH {_ATOMS} SELECT struct_id, res_idx, atom_name, round(x, 6) AS x FROM a WHERE hetero AND element = 'MG'")
+def ion_atoms(spark: SparkSession, d: str) -> DataFrame:
+    return geometry.ions(atoms(spark, d)).select("struct_id", "res_idx", "atom_name", r6(F.col("x"), "x"))
 
 
 # ------------------------------------------------------------------ without SQL
