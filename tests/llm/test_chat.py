@@ -51,3 +51,13 @@ def test_digests(spark, rng):
 
 def test_empty_table(spark):
     assert chat.digests(chat.format_windows(spark.createDataFrame([], ROWS))).collect() == []
+
+
+def test_large_and_null_ids_repeated_and_long_turns_and_clashing_names(spark):
+    big = 1 << 60
+    rows = [(big + k, t, r, f"{r} {k} {t}", 0, 0) for k in (1, 2) for t, r in enumerate(("user", "assistant"))]
+    rows += [(None, 0, "user", "nobody's", 0, 0), (5, 0, "user", "word " * 50_000, 0, 0), (5, 1, "assistant", "ok", 0, 0), (5, 1, "assistant", "ok", 0, 0)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, TEXT int, window int")
+    got = {x.conv_id: x for x in chat.digests(chat.format_windows(df)).collect()}
+    assert set(got) == {big + 1, big + 2, None, 5}
+    assert [got[k].n_turns for k in (big + 1, big + 2, None, 5)] == [2, 2, 1, 3] and got[5].loss_chars == 4

@@ -21,7 +21,9 @@ parameter's scale; any function of a text may be given.
 
 Defined results: a null text or role is empty.  Turns with equal numbers are
 ordered by role and text; a null turn number comes first.  Rows without conv_id are one
-conversation, which has no id.  An empty table gives no rows.  Only conv_id, turn, role and text are read.
+conversation, which has no id; other ids keep every digit.  Repeated rows are turns like any other; a turn of
+any length makes a window of its own.  An empty table gives no rows.  Only conv_id, turn, role and text are read,
+whatever other columns are called.
 """
 
 from __future__ import annotations
@@ -31,10 +33,12 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from winnow.llm import common
+
 BUDGET, HISTORY = 512, 128
 MARK_TOKENS = 4
 START, END = "<|im_start|>", "<|im_end|>"
@@ -147,20 +151,31 @@ def read_back(text: str) -> list[tuple[str, str]]:
 
 
 def _ordered(conversations: DataFrame) -> DataFrame:
-    c = conversations.select("conv_id", "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    c = common.pick(conversations, "conv_id", "turn", "role", "text")
+    c = c.select("conv_id", "turn", *[F.coalesce(F.col(x).cast("string"), F.lit("")).alias(x) for x in ("role", "text")])
     return c.repartition("conv_id").sortWithinPartitions("conv_id", F.col("turn").asc_nulls_first(), "role", "text")
 
 
-def _runs(batches: Iterator[pd.DataFrame], names: list[str]) -> Iterator[tuple]:
-    for pdf in batches:
-        for row in zip(*[pdf[n].astype(object).where(pdf[n].notna(), None) for n in names], strict=True):
-            yield row
+def _runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple]:
+    """Rows as tuples; ids stay the integers they are, null or not."""
+    for b in batches:
+        for lo in range(0, b.num_rows, 512):
+            some = b.slice(lo, 512)
+            yield from zip(*[some.column(n).to_pylist() for n in names], strict=True)
+
+
+def _ids(kind: str):
+    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}.get(kind)
 
 
 def format_windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokens: Callable[[str], int] = n_tokens) -> DataFrame:
     """conv_id, window, text, loss (spans in text) and new (per turn in it) of every window."""
+    kind = conversations.schema[common.place(conversations, "conv_id")].dataType.simpleString()
+    spans = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+    types = [_ids(kind), pa.int32(), pa.string(), spans, pa.list_(pa.bool_())]
+    names = ["conv_id", "window", "text", "loss", "new"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from itertools import groupby
 
         out: list[tuple] = []
@@ -168,25 +183,30 @@ def format_windows(conversations: DataFrame, budget: int = BUDGET, history: int
         for conv, rows in groupby(_runs(batches, ["conv_id", "role", "text"]), key=lambda r: r[0]):
             turns = (Turn(role, text, tokens(text) + MARK_TOKENS) for _, role, text in rows)
             for k, w in enumerate(windows(turns, budget, history)):
-                out.append((conv, k, w.text, w.loss, w.new))
+                out.append((conv, k, w.text, [{"a": a, "b": b} for a, b in w.loss], w.new))
                 size += len(w.text)
                 if size > 1 << 22:
-                    yield pd.DataFrame(out, columns=names)
+                    yield _batch(out, names, types)
                     out, size = [], 0
         if out:
-            yield pd.DataFrame(out, columns=names)
+            yield _batch(out, names, types)
+
+    return _ordered(conversations).mapInArrow(run, f"conv_id {kind}, window int, text string, loss array<struct<a:long,b:long>>, new array<boolean>")
 
-    names = ["conv_id", "window", "text", "loss", "new"]
-    kind = conversations.schema["conv_id"].dataType.simpleString()
-    return _ordered(conversations).mapInPandas(run, f"conv_id {kind}, window int, text string, loss array<struct<a:long,b:long>>, new array<boolean>")
+
+def _batch(rows: list[tuple], names: list[str], types: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
 
 
 def digests(formatted_windows: DataFrame) -> DataFrame:
     """What the windows of each conversation hold, read back from them: n_turns,
     turns_sha256 (role, newline, text, newline per new turn), loss_chars and
     loss_sha256 of all text under the loss mask, and formatted_chars."""
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    kind = formatted_windows.schema["conv_id"].dataType.simpleString()
+    types = [_ids(kind), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from itertools import groupby
 
         out = []
@@ -205,12 +225,10 @@ def digests(formatted_windows: DataFrame) -> DataFrame:
                     loss.update(body.encode())
             out.append((conv, n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars))
             if len(out) >= 5000:
-                yield pd.DataFrame(out, columns=names)
+                yield _batch(out, names, types)
                 out = []
         if out:
-            yield pd.DataFrame(out, columns=names)
+            yield _batch(out, names, types)
 
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-    kind = formatted_windows.schema["conv_id"].dataType.simpleString()
     w = formatted_windows.repartition("conv_id").sortWithinPartitions("conv_id", "window")
-    return w.mapInPandas(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return w.mapInArrow(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
