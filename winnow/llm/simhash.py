@@ -367,8 +367,8 @@ class Probe:
         at = np.minimum(np.searchsorted(self.values[i], v), len(self.values[i]) - 1)
         return np.where(self.values[i][at] == v, self.counts[i][at], 0.0)
 
-    def keys(self, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(key, number of the fingerprint) rows."""
+    def keys(self, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(key, number of the fingerprint, whether the key is its own value) rows."""
         m = len(self.groups)
         budget = self.radius - m + 1
         top = max(0, budget + 1)
@@ -385,29 +385,31 @@ class Probe:
                 e[:, t + 1] = sig * self.light[i] + near
             est.append(e)
         t = allocate(est, [len(g) for g in self.groups], budget, top)
-        keys, rows = [], []
+        keys, rows, own = [], [], []
 
-        def file(i: int, value: np.ndarray, who: np.ndarray) -> None:
+        def file(i: int, value: np.ndarray, who: np.ndarray, exact: bool) -> None:
             hot = self._heavy(i, value) > 0
             base = ts.mix(value + U((i + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
             keys.append(base[~hot])
             rows.append(who[~hot])
+            own.append(np.full(len(rows[-1]), exact))
             if hot.any():
                 others = sorted(set(range(64)) - set(self.groups[i]))
                 for j in range(self.radius + 1):
                     sub = gather(fp[who[hot]], others[j :: self.radius + 1])
                     keys.append(ts.mix(base[hot] + ts.mix(sub + U(j + 101))))
                     rows.append(who[hot])
+                    own.append(np.full(len(rows[-1]), exact))
 
         everyone = np.arange(len(fp))
         for i, v in enumerate(parts):
-            file(i, v, everyone)
+            file(i, v, everyone, True)
             for s in range(1, top + 1):
                 on = np.flatnonzero(t[:, i] >= s)
                 if len(on):
                     for x in flips(len(self.groups[i]), s):
-                        file(i, v[on] ^ x, on)
-        return np.concatenate(keys), np.concatenate(rows)
+                        file(i, v[on] ^ x, on, False)
+        return np.concatenate(keys), np.concatenate(rows), np.concatenate(own)
 
 
 # ---------------------------------------------------------------- verification
@@ -431,22 +433,24 @@ class Near:
 
 class Linked:
     """Rows of fingerprints and their first checking words: which of them are linked.  One that stands
-    for many nodes has the checking word of one of them only, so it is not asked for that."""
+    for many nodes has the checking word of one of them only, so it is not asked for that.
+    Two that both only probe the key aren't: one of them probes the other's own value too."""
 
-    def __init__(self, fp: np.ndarray, radius: int, word: np.ndarray | None = None, many: np.ndarray | None = None) -> None:
+    def __init__(self, fp: np.ndarray, radius: int, word: np.ndarray | None = None, many: np.ndarray | None = None, own: np.ndarray | None = None) -> None:
         self.fp, self.radius = fp, radius
         self.word = np.zeros(len(fp), np.uint64) if word is None else word
         self.many = np.zeros(len(fp), bool) if many is None else many
+        self.own = np.ones(len(fp), bool) if own is None else own
 
     def __len__(self) -> int:
         return len(self.fp)
 
     def part(self, lo: int, hi: int) -> Linked:
-        return Linked(self.fp[lo:hi], self.radius, self.word[lo:hi], self.many[lo:hi])
+        return Linked(self.fp[lo:hi], self.radius, self.word[lo:hi], self.many[lo:hi], self.own[lo:hi])
 
     def __call__(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Whether rows i and j are, element by element; the shapes broadcast."""
-        ok = np.bitwise_count(self.fp[i] ^ self.fp[j]) <= self.radius
+        ok = (np.bitwise_count(self.fp[i] ^ self.fp[j]) <= self.radius) & (self.own[i] | self.own[j])
         if ok.any():
             ok &= (np.bitwise_count(self.word[i] ^ self.word[j]) <= LOOSE_WORD) | self.many[i] | self.many[j]
         return ok
@@ -568,8 +572,8 @@ def _emit(probe: Probe, names: list[str]):
         for pdf in batches:
             for lo in range(0, len(pdf), 8192):
                 part = pdf.iloc[lo : lo + 8192]
-                key, who = probe.keys(part["fp"].to_numpy(np.int64).view(np.uint64))
-                yield pd.DataFrame({"key": key.view(np.int64), **{x: part[x].to_numpy()[who] for x in names}})
+                key, who, own = probe.keys(part["fp"].to_numpy(np.int64).view(np.uint64))
+                yield pd.DataFrame({"key": key.view(np.int64), **{x: part[x].to_numpy()[who] for x in names}, "own": own})
 
     return run
 
@@ -581,7 +585,7 @@ def _verify(radius: int):
 
         def out(pdf: pd.DataFrame) -> pd.DataFrame:
             many = pdf["many"].to_numpy(bool)
-            linked = Linked(pdf["fp"].to_numpy(np.int64).view(np.uint64), radius, pdf["word"].to_numpy(np.int64).view(np.uint64), many)
+            linked = Linked(pdf["fp"].to_numpy(np.int64).view(np.uint64), radius, pdf["word"].to_numpy(np.int64).view(np.uint64), many, pdf["own"].to_numpy(bool))
             i, j, dense = _edges_of(pdf["key"].to_numpy(), linked)
             x, y = pdf["first"].to_numpy()[i], pdf["first"].to_numpy()[j]
             dense |= many[i] | many[j]
@@ -646,7 +650,7 @@ def links(reps: DataFrame, near: Near, heavy_from: int = HEAVY) -> DataFrame:
         for r in values.where(F.col("count") >= least).collect():  # len(groups) / HEAVY_SHARE values at most
             heavy.setdefault(r.i, {})[r.v] = r["count"]
     probe = Probe(groups, near.radius, [n * collision(co, g) for g in groups], heavy)
-    keyed = reps.mapInPandas(_emit(probe, names), "key long, first long, fp long, word long, many boolean")
+    keyed = reps.mapInPandas(_emit(probe, names), "key long, first long, fp long, word long, many boolean, own boolean")
     found = keyed.repartition("key").sortWithinPartitions("key").mapInPandas(_verify(near.radius), "a long, b long, dense boolean")
     return (found if same is None else found.union(same)).distinct()
 
