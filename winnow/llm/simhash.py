@@ -54,6 +54,8 @@ CHECK = ["v0", "v1", "v2", "v3"]
 #: Of the first 64 of these, which go along in the search: how many may differ.  At a similarity of 0.8 ten do on average,
 #: with a standard deviation of 3, and 32 with one of 4 where texts have nothing in common.
 LOOSE_WORD = 22
+#: Bits of each number in the tag of a filed row, and the share that stands for none.
+TAG, NO_SHARE = 4, 15
 #: Nodes of one fingerprint from which one of them stands for all in the search; they are a group to be proved then.
 SAME = 64
 #: Nodes and shingles of a dense group that are compared in one task.
@@ -352,6 +354,16 @@ def allocate(estimate: list[np.ndarray], widths: list[int], budget: int, top: in
     return out
 
 
+def shares(group: list[int], radius: int) -> list[list[int]]:
+    """The bits outside a group in radius + 1 shares, one of which two linked fingerprints agree in."""
+    others = sorted(set(range(64)) - set(group))
+    return [others[j :: radius + 1] for j in range(radius + 1)]
+
+
+def mask(bits: list[int]) -> np.uint64:
+    return U(sum(1 << b for b in bits))
+
+
 class Probe:
     """Keys under which a fingerprint is filed and looked for."""
 
@@ -368,7 +380,11 @@ class Probe:
         return np.where(self.values[i][at] == v, self.counts[i][at], 0.0)
 
     def keys(self, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(key, number of the fingerprint, whether the key is its own value) rows."""
+        """(key, number of the fingerprint, tag) rows.
+
+        A tag holds where the key comes from: in four bits each the partition, the share of the other bits by which a
+        heavy value is divided (15: none), whether the key is the fingerprint's own value, and its thresholds plus one.
+        """
         m = len(self.groups)
         budget = self.radius - m + 1
         top = max(0, budget + 1)
@@ -385,21 +401,22 @@ class Probe:
                 e[:, t + 1] = sig * self.light[i] + near
             est.append(e)
         t = allocate(est, [len(g) for g in self.groups], budget, top)
-        keys, rows, own = [], [], []
+        held = sum(((t[:, i].astype(np.uint64) + U(1)) << U(TAG * (i + 3)) for i in range(m)), np.zeros(len(fp), np.uint64))
+        keys, rows, tags = [], [], []
+
+        def add(key: np.ndarray, who: np.ndarray, i: int, j: int, exact: bool) -> None:
+            keys.append(key)
+            rows.append(who)
+            tags.append(held[who] | U(i | j << TAG | exact << 2 * TAG))
 
         def file(i: int, value: np.ndarray, who: np.ndarray, exact: bool) -> None:
             hot = self._heavy(i, value) > 0
             base = ts.mix(value + U((i + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
-            keys.append(base[~hot])
-            rows.append(who[~hot])
-            own.append(np.full(len(rows[-1]), exact))
+            add(base[~hot], who[~hot], i, NO_SHARE, exact)
             if hot.any():
-                others = sorted(set(range(64)) - set(self.groups[i]))
-                for j in range(self.radius + 1):
-                    sub = gather(fp[who[hot]], others[j :: self.radius + 1])
-                    keys.append(ts.mix(base[hot] + ts.mix(sub + U(j + 101))))
-                    rows.append(who[hot])
-                    own.append(np.full(len(rows[-1]), exact))
+                for j, bits in enumerate(shares(self.groups[i], self.radius)):
+                    sub = gather(fp[who[hot]], bits)
+                    add(ts.mix(base[hot] + ts.mix(sub + U(j + 101))), who[hot], i, j, exact)
 
         everyone = np.arange(len(fp))
         for i, v in enumerate(parts):
@@ -409,7 +426,7 @@ class Probe:
                 if len(on):
                     for x in flips(len(self.groups[i]), s):
                         file(i, v[on] ^ x, on, False)
-        return np.concatenate(keys), np.concatenate(rows), np.concatenate(own)
+        return np.concatenate(keys), np.concatenate(rows), np.concatenate(tags)
 
 
 # ---------------------------------------------------------------- verification
@@ -432,21 +449,20 @@ class Near:
 
 
 class Linked:
-    """Rows of fingerprints and their first checking words: which of them are linked.  One that stands
-    for many nodes has the checking word of one of them only, so it is not asked for that.
+    """Rows of fingerprints, their first checking words and the tags of their keys: which of them are linked.
+    One that stands for many nodes has the checking word of one of them only, so it is not asked for that.
     Two that both only probe the key aren't: one of them probes the other's own value too."""
 
-    def __init__(self, fp: np.ndarray, radius: int, word: np.ndarray | None = None, many: np.ndarray | None = None, own: np.ndarray | None = None) -> None:
-        self.fp, self.radius = fp, radius
-        self.word = np.zeros(len(fp), np.uint64) if word is None else word
-        self.many = np.zeros(len(fp), bool) if many is None else many
-        self.own = np.ones(len(fp), bool) if own is None else own
+    def __init__(self, groups: list[list[int]], radius: int, fp: np.ndarray, tag: np.ndarray, word: np.ndarray, many: np.ndarray) -> None:
+        self.groups, self.radius = groups, radius
+        self.fp, self.tag, self.word, self.many = fp, tag, word, many
+        self.own = (tag >> U(2 * TAG)) & U(1) > 0
 
     def __len__(self) -> int:
         return len(self.fp)
 
     def part(self, lo: int, hi: int) -> Linked:
-        return Linked(self.fp[lo:hi], self.radius, self.word[lo:hi], self.many[lo:hi], self.own[lo:hi])
+        return Linked(self.groups, self.radius, self.fp[lo:hi], self.tag[lo:hi], self.word[lo:hi], self.many[lo:hi])
 
     def __call__(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Whether rows i and j are, element by element; the shapes broadcast."""
@@ -455,6 +471,27 @@ class Linked:
             ok &= (np.bitwise_count(self.word[i] ^ self.word[j]) <= LOOSE_WORD) | self.many[i] | self.many[j]
         return ok
 
+    def first(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Of linked rows i and j of one key: whether no key before it has both of them, in the order of the
+        partitions, of the shares of a heavy value, and last of which of the two owns the key."""
+        differ = self.fp[i] ^ self.fp[j]
+        here = (self.tag[i] & U(15)).astype(np.int64)
+        share = ((self.tag[i] >> U(TAG)) & U(15)).astype(np.int64)
+        ok = np.ones(len(i), bool)
+        for g, bits in enumerate(self.groups):
+            apart = np.bitwise_count(differ & mask(bits)).astype(np.int64)
+            reach = [np.maximum(((self.tag[x] >> U(TAG * (g + 3))) & U(15)).astype(np.int64) - 1, 0) for x in (i, j)]
+            ok &= (here <= g) | (apart > np.maximum(*reach))
+            # under the value of one alone: that of the lesser, unless only the other's is probed
+            at = here == g
+            least = self.fp[i] < self.fp[j]
+            twice = (apart > 0) & (apart <= np.minimum(*reach))
+            ok &= ~at | ~twice | np.where(least, self.own[i], self.own[j])
+            if (at & (share != NO_SHARE)).any():
+                for k, some in enumerate(shares(bits, self.radius)):
+                    ok &= ~at | (share == NO_SHARE) | (share <= k) | (differ & mask(some) != 0)
+        return ok
+
 
 def forest(linked: Linked) -> tuple[np.ndarray, np.ndarray]:
     """Edges (pairs of row numbers) of a spanning forest of the links among these rows.
@@ -488,7 +525,7 @@ def _edges_of(key: np.ndarray, linked: Linked) -> tuple[np.ndarray, np.ndarray,
 
     Runs are compared side by side, all at once: each row with the one d further
     on.  A run that turns out to have more than DENSE links a row leaves this and
-    gets a spanning forest.
+    gets a spanning forest.  The others give each link under the first of its keys only.
     """
     border = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
     size = np.diff(border)
@@ -504,9 +541,10 @@ def _edges_of(key: np.ndarray, linked: Linked) -> tuple[np.ndarray, np.ndarray,
             break
         i = live[linked(live, live + d)]
         if len(i):
-            a.append(i)
-            b.append(i + d)
-            of.append(run[i])
+            one = i[linked.first(i, i + d)]
+            a.append(one)
+            b.append(one + d)
+            of.append(run[one])
             np.add.at(found, run[i], 1)
             dense = listed & (found > DENSE * size)
             if dense.any():
@@ -572,20 +610,20 @@ def _emit(probe: Probe, names: list[str]):
         for pdf in batches:
             for lo in range(0, len(pdf), 8192):
                 part = pdf.iloc[lo : lo + 8192]
-                key, who, own = probe.keys(part["fp"].to_numpy(np.int64).view(np.uint64))
-                yield pd.DataFrame({"key": key.view(np.int64), **{x: part[x].to_numpy()[who] for x in names}, "own": own})
+                key, who, tag = probe.keys(part["fp"].to_numpy(np.int64).view(np.uint64))
+                yield pd.DataFrame({"key": key.view(np.int64), **{x: part[x].to_numpy()[who] for x in names}, "tag": tag.view(np.int64)})
 
     return run
 
 
-def _verify(radius: int):
+def _verify(groups: list[list[int]], radius: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows come sorted by key; the last key of a batch waits for the next one."""
         held: list[pd.DataFrame] = []
 
         def out(pdf: pd.DataFrame) -> pd.DataFrame:
             many = pdf["many"].to_numpy(bool)
-            linked = Linked(pdf["fp"].to_numpy(np.int64).view(np.uint64), radius, pdf["word"].to_numpy(np.int64).view(np.uint64), many, pdf["own"].to_numpy(bool))
+            linked = Linked(groups, radius, *[pdf[x].to_numpy(np.int64).view(np.uint64) for x in ("fp", "tag", "word")], many)
             i, j, dense = _edges_of(pdf["key"].to_numpy(), linked)
             x, y = pdf["first"].to_numpy()[i], pdf["first"].to_numpy()[j]
             dense |= many[i] | many[j]
@@ -650,8 +688,8 @@ def links(reps: DataFrame, near: Near, heavy_from: int = HEAVY) -> DataFrame:
         for r in values.where(F.col("count") >= least).collect():  # len(groups) / HEAVY_SHARE values at most
             heavy.setdefault(r.i, {})[r.v] = r["count"]
     probe = Probe(groups, near.radius, [n * collision(co, g) for g in groups], heavy)
-    keyed = reps.mapInPandas(_emit(probe, names), "key long, first long, fp long, word long, many boolean, own boolean")
-    found = keyed.repartition("key").sortWithinPartitions("key").mapInPandas(_verify(near.radius), "a long, b long, dense boolean")
+    keyed = reps.mapInPandas(_emit(probe, names), "key long, first long, fp long, word long, many boolean, tag long")
+    found = keyed.repartition("key").sortWithinPartitions("key").mapInPandas(_verify(groups, near.radius), "a long, b long, dense boolean")
     return (found if same is None else found.union(same)).distinct()
 
 
