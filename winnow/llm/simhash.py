@@ -461,14 +461,16 @@ class Linked:
     def __len__(self) -> int:
         return len(self.fp)
 
-    def part(self, lo: int, hi: int) -> Linked:
-        return Linked(self.groups, self.radius, self.fp[lo:hi], self.tag[lo:hi], self.word[lo:hi], self.many[lo:hi])
+    def part(self, at: np.ndarray) -> Linked:
+        return Linked(self.groups, self.radius, self.fp[at], self.tag[at], self.word[at], self.many[at])
 
     def __call__(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Whether rows i and j are, element by element; the shapes broadcast."""
-        ok = (np.bitwise_count(self.fp[i] ^ self.fp[j]) <= self.radius) & (self.own[i] | self.own[j])
-        if ok.any():
-            ok &= (np.bitwise_count(self.word[i] ^ self.word[j]) <= LOOSE_WORD) | self.many[i] | self.many[j]
+        ok = np.bitwise_count(self.fp[i] ^ self.fp[j]) <= self.radius
+        at = np.nonzero(ok)
+        if len(at[0]):
+            x, y = (z[at] for z in np.broadcast_arrays(i, j))
+            ok[at] = (self.own[x] | self.own[y]) & ((np.bitwise_count(self.word[x] ^ self.word[y]) <= LOOSE_WORD) | self.many[x] | self.many[y])
         return ok
 
     def first(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -523,42 +525,47 @@ def _edges_of(key: np.ndarray, linked: Linked) -> tuple[np.ndarray, np.ndarray,
     """Edges (row numbers) of every run of equal keys that join what its links join,
     and whether they are of a spanning forest instead of being links themselves.
 
-    Runs are compared side by side, all at once: each row with the one d further
-    on.  A run that turns out to have more than DENSE links a row leaves this and
+    Runs are compared side by side, all at once: the rows whose own value the key is,
+    few among those that probe it, come first in theirs, and the d-th of each meets
+    all after it.  A run that turns out to have more than DENSE links a row leaves this and
     gets a spanning forest.  The others give each link under the first of its keys only.
     """
+    order = np.lexsort((~linked.own, key))
+    key, linked = key[order], linked.part(order)
     border = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
     size = np.diff(border)
     run = np.repeat(np.arange(len(size)), size)
+    own = np.bincount(run[linked.own], minlength=len(size))
     a, b, of = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    listed = size > 1
+    listed = (size > 1) & (own > 0)
     found = np.zeros(len(size), np.int64)
-    live = np.flatnonzero(np.repeat(listed, size))
-    last = np.repeat(border[1:], size)
-    for d in range(1, int(size.max(initial=1))):
-        live = live[live + d < last[live]]
+    live = np.flatnonzero(listed[run])
+    for d in range(int(own.max(initial=0))):
+        live = live[(listed & (own > d))[run[live]]]
+        head = border[run[live]] + d
+        live, head = live[live > head], head[live > head]
         if not len(live):
             break
-        i = live[linked(live, live + d)]
-        if len(i):
-            one = i[linked.first(i, i + d)]
-            a.append(one)
-            b.append(one + d)
-            of.append(run[one])
-            np.add.at(found, run[i], 1)
-            dense = listed & (found > DENSE * size)
-            if dense.any():
-                listed &= ~dense
-                live = live[listed[run[live]]]
+        hit = linked(head, live)
+        if hit.any():
+            i, j = head[hit], live[hit]
+            found += np.bincount(run[i], minlength=len(size))
+            one = linked.first(i, j)
+            a.append(i[one])
+            b.append(j[one])
+            of.append(run[i[one]])
+            listed &= found <= DENSE * size
     x, y, r = np.concatenate(a), np.concatenate(b), np.concatenate(of)
     a, b = [x[listed[r]]], [y[listed[r]]]
     n = len(a[0])
-    for k in np.flatnonzero(~listed & (size > 1)):
-        x, y = forest(linked.part(border[k], border[k + 1]))
-        a.append(x + border[k])
-        b.append(y + border[k])
+    for k in np.flatnonzero(found > DENSE * size):
+        # in the order of the fingerprints, so that a group has the same edges under most of its keys
+        at = border[k] + np.argsort(linked.fp[border[k] : border[k + 1]], kind="stable")
+        x, y = forest(linked.part(at))
+        a.append(at[x])
+        b.append(at[y])
     x, y = np.concatenate(a), np.concatenate(b)
-    return x, y, np.arange(len(x)) >= n
+    return order[x], order[y], np.arange(len(x)) >= n
 
 
 def _proved(near: Near):
