@@ -43,7 +43,7 @@ RADIUS = 3
 HEAVY = 20_000
 #: At most so many values are that heavy: they hold HEAVY_SHARE of all fingerprints or more.
 HEAVY_SHARE = 1e-5
-COST_SIGNATURE, COST_CANDIDATE = 1.0, 0.2
+COST_SIGNATURE, COST_CANDIDATE = 1.0, 0.025
 #: Links a row under a key beyond which its pairs aren't listed: they get a spanning forest instead.
 DENSE = 4
 #: Of near_copies: shingle width, radius over the distinct words' fingerprint, and how many of the 256 checking bits may
