@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import chat, decontaminate, mixing, perplexity, pii, quality, secrets, simhash, tokens, urls
+from winnow.llm import audit, chat, decontaminate, fim, mixing, perplexity, pii, quality, secrets, simhash, tokens, urls
 from winnow.llm.common import kept, table
 
 
@@ -54,5 +54,13 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op3_perplexity, op4_secrets, op5_decontaminate, op6_pii, op7_token_files, op8_urls, op9_chat, op10_mix)}
-ORACLES = {"op10_mix": mixing.ORACLE}
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.transform(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op3_perplexity, op4_secrets, op5_decontaminate, op6_pii, op7_token_files, op8_urls, op9_chat, op10_mix, op11_filter_audit, op12_fill_in_middle)}
+ORACLES = {"op10_mix": mixing.ORACLE, "op11_filter_audit": audit.ORACLE, "op12_fill_in_middle": fim.ORACLE}
