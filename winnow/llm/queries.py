@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import audit, chat, decontaminate, fim, mixing, perplexity, pii, quality, secrets, simhash, tokens, urls
+from winnow.llm import audit, chat, decontaminate, fim, mixing, perplexity, phrases, pii, quality, secrets, simhash, tokens, urls
 from winnow.llm.common import kept, table
 
 
@@ -62,5 +62,9 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(fim.transform(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op3_perplexity, op4_secrets, op5_decontaminate, op6_pii, op7_token_files, op8_urls, op9_chat, op10_mix, op11_filter_audit, op12_fill_in_middle)}
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.revised(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op3_perplexity, op4_secrets, op5_decontaminate, op6_pii, op7_token_files, op8_urls, op9_chat, op10_mix, op11_filter_audit, op12_fill_in_middle, op13_fingerprints)}
 ORACLES = {"op10_mix": mixing.ORACLE, "op11_filter_audit": audit.ORACLE, "op12_fill_in_middle": fim.ORACLE}
