@@ -134,8 +134,8 @@ def _sketch(rows: list[np.ndarray], names: list[np.ndarray], n: int, buckets: in
     return np.where(least == none, 0, ts.mix(least) % np.uint64(65535) + np.uint64(1)).astype(np.uint16).reshape(n, buckets)
 
 
-def fingerprints(texts: list[str]) -> tuple[list[str], np.ndarray]:
-    """The fingerprints of texts, and their sketches as numbers."""
+def fingerprints(texts: list[str]) -> tuple[list[bytes], np.ndarray]:
+    """The fingerprints of texts as bytes, and their sketches as numbers."""
     points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
     border = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
     n = len(texts)
@@ -147,8 +147,8 @@ def fingerprints(texts: list[str]) -> tuple[list[str], np.ndarray]:
         rows.append(ts.row_of(own))
         kept.append(names)
     sketch = np.concatenate([_sketch(*low, n, LOW_BUCKETS), _sketch(*high, n, BUCKETS - LOW_BUCKETS)], axis=1)
-    hexed, width = sketch.astype(">u2").tobytes().hex(), 4 * BUCKETS
-    return [f"{int(w):016x}{hexed[i * width : (i + 1) * width]}" for i, w in enumerate(whole)], sketch
+    joined = np.concatenate([whole.astype(">u8").view(np.uint8).reshape(n, 8), sketch.astype(">u2").view(np.uint8).reshape(n, 2 * BUCKETS)], axis=1)
+    return [x.tobytes() for x in joined], sketch
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -177,19 +177,19 @@ def compare(ids: list, texts: list[str], sketch: dict | None = None) -> tuple[di
         names, values = [sketch["name"], *names], np.concatenate([sketch["value"][None], values])
     own, new = values[: m + 1], values[m + 1 :]
     out = {
-        "doc_id": ids[:m], "n_chars": [len(t) for t in texts[:m]], "edited_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in revised],
+        "doc_id": ids[:m], "n_chars": [len(t) for t in texts[:m]], "edited_sha256": [hashlib.sha256(t.encode()).digest() for t in revised],
         "fingerprint": names[:m], "edited_fingerprint": names[m + 1 :], "near_edited": likeness(own[:m], new), "near_next": likeness(own[:m], own[1:]),
     }
     return out, {"name": names[m], "value": own[m]}
 
 
 def _result(kind: str) -> str:
-    return f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    return f"doc_id {kind}, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def _arrays(cols: dict, doc: pa.DataType, **more) -> pa.RecordBatch:
     kinds = {"doc_id": doc, "n_chars": pa.int64(), "near_edited": pa.float64(), "near_next": pa.float64()}
-    cols = {k: pa.array(v, kinds.get(k, pa.string())) for k, v in cols.items()}
+    cols = {k: pa.array(v, kinds.get(k, pa.binary())) for k, v in cols.items()}
     n = len(cols["doc_id"])
     return pa.RecordBatch.from_pydict(cols | {k: pa.array([v] * n, t) for k, (v, t) in more.items()})
 
@@ -244,4 +244,5 @@ def revised(docs: DataFrame) -> DataFrame:
     after = spark.createDataFrame(list(zip(places, places[1:] + places[:1], strict=True)), "place int, beyond int")
     firsts = found.where(F.col("role") == FIRST).select(F.col("place").alias("beyond"), F.col("text").alias("following"))
     lasts = found.where(F.col("role") == LAST).select("place", "doc_id", "text").join(F.broadcast(after), "place").join(firsts, "beyond")
-    return found.where("role = 0").select(*result).union(lasts.select("doc_id", "text", "following").mapInArrow(_pairs, _result(kind)))
+    out = found.where("role = 0").select(*result).union(lasts.select("doc_id", "text", "following").mapInArrow(_pairs, _result(kind)))
+    return out.select(*[F.lower(F.hex(c)).alias(c) if t == "binary" else F.col(c) for c, t in out.dtypes])
