@@ -19,6 +19,30 @@ def test_ties_go_to_the_least_id(spark):
         assert got[i] == {k + 1: (j, d) for k, (d, j) in enumerate(want)}
 
 
+def every_distance(vectors, queries, k, apart):
+    out = {}
+    for i, x in queries:
+        d = sorted((round(float(np.linalg.norm(np.array(x) - np.array(y))), 9), j) for j, y in vectors if not (apart and i == j))
+        out[i] = [(j, v) for v, j in d[:k]]
+    return out
+
+
+def test_search_by_pivots_against_every_distance(spark, monkeypatch):
+    """Clusters, a third of all rows alike, several blocks a pivot, pivots without members, and queries far from all."""
+    r = random.Random(4)
+    centres = [[r.gauss(0, 10) for _ in range(5)] for _ in range(8)]
+    rows = [(i, [x + r.gauss(0, 0.5) for x in centres[i % 8]]) for i in range(400)] + [(i, [1.0] * 5) for i in range(400, 600)]
+    df = spark.createDataFrame([*rows, (1000, None), (None, [0.0] * 5)], "vec_id long, embedding array<double>")
+    asked = [x for x in rows if x[0] % 7 == 0 or 395 <= x[0] < 410] + [(2000, [500.0] * 5), (2001, [1.0] * 5)]
+    q = spark.createDataFrame(asked, "vec_id long, embedding array<double>")
+    for k, block, pivot, apart in ((3, 40, 30, True), (1, 40, 100, False), (300, 64, 50, True), (5, 4096, 16_384, True)):
+        got: dict = {}
+        for x in similarity.nearest(q, df, k, self_mode=apart, block_rows=block, pivot_rows=pivot).orderBy("query_id", "rank").collect():
+            got.setdefault(x.query_id, []).append((x.neighbour_id, round(x.score, 9)))
+        assert got == every_distance(rows, asked, k, apart)
+    assert similarity.nearest(q, df.limit(0), 2).collect() == [] and similarity.nearest(q.limit(0), df, 2, pivot_rows=50).collect() == []
+
+
 def plain_greedy(seqs, threshold, coverage):
     """Longest first: a sequence joins the first representative that fits, else becomes one."""
     reps, out = [], {}

@@ -6,13 +6,12 @@ compares all of compatible length); on them the greedy rule is exact.
 
 from __future__ import annotations
 
-import tempfile
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from winnow.operators.similarity import align
+from winnow.store import stored
 
 KMER, SHARED = 5, 2
 
@@ -25,17 +24,6 @@ def identity_and_coverage(a: str, b: str) -> tuple[float, float]:
     return sum(p == q for p, q in both) / len(both), len(both) / max(len(a), len(b))
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    """Cut the lineage: a checkpoint in the session's shared folder."""
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="winnow-"))
-    return df.checkpoint()
-
-
 def candidate_pairs(df: DataFrame, group: str, shared: int = SHARED, coverage: float = 0.8) -> DataFrame:
     """Pairs (centre, ID) of the same group that share ``shared`` k-mers or more and whose
     lengths allow the coverage; the centre is the longer, of equal ones the lesser ID.
@@ -60,17 +48,17 @@ def greedy(pairs: DataFrame, order: DataFrame) -> DataFrame:
     representative, and what it is linked to joins the first such; each round is written, none depends on the last by plan.
     """
     spark = pairs.sparkSession
-    left = _stored(pairs.select("centre", "ID"))
-    undecided, done = _stored(order.select("ID", "n")), None
+    left = stored(pairs.select("centre", "ID"))
+    undecided, done = stored(order.select("ID", "n")), None
     while undecided.limit(1).count():
         free = undecided.join(left.select("ID").distinct(), "ID", "left_anti").select(F.col("ID").alias("centre"), "n")
         claimed = left.join(free, "centre").groupBy("ID").agg(F.min(F.struct((-F.col("n")).alias("n"), "centre")).alias("c")).select(F.col("ID").alias("member"), F.col("c.centre").alias("representative"))
-        new = _stored(claimed.union(free.select(F.col("centre").alias("member"), F.col("centre").alias("representative"))))
+        new = stored(claimed.union(free.select(F.col("centre").alias("member"), F.col("centre").alias("representative"))))
         done = new if done is None else done.union(new)
         gone = new.select(F.col("member").alias("ID"))
-        undecided = _stored(undecided.join(gone, "ID", "left_anti"))
+        undecided = stored(undecided.join(gone, "ID", "left_anti"))
         # a pair counts as long as both are undecided
-        left = _stored(left.join(gone, "ID", "left_anti").join(gone.withColumnRenamed("ID", "centre"), "centre", "left_anti"))
+        left = stored(left.join(gone, "ID", "left_anti").join(gone.withColumnRenamed("ID", "centre"), "centre", "left_anti"))
     return done if done is not None else spark.createDataFrame([], "member string, representative string")
 
 

@@ -1,4 +1,4 @@
-"""Nearest neighbours of vectors, alignment of sequences, greedy clustering input."""
+"""Nearest neighbours of vectors by pivots, and one alignment with its rows."""
 
 from __future__ import annotations
 
@@ -9,72 +9,134 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Reference vectors in one block; a block is what a task holds at a time.
-BLOCK_ROWS = 20_000
+from winnow.store import stored
 
+#: Rows of either side in one group, about; and reference vectors for one pivot.
+BLOCK_ROWS, PIVOT_ROWS = 4096, 16_384
+#: Pivots at most: their vectors and radii go to all tasks; and tasks at most.
+MOST_PIVOTS, MOST_TASKS = 1024, 20_000
 
-def _blocks(ref: DataFrame, id_col: str, vec_col: str, rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The reference in blocks of bounded size, in the order of its ids."""
-    ids: list = []
-    vecs: list = []
-    for r in ref.filter(F.col(vec_col).isNotNull()).select(id_col, vec_col).orderBy(id_col).toLocalIterator(prefetchPartitions=True):
-        ids.append(r[0])
-        vecs.append(r[1])
-        if len(ids) >= rows:
-            yield np.array(ids), np.array(vecs, float)
-            ids, vecs = [], []
-    if ids:
-        yield np.array(ids), np.array(vecs, float)
 
+def _k_nearest(qid: np.ndarray, a: np.ndarray, ids: np.ndarray, b: np.ndarray, k: int, self_mode: bool) -> Iterator[pd.DataFrame]:
+    """query_id, neighbour_id, score of the k nearest rows of b to each row of a; ties go to the lesser id.
 
-def nearest(queries: DataFrame, ref: DataFrame, k: int = 1, id_col: str = "vec_id", vec_col: str = "embedding", self_mode: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """query_id, rank, neighbour_id, score: the k references at the least Euclidean
-    distance (ties: the lesser id) of every query.
-
-    All queries meet all references block by block: |a|^2 + |b|^2 - 2ab picks
-    candidates by one matrix product, and their distances are then computed
-    exactly.  A block adds k rows a query, which one window reduces.
+    |a|^2 + |b|^2 - 2ab picks all that may be as near as the k-th, whatever the product's rounding; their distances are then computed exactly.
+    """
+    bb = (b * b).sum(1)
+    for lo in range(0, len(a), 512):
+        x, own = a[lo : lo + 512], qid[lo : lo + 512]
+        xx = (x * x).sum(1)
+        d2 = xx[:, None] + bb[None] - 2 * x @ b.T
+        if self_mode:
+            d2[own[:, None] == ids[None]] = np.inf
+        m = min(k, d2.shape[1])
+        most = np.partition(d2, m - 1, axis=1)[:, m - 1] + 1e-9 * (1 + xx + bb.max())
+        for few in range(0, len(x), 64):
+            row, col = np.nonzero(d2[few : few + 64] <= most[few : few + 64, None])
+            row += few
+            keep = np.isfinite(d2[row, col])
+            row, col = row[keep], col[keep]
+            d = np.concatenate([np.sqrt(((x[row[p : p + 65_536]] - b[col[p : p + 65_536]]) ** 2).sum(1)) for p in range(0, len(row), 65_536)] or [np.zeros(0)])
+            order = np.lexsort((ids[col], d.round(12), row))
+            row, col, d = row[order], col[order], d[order]
+            best = np.arange(len(row)) - np.searchsorted(row, row) < k
+            yield pd.DataFrame({"query_id": own[row[best]], "neighbour_id": ids[col[best]], "score": d[best]})
+
+
+def _distances(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum((v * v).sum(1)[:, None] + (pivots * pivots).sum(1)[None] - 2 * v @ pivots.T, 0))
+
+
+def _keyed(pivots: np.ndarray):
+    """Rows with the pivot nearest to each, and its distance."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                d = _distances(np.stack(b["v"]).astype(float), pivots)
+                cell = d.argmin(1)
+                yield b.assign(cell=cell.astype(np.int32), away=d[np.arange(len(b)), cell])
+
+    return run
+
+
+def _met(queries: DataFrame, ref: DataFrame, blocks: dict[int, int], visits: dict[int, int], k: int, self_mode: bool, kind: str, block_rows: int) -> DataFrame:
+    """The k nearest in each block that a query visits: queries (id, v, cell) by their cell, ref (id, v, cell); blocks: how many a cell
+    has, visits: how many queries.  A group is one block of a cell's vectors and one of its queries, however large the cell is."""
+    parts = {c: max(1, -(-n // block_rows)) for c, n in visits.items()}
+    sizes = queries.sparkSession.createDataFrame([(int(c), int(blocks[c]), int(p)) for c, p in parts.items()] or [], "cell int, n_blocks int, n_parts int")
+    sizes = F.broadcast(sizes)  # a row a pivot
+    spread = lambda n: F.pmod(F.xxhash64(F.lit("part"), "id"), n).cast("int")
+    a = queries.join(sizes, "cell").withColumn("part", spread(F.col("n_parts"))).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+    b = ref.join(sizes, "cell").withColumn("block", spread(F.col("n_blocks"))).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)))
+    cols = ["cell", "block", "part", "id", "v"]
+    both = a.select(*cols, F.lit(0).alias("side")).union(b.select(*cols, F.lit(1).alias("side")))
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        x, y = group[group["side"] == 0], group[group["side"] == 1]
+        empty = pd.DataFrame({c: pd.Series(dtype=t) for c, t in (("query_id", x["id"].dtype), ("neighbour_id", x["id"].dtype), ("score", float))})
+        if not len(x) or not len(y):
+            return empty
+        found = list(_k_nearest(x["id"].to_numpy(), np.stack(x["v"]).astype(float), y["id"].to_numpy(), np.stack(y["v"]).astype(float), k, self_mode))
+        return pd.concat(found) if found else empty
+
+    groups = sum(blocks[c] * p for c, p in parts.items())
+    # groups are few rows and much work: a number given is not made smaller by their bytes
+    both = both.repartition(max(1, min(2 * groups, MOST_TASKS)), "cell", "block", "part")
+    return both.groupBy("cell", "block", "part").applyInPandas(run, f"query_id {kind}, neighbour_id {kind}, score double")
+
+
+def nearest(queries: DataFrame, ref: DataFrame, k: int = 1, id_col: str = "vec_id", vec_col: str = "embedding", self_mode: bool = False, block_rows: int = BLOCK_ROWS, pivot_rows: int = PIVOT_ROWS) -> DataFrame:
+    """query_id, rank, neighbour_id, score: the k references at the least Euclidean distance (ties: the lesser id) of every query, exact.
+
+    Every reference belongs to the nearest of some pivots, which are references themselves.  A query first meets those of its own
+    pivot, which bounds its k-th distance; by the triangle inequality a pivot whose farthest member can't be within that bound is
+    skipped, and the query meets the members of the others.  Queries and references are joined by a shuffle, in blocks of bounded size.
+    Ids are those of one vector on each side; rows without id or vector are no queries and no references.
     """
-    spark = queries.sparkSession
-    q = queries.filter(F.col(vec_col).isNotNull()).select(id_col, vec_col)
     kind = queries.schema[id_col].dataType.simpleString()
-    schema = f"query_id {kind}, neighbour_id {kind}, score double"
-    out = None
-    for block in _blocks(ref, id_col, vec_col, block_rows):
-        sent = spark.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            ids, b = sent.value
-            bb = (b * b).sum(1)
-            for pdf in batches:
-                for lo in range(0, len(pdf), 512):
-                    p = pdf.iloc[lo : lo + 512]
-                    a = np.stack(p[vec_col]).astype(float)
-                    qid = p[id_col].to_numpy()
-                    d2 = (a * a).sum(1)[:, None] + bb[None] - 2 * a @ b.T
-                    if self_mode:
-                        d2[qid[:, None] == ids[None]] = np.inf
-                    # all that may be as near as the k-th, whatever the product's rounding, so that ties go by id
-                    m = min(k, d2.shape[1])
-                    most = np.partition(d2, m - 1, axis=1)[:, m - 1] + 1e-9 * (1 + (a * a).sum(1) + bb.max())
-                    for few in range(0, len(p), 64):
-                        row, col = np.nonzero(d2[few : few + 64] <= most[few : few + 64, None])
-                        row += few
-                        keep = np.isfinite(d2[row, col])
-                        row, col = row[keep], col[keep]
-                        d = np.concatenate([np.sqrt(((a[row[x : x + 65_536]] - b[col[x : x + 65_536]]) ** 2).sum(1)) for x in range(0, len(row), 65_536)] or [np.zeros(0)])
-                        order = np.lexsort((ids[col], d.round(12), row))
-                        row, col, d = row[order], col[order], d[order]
-                        first = np.searchsorted(row, row)
-                        best = np.arange(len(row)) - first < k
-                        yield pd.DataFrame({"query_id": qid[row[best]], "neighbour_id": ids[col[best]], "score": d[best]})
-
-        part = q.mapInPandas(run, schema)
-        out = part if out is None else out.union(part)
-    if out is None:
-        out = spark.createDataFrame([], schema)
+    q = queries.where(F.col(vec_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
+    r = ref.where(F.col(vec_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast(kind).alias("id"), F.col(vec_col).alias("v"))
+    n, n_queries = r.count(), q.count()
+    n_pivots = max(1, min(MOST_PIVOTS, n // pivot_rows))
+    blocks = lambda size: max(1, -(-size // block_rows))
+    if n_pivots == 1:
+        zero = F.lit(0).alias("cell")
+        found = _met(q.select("id", "v", zero), r.select("id", "v", zero), {0: blocks(n)}, {0: n_queries}, k, self_mode, kind, block_rows)
+    else:
+        found = _by_pivots(q, r, n_pivots, k, self_mode, kind, block_rows)
     w = Window.partitionBy("query_id").orderBy(F.round("score", 12), "neighbour_id")
-    return out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "neighbour_id", "score")
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "neighbour_id", "score")
+
+
+def _by_pivots(q: DataFrame, r: DataFrame, n_pivots: int, k: int, self_mode: bool, kind: str, block_rows: int) -> DataFrame:
+    vector = r.schema["v"].dataType.simpleString()
+    pivots = np.array([x.v for x in r.orderBy(F.xxhash64(F.lit("pivot"), "id"), "id").limit(n_pivots).select("v").collect()], float)
+    keyed = f"id {kind}, v {vector}, cell int, away double"
+    rk, qk = stored(r.mapInPandas(_keyed(pivots), keyed)), stored(q.mapInPandas(_keyed(pivots), keyed))
+    size, reach = {}, np.full(n_pivots, -np.inf)
+    for x in rk.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("far")).collect():  # a row a pivot
+        size[x.cell], reach[x.cell] = x.n, x.far
+    blocks = {c: max(1, -(-n // block_rows)) for c, n in size.items()}
+    visits = lambda d: {x.cell: x["count"] for x in d.groupBy("cell").count().collect() if x.cell in size}
+    first = stored(_met(qk, rk, blocks, visits(qk), k, self_mode, kind, block_rows))
+    # the k-th distance so far, where there are k
+    bound = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.get(F.sort_array(F.collect_list("score")), F.lit(k - 1)).alias("kth")).where(F.col("n") >= k).select(F.col("query_id").alias("_q"), "kth")
+
+    def reachable(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                d = _distances(np.stack(b["v"]).astype(float), pivots)
+                slack = 1e-6 * (1 + np.abs(d) + np.where(np.isfinite(reach), reach, 0)[None])
+                meets = d - reach[None] <= b["kth"].fillna(np.inf).to_numpy()[:, None] + slack
+                meets[np.arange(len(b)), b["cell"]] = False
+                row, cell = np.nonzero(meets)
+                for lo in range(0, len(row), 4096):
+                    at = row[lo : lo + 4096]
+                    yield pd.DataFrame({"id": b["id"].to_numpy()[at], "v": b["v"].to_numpy()[at], "cell": cell[lo : lo + 4096].astype(np.int32)})
+
+    more = stored(qk.join(bound, F.col("id") == F.col("_q"), "left").select("id", "v", "cell", "kth").mapInPandas(reachable, f"id {kind}, v {vector}, cell int"))
+    return first.union(_met(more, rk, blocks, visits(more), k, self_mode, kind, block_rows))
 
 
 def min_distance(queries: DataFrame, ref: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", self_mode: bool = False) -> DataFrame:
@@ -160,37 +222,3 @@ def pair_metrics(a: str, b: str, matrix: dict | None = None, **kw) -> tuple[floa
     same = sum(p == q for p, q in zip(x, y, strict=True))
     good = sum(p != "-" != q and (matrix.get((p, q), matrix.get((q, p), -1)) if matrix else 1 if p == q else -1) > 0 for p, q in zip(x, y, strict=True))
     return same / len(x), good / len(x)
-
-
-def max_identity(queries: DataFrame, ref: DataFrame, k: int = 1, self_mode: bool = False, matrix: dict | None = None, block_rows: int = 2000) -> DataFrame:
-    """query_id, rank, neighbour_id, identity, similarity of the k best references
-    (id, sequence), in blocks of the reference; identity as a fraction."""
-    spark = queries.sparkSession
-    schema = "query_id string, neighbour_id string, identity double, similarity double"
-    out = None
-    rows: list[tuple[str, str]] = []
-
-    def part(block: list[tuple[str, str]]) -> DataFrame:
-        sent = spark.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                for qid, seq in zip(pdf["id"], pdf["sequence"], strict=True):
-                    got = [(qid, rid, *pair_metrics(seq, other, matrix)) for rid, other in sent.value if not (self_mode and rid == qid)]
-                    got.sort(key=lambda r: (-r[2], r[1]))
-                    if got:
-                        yield pd.DataFrame(got[:k], columns=["query_id", "neighbour_id", "identity", "similarity"])
-
-        return queries.filter("sequence IS NOT NULL").select(F.col("id").cast("string").alias("id"), "sequence").mapInPandas(run, schema)
-
-    for r in ref.filter("sequence IS NOT NULL").select(F.col("id").cast("string").alias("id"), "sequence").orderBy("id").toLocalIterator():
-        rows.append((r.id, r.sequence))
-        if len(rows) >= block_rows:
-            out = part(rows) if out is None else out.union(part(rows))
-            rows = []
-    if rows:
-        out = part(rows) if out is None else out.union(part(rows))
-    if out is None:
-        out = spark.createDataFrame([], schema)
-    w = Window.partitionBy("query_id").orderBy(F.col("identity").desc(), "neighbour_id")
-    return out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from winnow.functions import geometry, seq, values
 from winnow.functions.order import prepare_order
-from winnow.operators import cluster, gate, hits, knn, merge, similarity, stats
+from winnow.operators import cluster, gate, hits, knn, merge, sequence_search, similarity, stats
 from winnow.operators import select as sel
+from winnow.operators.alignment import Scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -745,10 +746,70 @@ def pca(spark: SparkSession, d: str) -> DataFrame:
     return geometry.pca_2d(vectors(spark, d), "vec_id", "embedding")[0]
 
 
+def _aligned(pairs: str, match: int = 4, mismatch: int = -2, opening: int = -11, extend: int = -1) -> str:
+    """SQL: the table best (a, b, v) of the best global alignment of each pair (a, b, sa, sb): its score, equal letters, positive
+    columns and columns with both letters, in one number, from a recursion over the anti-diagonals of the table."""
+    s, e, p = 1 << 45, 1 << 30, 1 << 15
+    return f"""pairs AS ({pairs}),
+dp(a, b, sa, sb, n, m, d, h0, h1, u, l) USING KEY (a, b) AS (
+  SELECT a, b, sa, sb, length(sa), length(sb), 0::BIGINT, list_transform(range(0, length(sa) + 1), lambda i: NULL::BIGINT), list_transform(range(0, length(sa) + 1), lambda i: CASE WHEN i = 0 THEN 0::BIGINT END),
+    list_transform(range(0, length(sa) + 1), lambda i: NULL::BIGINT), list_transform(range(0, length(sa) + 1), lambda i: NULL::BIGINT) FROM pairs
+  UNION
+  SELECT a, b, sa, sb, n, m, d, h1, list_transform(range(0, n + 1), lambda i: greatest(u2[i + 1], l2[i + 1],
+      CASE WHEN i > 0 AND d - i BETWEEN 1 AND m THEN h0[i] + CASE WHEN substr(sa, i, 1) = substr(sb, d - i, 1) THEN {match * s + e + (p if match > 0 else 0) + 1} ELSE {mismatch * s + (p if mismatch > 0 else 0) + 1} END END)), u2, l2
+  FROM (SELECT *, list_transform(range(0, n + 1), lambda i: CASE WHEN i > 0 AND d - i BETWEEN 0 AND m THEN greatest(h1[i] + {opening * s}, u[i] + {extend * s}) END) AS u2,
+      list_transform(range(0, n + 1), lambda i: CASE WHEN d - i BETWEEN 1 AND m THEN greatest(h1[i + 1] + {opening * s}, l[i + 1] + {extend * s}) END) AS l2
+    FROM (SELECT a, b, sa, sb, n, m, d + 1 AS d, h0, h1, u, l FROM dp WHERE d < n + m))
+),
+best AS (SELECT a, b, ((h1[n + 1] % {s}) + {s}) % {s} AS v, n + m AS letters FROM dp WHERE d = n + m),
+scored AS (SELECT a, b, (v // {e}) / (letters - v % {p})::DOUBLE AS identity, ((v // {p}) % {p}) / (letters - v % {p})::DOUBLE AS similarity FROM best)"""
+
+
+_LETTERS = "SELECT item_id::VARCHAR AS id, upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS sequence FROM benchmark"
+_RANKED = "SELECT a AS query_id, rank, b AS neighbour_id, round(identity, 6) AS identity, round(similarity, 6) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(identity, 12) DESC, b) AS rank FROM scored)"
+
+
+def letters(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("id"), F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("sequence"))
+
+
+def _ranked(top: DataFrame) -> DataFrame:
+    return top.select("query_id", "rank", "neighbour_id", r6(F.col("identity"), "identity"), r6(F.col("similarity"), "similarity"))
+
+
 @query()
 def sequence_identity(spark: SparkSession, d: str) -> DataFrame:
-    b = table(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("id"), F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("sequence"))
-    return similarity.max_identity(b, b, 1, self_mode=True)
+    b = letters(spark, d)
+    return _ranked(sequence_search.most_identical(b, b, 1, self_mode=True))
+
+
+@query(f"""WITH RECURSIVE t AS (SELECT DISTINCT p_name AS id FROM part), {_aligned("SELECT x.id AS a, y.id AS b, x.id AS sa, y.id AS sb FROM t x JOIN t y ON x.id <> y.id", opening=-3)} {_RANKED} WHERE rank <= 3""")
+def name_identity(spark: SparkSession, d: str) -> DataFrame:
+    n = table(spark, d, "part").select(F.col("p_name").alias("id"), F.col("p_name").alias("sequence"))
+    return _ranked(sequence_search.most_identical(n, n, 3, self_mode=True, scores=Scores(opening=-3)))
+
+
+_TOKENS = r"SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS id FROM benchmark"
+
+
+@query(f"""WITH RECURSIVE t AS ({_TOKENS}), {_aligned("SELECT x.id AS a, y.id AS b, x.id AS sa, y.id AS sb FROM t x JOIN t y ON x.id <> y.id AND levenshtein(x.id, y.id) <= 0.25 * least(length(x.id), length(y.id)) + 1e-9", match=1, mismatch=-1, opening=-1)}
+SELECT a AS query_id, b AS neighbour_id, round(identity, 6) AS identity FROM scored WHERE identity >= 0.8 - 1e-9""")
+def similar_words(spark: SparkSession, d: str) -> DataFrame:
+    """Of L columns with e that don't match, 1 - e / L >= 0.8 gives e <= min / 4, and the edit distance is e at most: the SQL's bound."""
+    w = table(spark, d, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), 0)).alias("id"))
+    found = sequence_search.identical_pairs(w.withColumn("sequence", F.col("id")), w.withColumn("sequence", F.col("id")), 0.8, Scores(opening=-1, extend=-1, match=1, mismatch=-1), apart=True)
+    return found.select("query_id", "neighbour_id", r6(F.col("identity"), "identity"))
+
+
+@query(f"""WITH RECURSIVE t AS ({_LETTERS}), {_aligned("SELECT x.id AS a, y.id AS b, x.sequence AS sa, y.sequence AS sb FROM t x JOIN t y ON x.id <> y.id AND x.id::BIGINT % 10 = 0")},
+i AS (SELECT a, max(round(identity, 12)) AS v, arg_min(b, (-round(identity, 12), b)) AS hit FROM scored GROUP BY a)
+SELECT a AS "ID", round(v * 100, 6) AS max_identity, hit AS identity_hit FROM i""")
+def identity_two_sets(spark: SparkSession, d: str) -> DataFrame:
+    """Every tenth item against all others."""
+    b = letters(spark, d)
+    a = b.where(F.col("id").cast("long") % 10 == 0)
+    s = sequence_search.summary(sequence_search.most_identical(a, b, 1, self_mode=True), a)
+    return s.select("ID", r6(F.col("max_identity"), "max_identity"), "identity_hit")
 
 
 @query()
