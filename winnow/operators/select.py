@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from winnow.functions.values import all_of, greatest, number_of
 from winnow.operators import gate as gates
+from winnow.operators.ranks import ranked
 
 # ------------------------------------------------------------------ bands
 
@@ -61,54 +62,64 @@ def band_join(df: DataFrame, bands: DataFrame, metric: str, by: str) -> DataFram
 # ------------------------------------------------------------------ scores
 
 
-def zscore(x: Column, w: Window) -> Column:
+def zscore(x: Column, mean: Column, sd: Column) -> Column:
     """(x - mean) / population deviation; 0 where the deviation is none, NULL where x is."""
-    mean, sd = F.avg(x).over(w), F.stddev_pop(x).over(w)
     flat = sd <= F.greatest(F.lit(1.0), F.abs(mean)) * 1e-12
     return F.when(x.isNotNull(), F.when(flat, F.lit(0.0)).otherwise((x - mean) / sd))
 
 
-def score(df: DataFrame, terms: list[dict], zscore_within: str | None = None, score_col: str = "score", tie: tuple[str, ...] = ("ID",)) -> DataFrame:
-    """Sum of signed, weighted z-scores per group, and its rank (score descending,
-    ties by ``tie``).  A missing term or group makes the score NULL and unranked.
+def _best_first(df: DataFrame, score_col: str | None, tie: tuple[str, ...]) -> list[Column]:
+    by = [F.col(f"`{score_col}`").desc_nulls_last()] if score_col and score_col in df.columns else []
+    return [*by, *[F.col(f"`{c}`") for c in tie if c in df.columns]]
+
+
+def scored(df: DataFrame, terms: list[dict], zscore_within: str | None = None, score_col: str = "score") -> DataFrame:
+    """Sum of signed, weighted z-scores per group; a missing term or group makes it NULL.
 
-    Without a group the moments come from one aggregate that is joined back, so
-    no window gathers the table in one task; only the rank, if asked for, sorts it.
+    The moments of all groups come from one aggregate that is joined back (Spark sends it to the tasks while it is small), so
+    no group is gathered in one task.
     """
     for t in terms:
         if t["col"] not in df.columns:
             raise ValueError(f"score: no column {t['col']!r}")
-    tie = tuple(c for c in tie if c in df.columns)
+    aggs = [f(number_of(df, t["col"])).alias(f"_{k}{i}") for i, t in enumerate(terms) for k, f in (("m", F.avg), ("s", F.stddev_pop))]
     if zscore_within is None:
-        aggs = [f(number_of(df, t["col"])).alias(f"_{k}{i}") for i, t in enumerate(terms) for k, f in (("m", F.avg), ("s", F.stddev_pop))]
         base = df.crossJoin(F.broadcast(df.agg(*aggs)))  # one row
-        total = F.lit(0.0)
-        for i, t in enumerate(terms):
-            x, mean, sd = number_of(df, t["col"]), F.col(f"_m{i}"), F.col(f"_s{i}")
-            z = F.when(x.isNotNull(), F.when(sd <= F.greatest(F.lit(1.0), F.abs(mean)) * 1e-12, 0.0).otherwise((x - mean) / sd))
-            total = total + z * F.lit(float(t.get("weight", 1)) * (-1 if t.get("direction") == "lower" else 1))
-        out = base.withColumn(score_col, total).drop(*[f"_{k}{i}" for i in range(len(terms)) for k in "ms"])
-        w = Window.orderBy(F.col(score_col).desc_nulls_last(), *tie)
     else:
-        g = F.col(f"`{zscore_within}`")
-        total = F.lit(0.0)
-        for t in terms:
-            total = total + zscore(number_of(df, t["col"]), Window.partitionBy(g)) * F.lit(float(t.get("weight", 1)) * (-1 if t.get("direction") == "lower" else 1))
-        out = df.withColumn(score_col, F.when(g.isNotNull(), total))
-        w = Window.partitionBy(g).orderBy(F.col(score_col).desc_nulls_last(), *tie)
-    return out.withColumn(f"{score_col}_rank", F.when(F.col(score_col).isNotNull(), F.row_number().over(w)))
+        moments = df.groupBy(F.col(f"`{zscore_within}`").alias("_g")).agg(*aggs).where("_g IS NOT NULL")
+        base = df.join(moments, F.col(f"`{zscore_within}`") == F.col("_g"), "left").drop("_g")
+    total = F.lit(0.0)
+    for i, t in enumerate(terms):
+        sign = -1 if t.get("direction") == "lower" else 1
+        total = total + zscore(number_of(df, t["col"]), F.col(f"_m{i}"), F.col(f"_s{i}")) * F.lit(float(t.get("weight", 1)) * sign)
+    known = F.col(f"`{zscore_within}`").isNotNull() if zscore_within else F.lit(True)
+    return base.withColumn(score_col, F.when(known, total)).drop(*[f"_{k}{i}" for i in range(len(terms)) for k in "ms"])
 
 
-def take_top_n(df: DataFrame, n: int, group: str | None = None, score_col: str | None = "score", tie: tuple[str, ...] = ("ID",)) -> DataFrame:
+def score(df: DataFrame, terms: list[dict], zscore_within: str | None = None, score_col: str = "score", tie: tuple[str, ...] = ("ID",)) -> DataFrame:
+    """scored() and its rank in the group (score descending, ties by ``tie``), NULL where the score is.
+
+    The ranks come from ranges of the order (see ranks.ranked), which runs jobs; a group of any size is spread over all tasks.
+    """
+    out = scored(df, terms, zscore_within, score_col)
+    name = f"{score_col}_rank"
+    out = ranked(out, [zscore_within] if zscore_within else [], _best_first(out, score_col, tie), name)
+    return out.withColumn(name, F.when(F.col(f"`{score_col}`").isNotNull(), F.col(name)))
+
+
+def take_top_n(df: DataFrame, n: int, group: str | None = None, score_col: str | None = "score", tie: tuple[str, ...] = ("ID",), rank_col: str | None = None) -> DataFrame:
     """The best n of each group (rows without a group go); Spark cuts each map
-    output to n rows before it shuffles them."""
-    tie = tuple(c for c in tie if c in df.columns)
-    by = [F.col(score_col).desc_nulls_last()] if score_col and score_col in df.columns else []
-    order = [*by, *[F.col(c) for c in tie]]
+    output to n rows before it shuffles them.  rank_col: keep the rank under this name, NULL where the score is."""
+    order = _best_first(df, score_col, tie)
     if group is None:
-        return df.orderBy(*order).limit(n)
-    w = Window.partitionBy(f"`{group}`").orderBy(*order)
-    return df.filter(F.col(f"`{group}`").isNotNull()).withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= n).drop("_n")
+        out = df.orderBy(*order).limit(n)
+        if not rank_col:
+            return out
+        w, d = Window.orderBy(*order), out  # n rows
+    else:
+        w, d = Window.partitionBy(f"`{group}`").orderBy(*order), df.filter(F.col(f"`{group}`").isNotNull())
+    d = d.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= n)
+    return d.withColumn(rank_col, F.when(F.col(f"`{score_col}`").isNotNull(), F.col("_n"))).drop("_n") if rank_col else d.drop("_n")
 
 
 # ------------------------------------------------------------------ specificity
@@ -164,17 +175,20 @@ def diversity_dedup(df: DataFrame, clusters: DataFrame, quality: str, group: str
     A group with at most one usable sequence keeps all its rows; in larger ones
     a row without cluster is its own.  Rows without a group go.
     """
-    g = F.col(f"`{group}`") if group else F.lit("all")
     c = clusters.select(F.col("member").cast("string").alias("_m"), F.col("representative").cast("string").alias("_r"))
-    d = df.withColumn("_g", g).filter(F.col("_g").isNotNull())
+    d = df.withColumn("_g", F.col(f"`{group}`") if group else F.lit("all")).filter(F.col("_g").isNotNull())
     d = d.join(c, F.col(f"`{tie}`").cast("string") == F.col("_m"), "left").withColumn("_c", F.coalesce("_r", F.col(f"`{tie}`").cast("string")))
-    usable = F.count(F.when(F.col(f"`{sequence}`").isNotNull() & (F.col(f"`{sequence}`") != ""), 1)).over(Window.partitionBy("_g"))
+    usable = F.count(F.when(F.col(f"`{sequence}`").isNotNull() & (F.col(f"`{sequence}`") != ""), 1))
+    d = d.join(d.groupBy(F.col("_g").alias("_h")).agg(usable.alias("_u")), F.col("_g") == F.col("_h"))
     order = [F.col(f"`{quality}`").desc_nulls_last(), F.col(f"`{tie}`")]
-    d = d.withColumn("_u", usable).withColumn("_k", F.row_number().over(Window.partitionBy("_g", "_c").orderBy(*order)))
-    d = d.filter((F.col("_u") <= 1) | (F.col("_k") == 1))
-    if n_out:
+    # each map output is cut to the best of its clusters before the shuffle, so no large cluster meets in one task
+    best = d.filter("_u > 1").withColumn("_k", F.row_number().over(Window.partitionBy("_g", "_c").orderBy(*order))).filter("_k = 1").drop("_k")
+    d = best.unionByName(d.filter("_u <= 1"))
+    if n_out and group:
         d = d.withColumn("_n", F.row_number().over(Window.partitionBy("_g").orderBy(*order))).filter(F.col("_n") <= n_out)
-    return d.select(*df.columns)
+    elif n_out:
+        d = d.orderBy(*order).limit(n_out)
+    return d.select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 # ------------------------------------------------------------------ the interpreter
@@ -202,18 +216,28 @@ def _dedup_op(df: DataFrame, op: dict, ctx: dict) -> DataFrame:
     return diversity_dedup(df, clusters, op["quality_col"], group, op.get("n_out_per_group"))
 
 
+def _score_op(df: DataFrame, op: dict, ctx: dict) -> DataFrame:
+    """Where the best n of the same groups are all that is kept next, they are ranked then: of the others no rank is needed."""
+    spec, name = ctx["spec"], op.get("score_col", "score")
+    within = op.get("zscore_within", spec.get("group_by"))
+    if op is spec["ops"][-1] and spec.get("n_out_per_group") and name == "score" and within == spec.get("group_by"):
+        ctx["rank_later"] = "score_rank"
+        return scored(df, op["terms"], within, name)
+    return score(df, op["terms"], within, name, ctx["tie"])
+
+
 REGISTRY: dict[str, Op] = {
     "gate": lambda df, op, ctx: gates.apply_gate(df, op["conditions"], op.get("keep_only_passing", True)),
     "band_filter": lambda df, op, ctx: band_filter(df, op.get("metrics", {}), op.get("bands_file")),
-    "score": lambda df, op, ctx: score(df, op["terms"], op.get("zscore_within", ctx["spec"].get("group_by")), op.get("score_col", "score"), ctx["tie"]),
+    "score": lambda df, op, ctx: _score_op(df, op, ctx),
     "substrate_specificity": lambda df, op, ctx: substrate_specificity(df, op.get("target_substrate") or ctx["target"], op.get("t_hi", 0.5), op.get("t_off", 0.35), op.get("per_substrate_ceilings")),
     "diversity_dedup": _dedup_op,
 }
 
 
 def run_selection(df: DataFrame, spec: dict, sequences: DataFrame | None = None, clusters: DataFrame | None = None, target: str | None = None, tie: tuple[str, ...] = ("ID",), trace: list | None = None) -> DataFrame:
-    """Apply the ops of a spec in order: one lazy plan.  Every op's name and columns
-    are looked up while the plan is built, before any job runs.
+    """Apply the ops of a spec in order: one lazy plan, but for ranks of all rows (see score) and native clusters, which run jobs.
+    Every op's name is looked up first.
 
     trace: gets (op, frame) after each step, for manifest().
     """
@@ -231,7 +255,7 @@ def run_selection(df: DataFrame, spec: dict, sequences: DataFrame | None = None,
         if trace is not None:
             trace.append((op["op"], out))
     if spec.get("n_out_per_group"):
-        out = take_top_n(out, int(spec["n_out_per_group"]), spec.get("group_by"), "score", tie)
+        out = take_top_n(out, int(spec["n_out_per_group"]), spec.get("group_by"), "score", tie, ctx.get("rank_later"))
         if trace is not None:
             trace.append(("top_n", out))
     return out

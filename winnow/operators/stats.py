@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from winnow.functions.values import number_of
+from winnow.operators import quantiles
 
 PERCENTS = {"p1": 0.01, "p5": 0.05, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99}
 
@@ -33,27 +34,30 @@ def classify(df: DataFrame, columns: list[str]) -> dict[str, str]:
     return kinds
 
 
-def numeric_stats(df: DataFrame, columns: list[str], strata: list[str] | None = None) -> DataFrame:
+def numeric_stats(df: DataFrame, columns: list[str], strata: list[str] | None = None, exact_rows: int | None = None) -> DataFrame:
     """stat_column, labeling, label and the summary, overall (labeling NULL) and per
     class of each labeling, from one pass with grouping sets.  Rows without a
-    class are in no stratum of that labeling.  Percentiles are exact (linear)."""
+    class are in no stratum of that labeling.  Percentiles are exact (linear); from
+    exact_rows values on (quantiles.EXACT_ROWS) they are searched in a few more passes,
+    so that no stratum's values are gathered."""
     strata = strata or []
     x = df.select(*[F.col(f"`{s}`").cast("string").alias(f"_s{i}") for i, s in enumerate(strata)], F.explode(F.array(*[F.struct(F.lit(c).alias("stat_column"), number_of(df, c).alias("x")) for c in columns])).alias("e"))
     x = x.select(*[f"_s{i}" for i in range(len(strata))], "e.stat_column", "e.x")
-    p = [F.expr(f"percentile(x, array({', '.join(map(str, PERCENTS.values()))}))").alias("_p")]
+    exact_rows = quantiles.EXACT_ROWS if exact_rows is None else exact_rows
+    few = x.where("x IS NOT NULL").limit(exact_rows + 1).count() <= exact_rows
+    p = [F.expr(f"percentile(x, array({', '.join(map(str, PERCENTS.values()))}))").alias("_p")] if few else []
     aggs = [F.count("x").alias("n"), (F.count(F.lit(1)) - F.count("x")).alias("n_missing"), F.avg("x").alias("mean"), F.when(F.count("x") > 0, F.coalesce(F.stddev_samp("x"), F.lit(0.0))).alias("std"), F.min("x").alias("min"), F.max("x").alias("max"), *p]
-    sets = [[F.col("stat_column")], *[[F.col("stat_column"), F.col(f"_s{i}")] for i in range(len(strata))]]
-    keys = [F.col("stat_column"), *[F.col(f"_s{i}") for i in range(len(strata))]]
-    marks = [F.grouping(f"_s{i}").alias(f"_g{i}") for i in range(len(strata))]
-    g = x.groupingSets(sets, *keys).agg(*aggs, *marks) if strata else x.groupBy(*keys).agg(*aggs)
-    labeling, label = F.lit(None).cast("string"), F.lit(None).cast("string")
-    keep = F.lit(True)
-    for i, s in enumerate(strata):
-        on = F.col(f"_g{i}") == 0
-        labeling, label = F.when(on, F.lit(s)).otherwise(labeling), F.when(on, F.col(f"_s{i}")).otherwise(label)
-        keep = keep & (~on | F.col(f"_s{i}").isNotNull())
-    out = g.filter(keep)
-    return out.select("stat_column", labeling.alias("labeling"), label.alias("label"), "n", "n_missing", "mean", "std", "min", "max", *[F.col("_p")[i].alias(k) for i, k in enumerate(PERCENTS)])
+    # a row for each grouping that it belongs to: overall, and its class of each labeling
+    groups = [F.struct(F.lit(None).cast("string").alias("labeling"), F.lit(None).cast("string").alias("label"))]
+    groups += [F.when(F.col(f"_s{i}").isNotNull(), F.struct(F.lit(s).alias("labeling"), F.col(f"_s{i}").alias("label"))) for i, s in enumerate(strata)]
+    x = x.withColumn("g", F.explode(F.filter(F.array(*groups), lambda e: e.isNotNull()))).select("stat_column", "g.labeling", "g.label", "x")
+    keys = ["stat_column", "labeling", "label"]
+    out = x.groupBy(*keys).agg(*aggs)
+    if few:
+        return out.select(*keys, "n", "n_missing", "mean", "std", "min", "max", *[F.col("_p")[i].alias(k) for i, k in enumerate(PERCENTS)])
+    q = quantiles.exact_quantiles(x, keys, PERCENTS, 0)
+    q = q.select(*[F.col(k).alias(f"_{k}") for k in keys], *PERCENTS)
+    return out.join(q, (F.col("stat_column") == F.col("_stat_column")) & F.col("labeling").eqNullSafe(F.col("_labeling")) & F.col("label").eqNullSafe(F.col("_label")), "left").drop("_stat_column", "_labeling", "_label")
 
 
 def categorical_stats(df: DataFrame, column: str, stratum: str | None = None) -> DataFrame:
@@ -142,9 +146,11 @@ def sample_lengths(hist: DataFrame, n: int, seed: int = 0) -> DataFrame:
     return d.select("id", F.filter(table, lambda e: (F.col("u") >= e["a"]) & (F.col("u") < e["b"]))[0]["v"].alias("length"))
 
 
-def boxplot(df: DataFrame, column: str, group: str) -> DataFrame:
-    x = number_of(df, column)
-    return df.groupBy(F.col(group).alias("grp")).agg(F.expr(f"percentile(`{column}`, array(0.25, 0.5, 0.75))").alias("q"), F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n")).select("grp", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q2"), F.col("q")[2].alias("q3"), "lo", "hi", "n")
+def boxplot(df: DataFrame, column: str, group: str, exact_rows: int | None = None) -> DataFrame:
+    x = df.select(F.col(f"`{group}`").alias("grp"), number_of(df, column).alias("x"))
+    ends = x.groupBy(F.col("grp").alias("_grp")).agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").alias("n"))
+    q = quantiles.exact_quantiles(x, ["grp"], {"q1": 0.25, "q2": 0.5, "q3": 0.75}, exact_rows)
+    return q.join(ends, F.col("grp").eqNullSafe(F.col("_grp"))).select("grp", "q1", "q2", "q3", "lo", "hi", "n")
 
 
 def density(df: DataFrame, column: str, points: int = 512) -> DataFrame:

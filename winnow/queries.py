@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from winnow.functions import geometry, seq, values
 from winnow.functions.order import prepare_order
-from winnow.operators import cluster, gate, hits, knn, merge, sequence_search, similarity, stats
+from winnow.operators import cluster, gate, hits, knn, merge, ranks, sequence_search, similarity, stats
 from winnow.operators import select as sel
 from winnow.operators.alignment import Scores
 
@@ -241,18 +241,64 @@ _P = ", ".join(f"round(quantile_cont(x, {q}), 6) AS {k}" for k, q in stats.PERCE
 _AGG = f"count(x) AS n, count(*) - count(x) AS n_missing, round(avg(x), 6) AS mean, round(coalesce(stddev_samp(x), 0), 6) AS std, min(x) AS min, max(x) AS max, {_P}"
 
 
-@query(f"""
+_SUMMARY = f"""
 WITH l AS (SELECT *, CASE WHEN l_linenumber = 3 THEN NULL ELSE l_discount END AS disc FROM lineitem), e AS (SELECT 'l_extendedprice' AS stat_column, l_extendedprice AS x, l_returnflag, l_linestatus FROM l UNION ALL SELECT 'disc', disc, l_returnflag, l_linestatus FROM l)
 SELECT stat_column, NULL::VARCHAR AS labeling, NULL::VARCHAR AS label, {_AGG} FROM e GROUP BY 1
 UNION ALL SELECT stat_column, 'l_returnflag', l_returnflag, {_AGG} FROM e GROUP BY 1, 3
 UNION ALL SELECT stat_column, 'l_linestatus', l_linestatus, {_AGG} FROM e GROUP BY 1, 3
-""")
-def stats_numeric(spark: SparkSession, d: str) -> DataFrame:
+"""
+
+
+@query(_SUMMARY)
+def stats_numeric(spark: SparkSession, d: str, exact_rows: int | None = None) -> DataFrame:
     li = table(spark, d, "lineitem").withColumn("disc", F.when(F.col("l_linenumber") != 3, F.col("l_discount")))
-    s = stats.numeric_stats(li, ["l_extendedprice", "disc"], ["l_returnflag", "l_linestatus"])
+    s = stats.numeric_stats(li, ["l_extendedprice", "disc"], ["l_returnflag", "l_linestatus"], exact_rows)
     return s.select("stat_column", "labeling", "label", "n", "n_missing", r6(F.col("mean"), "mean"), r6(F.col("std"), "std"), "min", "max", *[r6(F.col(k), k) for k in stats.PERCENTS])
 
 
+@query(_SUMMARY)
+def stats_searched(spark: SparkSession, d: str) -> DataFrame:
+    """The same with every quantile searched for, as it is in large tables."""
+    return stats_numeric(spark, d, 0)
+
+
+@query("""SELECT event_type AS grp, round(quantile_cont(v, 0.25), 6) AS q1, round(quantile_cont(v, 0.5), 6) AS q2, round(quantile_cont(v, 0.75), 6) AS q3, min(v) AS lo, max(v) AS hi, count(v) AS n
+FROM (SELECT CASE WHEN event_id % 11 > 0 THEN event_type END AS event_type, CASE WHEN event_id % 3 = 0 THEN 1.5 WHEN event_id % 7 > 0 THEN value END AS v FROM events) GROUP BY 1""")
+def boxplot_searched(spark: SparkSession, d: str) -> DataFrame:
+    """A third of all values alike, some missing, and a group without a name."""
+    k = F.col("event_id")
+    e = table(spark, d, "events").select(F.when(k % 11 > 0, F.col("event_type")).alias("event_type"), F.when(k % 3 == 0, 1.5).when(k % 7 > 0, F.col("value")).alias("v"))
+    return stats.boxplot(e, "v", "event_type", 0).select("grp", *[r6(F.col(c), c) for c in ("q1", "q2", "q3")], "lo", "hi", "n")
+
+
+@query(f"""WITH o AS ({ORDERS_NULLS}) SELECT o_orderkey, CASE WHEN price IS NOT NULL THEN row_number() OVER (ORDER BY price DESC NULLS LAST, o_orderkey) END AS rk FROM o""")
+def score_ranks(spark: SparkSession, d: str) -> DataFrame:
+    """All rows in one group."""
+    out = sel.score(orders_nulls(spark, d), [{"col": "price", "direction": "higher"}], tie=("o_orderkey",))
+    return out.select("o_orderkey", F.col("score_rank").alias("rk"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() OVER (PARTITION BY CASE WHEN l_tax > 0.01 THEN l_returnflag END ORDER BY l_shipdate DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS rk FROM lineitem""")
+def ranks_in_groups(spark: SparkSession, d: str) -> DataFrame:
+    li = table(spark, d, "lineitem").withColumn("grp", F.when(F.col("l_tax") > 0.01, F.col("l_returnflag")))
+    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return ranks.ranked(li, ["grp"], [F.col("l_shipdate").desc(), *map(F.col, key)], "rk").select(*key, "rk")
+
+
+@query("SELECT event_id, row_number() OVER (ORDER BY value DESC NULLS LAST, event_id) AS place FROM events")
+def places_in_order(spark: SparkSession, d: str) -> DataFrame:
+    return ranks.placed(table(spark, d, "events"), [F.col("value").desc_nulls_last(), F.col("event_id")]).select("event_id", "place")
+
+
+@query("""WITH t AS (SELECT doc_id, n_chars, coalesce(lang, '') || (doc_id % 50) AS rep FROM documents)
+SELECT doc_id FROM (SELECT *, row_number() OVER (PARTITION BY rep ORDER BY n_chars DESC, doc_id) AS k FROM t) WHERE k = 1 ORDER BY n_chars DESC, doc_id LIMIT 40""")
+def diversity_all(spark: SparkSession, d: str) -> DataFrame:
+    """No group: the best of each cluster, and the best 40 of these."""
+    t = table(spark, d, "documents").select(F.col("doc_id").alias("ID"), "lang", "n_chars", F.col("text").alias("sequence"))
+    clusters = t.select(F.col("ID").alias("member"), F.concat(F.coalesce("lang", F.lit("")), F.col("ID") % 50).alias("representative"))
+    return sel.diversity_dedup(t, clusters, "n_chars", None, 40).select(F.col("ID").alias("doc_id"))
+
+
 @query("SELECT lang AS label, CASE WHEN n_chars > 1500 THEN 'True' ELSE 'False' END AS value, count(*) AS freq FROM documents GROUP BY 1, 2")
 def stats_categorical(spark: SparkSession, d: str) -> DataFrame:
     return stats.categorical_stats(table(spark, d, "documents").withColumn("long_text", F.col("n_chars") > 1500), "long_text", "lang")

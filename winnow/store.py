@@ -1,10 +1,11 @@
-"""Tables that later steps start from: written to the shared folder, so that the lineage ends there."""
+"""Tables that later steps start from, written to the shared folder so that the lineage ends there, and sides of a checked size."""
 
 from __future__ import annotations
 
 import tempfile
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -16,3 +17,8 @@ def stored(df: DataFrame) -> DataFrame:
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="winnow-"))
     return df.checkpoint()
+
+
+def sent_if_small(df: DataFrame, rows: int = 20_000) -> DataFrame:
+    """Marked to be sent to all tasks if it has so few rows, which is counted; else as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
