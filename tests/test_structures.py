@@ -73,11 +73,6 @@ def test_gyration_and_superposition(spark):
     c = x - x.mean(0)
     lam = np.linalg.eigvalsh(c.T @ c / 50)
     assert r.radius_of_gyration == pytest.approx(np.sqrt(lam.sum())) and r.asphericity == pytest.approx(lam[2] - lam[:2].mean())
-    t = 0.7
-    rot = np.array([[np.cos(t), -np.sin(t), 0], [np.sin(t), np.cos(t), 0], [0, 0, 1]])
-    assert g.kabsch(x, x @ rot.T + 5)[2] < 1e-9
-    out = g.sdr_divergence(("MKTAYIAK", x[:8]), ("MKTSYIAK", x[:8] @ rot.T), [3, 4], 0.9)
-    assert out["n_mapped"] == 2 and out["differences"] == "S4A" and out["flagged"]
 
 
 def test_pca(spark):
@@ -133,12 +128,3 @@ def test_constructs():
 def test_orders_table(spark):
     df = spark.createDataFrame([("a", "MKVLAAGG"), ("b", "M1"), ("c", None)], "ID string, sequence string")
     assert {r.ID: r.status for r in order.prepare_order(df).collect()} == {"a": "ok", "b": "FAILED", "c": "FAILED"}
-
-
-def test_sdr_table(spark):
-    x = np.random.default_rng(3).normal(size=(8, 3))
-    s = spark.createDataFrame([("d", "MKTAYIAK", x.tolist()), ("n", "MKTSYIAK", (x + 2).tolist()), ("far", "WWWWWWWW", x.tolist())], "id string, sequence string, ca array<array<double>>")
-    e = spark.createDataFrame([("d", "n", 0.9), ("far", "n", 0.2)], "design string, neighbour string, similarity double")
-    p = spark.createDataFrame([("n", [3, 4])], "id string, residues array<int>")
-    got = {r.design: r for r in g.sdr_table(e, s, p).collect()}
-    assert got["d"].differences == "S4A" and got["d"].flagged and got["far"].n_mapped == 0 and not got["far"].flagged

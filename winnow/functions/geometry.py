@@ -171,20 +171,21 @@ def ions(atoms: DataFrame) -> DataFrame:
 def ion_site_check(atoms: DataFrame, site_radius: float = 5.0, cutoff: float = 2.8, contacts: int = 2) -> DataFrame:
     """Per structure with a cage: ions, their least distance to its centroid, and how many touch its oxygens."""
     m = metal_point(atoms)
-    i = ions(atoms).select("struct_id", F.monotonically_increasing_id().alias("ion"), "x", "y", "z")
+    # an ion is known by its place, so that reruns number alike
+    i = ions(atoms).select("struct_id", F.struct("x", "y", "z").alias("ion"), "x", "y", "z")
     d = i.join(m, "struct_id").select("struct_id", "ion", dist().alias("d"))
-    o = cage(atoms).select("struct_id", *[F.col(c).alias(f"m{c}") for c in "xyz"])
-    t = i.join(o, "struct_id").filter(dist() <= cutoff).groupBy("struct_id", "ion").agg(F.count(F.lit(1)).alias("touch"))
+    o = cage(atoms).select("struct_id", *[F.col(c).alias(f"b{c}") for c in "xyz"])
+    t = near_pairs(i, o, cutoff).groupBy("struct_id", "ion").agg(F.count(F.lit(1)).alias("touch"))
     per = d.join(t, ["struct_id", "ion"], "left").fillna(0, ["touch"])
     g = per.groupBy("struct_id").agg(F.count(F.lit(1)).alias("n_ions_modelled"), F.min("d").alias("min_ion_to_cage_dist"), F.count(F.when(F.col("d") <= site_radius, 1)).alias("n_ions_in_site"), F.count(F.when(F.col("touch") >= contacts, 1)).alias("n_ions_coordinated"), F.max("touch").alias("max_contacts"))
     return m.select("struct_id").join(g, "struct_id", "left").fillna(0, ["n_ions_modelled", "n_ions_in_site", "n_ions_coordinated", "max_contacts"]).withColumn("well_placed", F.col("n_ions_coordinated") > 0)
 
 
-def motif_positions(seqs: DataFrame, pattern: str) -> DataFrame:
-    """struct_id, start of every match, found left to right without overlap."""
+def motif_positions(seqs: DataFrame, pattern: str, overlapping: bool = False) -> DataFrame:
+    """struct_id, start of every match in one pass, left to right: without overlap, or at every place where one begins."""
     import re
 
-    p = re.compile(pattern)
+    p = re.compile(f"(?={pattern})" if overlapping else pattern)
 
     @F.pandas_udf("array<int>")
     def starts(s: pd.Series) -> pd.Series:
@@ -193,6 +194,46 @@ def motif_positions(seqs: DataFrame, pattern: str) -> DataFrame:
     return seqs.select("struct_id", F.explode(starts("sequence")).alias("start"))
 
 
+def near_pairs(a: DataFrame, b: DataFrame, radius: float, key: str = "struct_id") -> DataFrame:
+    """The rows of a (key, x, y, z) beside those of b (key, bx, by, bz) of the same key within the radius, and their distance d.
+
+    Points are put into cells as wide as the radius, and each of b into the 27 around its own, so that only points of
+    neighbouring cells meet and not all pairs of a key.
+    """
+    cell = lambda p: [F.floor(F.col(f"{p}{c}") / F.lit(float(radius))) for c in "xyz"]
+    around = F.explode(F.array(*[F.array(F.lit(i), F.lit(j), F.lit(k)) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)]))
+    left = a.withColumns({f"_c{i}": c for i, c in enumerate(cell(""))})
+    right = b.withColumn("_o", around).withColumns({f"_c{i}": c + F.col("_o")[i] for i, c in enumerate(cell("b"))}).drop("_o")
+    j = left.join(right, [key, "_c0", "_c1", "_c2"]).drop("_c0", "_c1", "_c2").withColumn("d", dist("", "b"))
+    return j.where(F.col("d") <= radius)
+
+
+def motif_coordination(atoms: DataFrame, cutoff: float = 2.8) -> DataFrame:
+    """Of each structure with ions: the residues of either motif, over all its occurrences, that have an oxygen within the cutoff of an
+    ion, whether both motifs have one, and the least distance from the ions' centroid to that of an occurrence of the first motif."""
+    from winnow.functions.seq import DDXXD, DDXXD_OFFSETS, NSE_DTE, NSE_DTE_OFFSETS
+
+    s = sequences(atoms)
+    is_o = F.lit(False)
+    for r, a in OXYGENS:
+        is_o = is_o | ((F.col("res_name") == r) & (F.col("atom_name") == a))
+    oxygens = atoms.filter(~F.col("hetero") & is_o).select("struct_id", "res_idx", "x", "y", "z")
+    near = ions(atoms).select("struct_id", *[F.col(c).alias(f"b{c}") for c in "xyz"])
+    held = near_pairs(oxygens, near, cutoff).select("struct_id", "res_idx").distinct()
+    out = near.groupBy("struct_id").agg(*[F.avg(f"b{c}").alias(f"b{c}") for c in "xyz"])
+    for name, pattern, offsets in (("asp", DDXXD, DDXXD_OFFSETS), ("nse", NSE_DTE, NSE_DTE_OFFSETS)):
+        at = motif_positions(s, pattern)
+        member = at.select("struct_id", "start", F.explode(F.array(*[F.col("start") + o for o in offsets])).alias("res_idx"))
+        n = member.select("struct_id", "res_idx").distinct().join(held, ["struct_id", "res_idx"]).groupBy("struct_id").agg(F.count(F.lit(1)).alias(f"n_motif_coord_{name}"))
+        if name == "asp":
+            first = member.join(oxygens, ["struct_id", "res_idx"]).groupBy("struct_id", "start").agg(*[F.avg(c).alias(c) for c in "xyz"])
+            first = first.join(out, "struct_id").groupBy("struct_id").agg(F.min(dist("", "b")).alias("mg_to_motif_dist"))
+            out = out.join(first, "struct_id", "left")
+        out = out.join(n, "struct_id", "left").fillna(0, [f"n_motif_coord_{name}"])
+    both = (F.col("n_motif_coord_asp") > 0) & (F.col("n_motif_coord_nse") > 0)
+    return out.select("struct_id", both.alias("mg_canonical_motif_coordination"), "n_motif_coord_asp", "n_motif_coord_nse", "mg_to_motif_dist")
+
+
 def ligand(atoms: DataFrame, min_carbons: int = 5, res_name: str | None = None) -> DataFrame:
     """Atoms of the substrate of each structure: the hetero residue with a phosphorus and the most carbons."""
     h = atoms.filter(F.col("hetero") & ~F.upper("res_name").isin(*SKIPPED_LIGANDS))
@@ -259,84 +300,7 @@ def site_features(atoms: DataFrame, radius: float = 12.0, inner: float = 8.0) ->
     return g.join(shell, "struct_id").join(a, "struct_id")
 
 
-# ------------------------------------------------------------------ superposition
-
-
-def kabsch(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """Rotation, shift and RMSD that lay points a on points b."""
-    ca, cb = a.mean(0), b.mean(0)
-    u, _, vt = np.linalg.svd((a - ca).T @ (b - cb))
-    d = np.sign(np.linalg.det(vt.T @ u.T)) or 1.0
-    r = vt.T @ np.diag([1, 1, d]) @ u.T
-    t = cb - r @ ca
-    return r, t, float(np.sqrt((((a @ r.T + t) - b) ** 2).sum(1).mean()))
-
-
-def rmsd_pairs(pairs: DataFrame) -> DataFrame:
-    """query, target, rmsd, n after superposition of the rows (query, target, x, y, z, mx, my, mz) of each pair; three at least."""
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        v = kabsch(pdf[["x", "y", "z"]].to_numpy(float), pdf[["mx", "my", "mz"]].to_numpy(float))[2] if len(pdf) >= 3 else None
-        return pd.DataFrame({"query": [pdf["query"].iloc[0]], "target": [pdf["target"].iloc[0]], "rmsd": [v], "n": [len(pdf)]})
-
-    return pairs.groupBy("query", "target").applyInPandas(one, "query string, target string, rmsd double, n long")
-
-
-def sdr_divergence(design: tuple[str, np.ndarray], neighbour: tuple[str, np.ndarray], panel: list[int], similarity: float, tau_high: float = 0.6, tau_low: float = 0.7, tolerance: float = 4.0) -> dict:
-    """How the panel residues (0-based in the neighbour) differ in the design after
-    superposition on aligned residues; flagged where the whole is alike and the panel is not."""
-    from winnow.operators.similarity import align
-
-    _, x, y = align(design[0], neighbour[0], match=2, mismatch=-1, opening=-10, extend=-0.5)
-    pairs, i, j = [], -1, -1
-    for p, q in zip(x, y, strict=True):
-        i, j = i + (p != "-"), j + (q != "-")
-        if p != "-" != q and np.isfinite(design[1][i]).all() and np.isfinite(neighbour[1][j]).all():
-            pairs.append((i, j))
-    out = {"n_mapped": 0, "sdr_identity": None, "differences": "", "flagged": False}
-    if len(pairs) < 3 or similarity < tau_high:
-        return out
-    a, b = np.array(pairs).T
-    r, t, _ = kabsch(neighbour[1][b], design[1][a])
-    same, diff = 0, []
-    for k in panel:
-        d = np.linalg.norm(design[1] - (r @ neighbour[1][k] + t), axis=1)
-        near = int(np.nanargmin(d))
-        if d[near] <= tolerance:
-            out["n_mapped"] += 1
-            if design[0][near] == neighbour[0][k]:
-                same += 1
-            else:
-                diff.append(f"{neighbour[0][k]}{k + 1}{design[0][near]}")
-    if out["n_mapped"]:
-        out["sdr_identity"] = same / out["n_mapped"]
-        out["differences"] = ";".join(diff)
-        out["flagged"] = out["sdr_identity"] <= tau_low
-    return out
-
-
-def sdr_table(neighbours: DataFrame, structures: DataFrame, panels: DataFrame, tau_high: float = 0.6) -> DataFrame:
-    """sdr_divergence() of every design and its neighbour.
-
-    neighbours: design, neighbour, similarity; structures: id, sequence, ca
-    (array of points); panels: id, residues (0-based).  Pairs below tau_high keep
-    a row, but their structures are not joined at all.
-    """
-    s = structures.select("id", "sequence", "ca")
-    near = neighbours.filter(F.col("similarity") >= tau_high)
-    j = near.join(s.select(F.col("id").alias("design"), F.col("sequence").alias("sa"), F.col("ca").alias("xa")), "design").join(s.select(F.col("id").alias("neighbour"), F.col("sequence").alias("sb"), F.col("ca").alias("xb")), "neighbour").join(panels.select(F.col("id").alias("neighbour"), "residues"), "neighbour")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for r in pdf.itertuples():
-                a, b = (np.array([list(p) for p in x], float) for x in (r.xa, r.xb))
-                rows.append({"design": r.design, "neighbour": r.neighbour, **sdr_divergence((r.sa, a), (r.sb, b), list(r.residues), r.similarity, tau_high)})
-            if rows:
-                yield pd.DataFrame(rows)
-
-    got = j.mapInPandas(run, "design string, neighbour string, n_mapped int, sdr_identity double, differences string, flagged boolean")
-    return neighbours.select("design", "neighbour", "similarity").join(got, ["design", "neighbour"], "left").fillna(0, ["n_mapped"]).fillna(False, ["flagged"])
+# ------------------------------------------------------------------ pockets
 
 
 def choose_pocket(pockets: DataFrame, points: DataFrame, limit: float = 12.0) -> DataFrame:

@@ -58,10 +58,11 @@ def _table(letters: list[str], s: Scores) -> np.ndarray:
     return out
 
 
-def _batch(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray, table: np.ndarray, s: Scores) -> np.ndarray:
+def _batch(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray, table: np.ndarray, s: Scores, steps: np.ndarray | None = None) -> np.ndarray:
     """The packed result of each pair: columns a[: n[p], p] and b[: m[p], p] of letter numbers.
 
-    Arrays are (letter, pair), so that a stretch of an anti-diagonal is one run of memory; they are used in turn.
+    steps[d, i, p], if given, gets where the cell (i, d - i) of a pair comes from: 0 along both, 1 from above, 2 from the left, and
+    4 and 8 where a gap that ends here, from above or the left, begins here too.  Arrays are (letter, pair), so that a stretch of an anti-diagonal is one run of memory; they are used in turn.
     """
     (high, pairs), wide = a.shape, len(b)
     flat, first = table.ravel(), a * len(table)
@@ -89,10 +90,16 @@ def _batch(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray, table: np
         if hi == d:
             new_left[d] = _NONE
         np.maximum(new_up[lo : hi + 1], new_left[lo : hi + 1], out=new[lo : hi + 1])
+        if steps is not None:
+            steps[d, lo : hi + 1] = np.where(new_up[lo : hi + 1] >= new_left[lo : hi + 1], 1, 2)
+            steps[d, x : hi + 1] += 4 * (new_up[x : hi + 1] == best[x - 1 : hi] + opening).astype(np.uint8)
+            steps[d, lo : y + 1] += 8 * (new_left[lo : y + 1] == best[lo : y + 1] + opening).astype(np.uint8)
         if x <= y:
             np.add(first[x - 1 : y], back[x + wide - d : y + wide - d + 1], out=place[x : y + 1])
             np.take(flat, place[x : y + 1], out=spare[x : y + 1], mode="clip")
             np.add(before[x - 1 : y], spare[x : y + 1], out=spare[x : y + 1])
+            if steps is not None:
+                steps[d, x : y + 1] &= np.where(spare[x : y + 1] >= new[x : y + 1], 12, 15).astype(np.uint8)
             np.maximum(new[x : y + 1], spare[x : y + 1], out=new[x : y + 1])
         before, best, new = best, new, before
         up, new_up, left, new_left = new_up, up, new_left, left
@@ -131,6 +138,44 @@ def align_pairs(first: list[str], second: list[str], scores: Scores = Scores())
     return {"score": packed >> 3 * BITS, "matches": packed >> 2 * BITS & low, "positives": packed >> BITS & low, "columns": n + m - both}
 
 
+def align_places(first: list[str], second: list[str], scores: Scores = Scores(), cells: int = 1 << 26) -> list[tuple[np.ndarray, np.ndarray]]:  # noqa: B008
+    """Of each pair the places, in either sequence, of the letters that stand in one column; cells: bytes for the way back, about."""
+    count = len(first)
+    codes, letters, size = _coded([*first, *second])
+    at, table = np.cumsum(size) - size, _table(letters, scores)
+    n, m = size[:count], size[count:]
+    order, done, out = np.lexsort((m, n)), 0, [None] * count
+    while done < count:
+        biggest = (n[order[done:]] + m[order[done:]] + 1) * (n[order[done:]] + 1)
+        take = max(1, int(np.searchsorted(np.maximum.accumulate(biggest) * np.arange(1, len(biggest) + 1), cells, "right")))
+        rows = order[done : done + take]
+        done += len(rows)
+        high, wide, pad = int(n[rows].max()), int(m[rows].max()), len(letters)
+        a, b = np.full((high, len(rows)), pad), np.full((wide, len(rows)), pad)
+        for k, r in enumerate(rows):
+            a[: n[r], k] = codes[at[r] : at[r] + n[r]]
+            b[: m[r], k] = codes[at[count + r] : at[count + r] + m[r]]
+        steps = np.zeros((high + wide + 1, high + 1, len(rows)), np.uint8)
+        _batch(a, n[rows], b, m[rows], table, scores, steps)
+        # all pairs walk back together; state 1 and 2: within a gap
+        i, j, state, p = n[rows].copy(), m[rows].copy(), np.zeros(len(rows), np.uint8), np.arange(len(rows))
+        seen = []
+        while (walking := (i > 0) | (j > 0)).any():
+            step = steps[i + j, i, p]
+            state = np.where(state == 0, step & 3, state)
+            both, up = walking & (state == 0), walking & (state == 1)
+            left = walking & (state == 2)
+            seen.append((p[both], i[both] - 1, j[both] - 1))
+            i, j = i - (both | up), j - (both | left)
+            state = np.where(up & (step & 4 > 0) | left & (step & 8 > 0), 0, state).astype(np.uint8)
+        pair, x, y = (np.concatenate([v[k] for v in seen] or [np.zeros(0, np.int64)])[::-1] for k in range(3))
+        by = np.argsort(pair, kind="stable")
+        cut = np.searchsorted(pair[by], np.arange(len(rows) + 1))
+        for k, r in enumerate(rows):
+            out[r] = (x[by][cut[k] : cut[k + 1]], y[by][cut[k] : cut[k + 1]])
+    return out
+
+
 def identities(first: list[str], second: list[str], scores: Scores = Scores()) -> tuple[np.ndarray, np.ndarray]:  # noqa: B008
     """Identity and similarity of each pair: equal and positive columns by all columns; 0 where both are empty."""
     r = align_pairs(first, second, scores)

@@ -5,12 +5,13 @@ Doubles are rounded to six places on both sides, and every order is total.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.functions import geometry, seq, values
+from winnow.functions import geometry, seq, superpose, values
 from winnow.functions.order import prepare_order
 from winnow.operators import cluster, gate, hits, knn, merge, ranks, sequence_search, similarity, stats
 from winnow.operators import select as sel
@@ -763,6 +764,178 @@ def atoms(spark: SparkSession, d: str) -> DataFrame:
     return vectors(spark, d).select(F.col("label").cast("string").alias("struct_id"), res.alias("res_idx"), at(["CA", "NE", "OH", "NZ"], k % 4).alias("atom_name"), at(["ARG", "TYR", "LYS", "GLY", "PHE"], res % 5).alias("res_name"), (v(0) * 10).alias("x"), (v(1) * 10).alias("y"), (v(2) * 10).alias("z"), (70 + v(3) * 100).alias("b"), F.when(k % 3 == 0, "MG").otherwise("C").alias("element"), (k % 11 == 0).alias("hetero"))
 
 
+# Small structures: one a vector, of 21 residues with C-alpha and C-beta atoms; some lack a motif, some atoms are missing.
+FOLDS = ("GDDAADGGRLNDLASAGKEGY", "AGDEFFEGKTRDDIGTPLMEV", "GDDAADDEKLEADASYRKEGY", "KGDDAADGGNDVASAGKESYW")
+_THREE = {v: k for k, v in geometry.ONE.items()}
+_FOLDS = f"""r AS (SELECT vec_id, i, substr([{', '.join(f"'{x}'" for x in FOLDS)}][vec_id % 4 + 1], i::INT + 1, 1) AS l, embedding::DOUBLE[] AS v FROM embeddings, range(21) t(i)),
+a AS (SELECT vec_id::VARCHAR AS struct_id, vec_id, i AS res_idx, l, v[3 * i + 1] * 10 AS x, v[3 * i + 2] * 10 AS y, v[3 * i + 3] * 10 AS z,
+  CASE WHEN l <> 'G' AND (vec_id + i) % 13 > 0 THEN v[3 * i + 1] * 10 + v[62 - 3 * i] END AS bx, v[3 * i + 1] * 10 + v[62 - 3 * i] AS sx, v[3 * i + 2] * 10 + v[63 - 3 * i] AS by_, v[3 * i + 3] * 10 + v[64 - 3 * i] AS bz FROM r)"""
+
+
+def folds(spark: SparkSession, d: str) -> DataFrame:
+    """The atom table of the small structures."""
+    k, res = F.col("vec_id"), F.col("res_idx")
+    e = vectors(spark, d).select("vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(20))).alias("res_idx"))
+    e = e.withColumn("l", F.substring(F.array(*map(F.lit, FOLDS))[(k % 4).cast("int")], res + 1, F.lit(1)))
+    v = lambda i: F.col("embedding")[i].cast("double")
+    ca = F.struct(F.lit("CA").alias("atom_name"), *[(v(3 * res + c) * 10).alias(x) for c, x in enumerate("xyz")])
+    cb = F.struct(F.lit("CB").alias("atom_name"), *[(v(3 * res + c) * 10 + v(61 + c - 3 * res)).alias(x) for c, x in enumerate("xyz")])
+    names = F.create_map(*[F.lit(x) for kv in _THREE.items() for x in kv])
+    e = e.withColumn("at", F.explode(F.when((F.col("l") != "G") & ((k + res) % 13 > 0), F.array(ca, cb)).otherwise(F.array(ca))))
+    return e.select(k.cast("string").alias("struct_id"), "res_idx", names[F.col("l")].alias("res_name"), "at.*", F.lit(False).alias("hetero"), F.lit("C").alias("element"), F.lit(80.0).alias("b"))
+
+
+_CONSTELLATIONS = f"""{_FOLDS}, q AS (SELECT struct_id, string_agg(l, '' ORDER BY res_idx) AS s FROM a GROUP BY 1),
+m AS (SELECT struct_id, strpos(s, regexp_extract(s, '[DE][DE]..[DE]')) - 1 AS p, strpos(s, regexp_extract(s, '(N|D)D(L|I|V).(S|T)...E')) - 1 AS t FROM q WHERE regexp_matches(s, '[DE][DE]..[DE]') AND regexp_matches(s, '(N|D)D(L|I|V).(S|T)...E')),
+o AS (SELECT struct_id, unnest([p, p + 1, p + 4, t, t + 1, t + 4, t + 8]) AS res_idx, unnest(range(7)) AS slot FROM m),
+c AS (SELECT struct_id, slot, 'CA' AS atom, x, y, z FROM o JOIN a USING (struct_id, res_idx) UNION ALL SELECT struct_id, slot, 'CB', bx, by_, bz FROM o JOIN a USING (struct_id, res_idx) WHERE bx IS NOT NULL)"""
+
+
+@query(f"WITH {_CONSTELLATIONS} SELECT struct_id, slot * 2 + (atom = 'CB')::INT AS place, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z FROM c")
+def constellation_atoms(spark: SparkSession, d: str) -> DataFrame:
+    c = superpose.constellations(folds(spark, d)).select("struct_id", F.posexplode("points").alias("place", "p")).where("p IS NOT NULL")
+    return c.select("struct_id", F.col("place").cast("long").alias("place"), *[r6(F.col("p")[i], x) for i, x in enumerate("xyz")])
+
+
+@query(f"""WITH {_CONSTELLATIONS},
+s AS (SELECT a.struct_id, b.struct_id AS template, count(*) AS n, {', '.join(f'sum(a.{i} * b.{j}) - sum(a.{i}) * sum(b.{j}) / count(*) AS c{i}{j}' for i in 'xyz' for j in 'xyz')},
+  {' + '.join(f'sum({k}.{i} * {k}.{i}) - sum({k}.{i}) * sum({k}.{i}) / count(*)' for i in 'xyz' for k in 'ab')} AS e0 FROM c a JOIN c b ON a.slot = b.slot AND a.atom = b.atom AND b.struct_id::BIGINT % 40 = 0 GROUP BY 1, 2 HAVING count(*) >= 3),
+g AS (SELECT *, cxx * (cyy * czz - cyz * czy) - cxy * (cyx * czz - cyz * czx) + cxz * (cyx * czy - cyy * czx) AS det, {', '.join(f"{' + '.join(f'c{k}{i} * c{k}{j}' for k in 'xyz')} AS m{i}{j}" for i, j in ('xx', 'yy', 'zz', 'xy', 'xz', 'yz'))} FROM s),
+h AS (SELECT *, (mxx + myy + mzz) / 3 AS q FROM g),
+k AS (SELECT *, sqrt(((mxx - q) ** 2 + (myy - q) ** 2 + (mzz - q) ** 2 + 2 * (mxy * mxy + mxz * mxz + myz * myz)) / 6) AS p FROM h),
+l AS (SELECT *, acos(greatest(-1, least(1, ((mxx - q) * ((myy - q) * (mzz - q) - myz * myz) - mxy * (mxy * (mzz - q) - myz * mxz) + mxz * (mxy * myz - (myy - q) * mxz)) / (2 * p ** 3)))) / 3 AS f FROM k),
+v AS (SELECT *, q + 2 * p * cos(f) AS e1, q + 2 * p * cos(f + 2 * pi() / 3) AS e3 FROM l),
+w AS (SELECT struct_id, template, round(sqrt(greatest(0, e0 - 2 * (sqrt(greatest(e1, 0)) + sqrt(greatest(3 * q - e1 - e3, 0)) + sign(det) * sqrt(greatest(e3, 0)))) / n), 4) AS rmsd FROM v)
+SELECT struct_id, min(rmsd) AS rmsd, arg_min(template, (rmsd, template)) AS template FROM w GROUP BY 1""")
+def template_match(spark: SparkSession, d: str) -> DataFrame:
+    c = superpose.constellations(folds(spark, d))
+    t = superpose.best_templates(c, c.where(F.col("struct_id").cast("long") % 40 == 0))
+    return t.select("struct_id", F.round("catalytic_constellation_rmsd", 4).alias("rmsd"), "template")
+
+
+@query(f"""WITH {_FOLDS}, p AS (SELECT struct_id, res_idx, l, CASE WHEN (vec_id * 7 + res_idx * 3) % 5 = 0 THEN 'W' ELSE l END AS w, (vec_id % 10) / 20.0 + 0.4 AS sim FROM a WHERE res_idx % 3 = 0),
+g AS (SELECT struct_id, any_value(sim) AS sim, count(*) AS n, count(*) FILTER (l = w) AS same, coalesce(string_agg(l || (res_idx + 1) || w, ';' ORDER BY res_idx) FILTER (l <> w), '') AS list FROM p GROUP BY 1)
+SELECT 'd' || struct_id AS design, struct_id AS neighbour, CASE WHEN sim >= 0.6 THEN n ELSE 0 END AS n_sdr_positions, CASE WHEN sim >= 0.6 THEN round(same / n, 6) END AS sdr_identity, CASE WHEN sim >= 0.6 THEN n - same END AS n_sdr_mismatches,
+  CASE WHEN sim >= 0.6 THEN list ELSE '' END AS divergent_positions, sim >= 0.6 AND same / n <= 0.7 AS specificity_divergence FROM g""")
+def sdr_rotated(spark: SparkSession, d: str) -> DataFrame:
+    """Every structure beside a copy of itself, turned and shifted, in which some residues are others: every third residue is in the panel."""
+    ca = geometry.calphas(folds(spark, d))
+    k = F.col("struct_id").cast("long")
+    turn = k % 360 * 0.7
+    one = F.create_map(*[F.lit(x) for kv in geometry.ONE.items() for x in kv])[F.col("res_name")]
+
+    def made(name, letter, x, y, z):
+        r = F.array_sort(F.collect_list(F.struct("res_idx", letter.alias("l"), F.array(x, y, z).alias("p"))))
+        return ca.groupBy(name.alias("id")).agg(r.alias("r")).select("id", F.array_join(F.transform("r", lambda e: e["l"]), "").alias("sequence"), F.transform("r", lambda e: e["p"]).alias("ca"))
+
+    known = made(F.col("struct_id"), one, F.col("x"), F.col("y"), F.col("z"))
+    changed = F.when((k * 7 + F.col("res_idx") * 3) % 5 == 0, "W").otherwise(one)
+    copies = made(F.concat(F.lit("d"), "struct_id"), changed, F.cos(turn) * F.col("x") - F.sin(turn) * F.col("y") + 30, F.sin(turn) * F.col("x") + F.cos(turn) * F.col("y") - 7, F.col("z") * 1.0 + k % 17)
+    pairs = vectors(spark, d).select(F.concat(F.lit("d"), "vec_id").alias("design"), F.col("vec_id").cast("string").alias("neighbour"), (F.col("vec_id") % 10 / 20.0 + 0.4).alias("similarity"))
+    panel = known.select("id", F.sequence(F.lit(0), F.lit(20), F.lit(3)).alias("residues"))
+    out = superpose.divergence(pairs, known.union(copies), panel)
+    return out.select("design", "neighbour", "n_sdr_positions", r6(F.col("sdr_identity"), "sdr_identity"), "n_sdr_mismatches", "divergent_positions", "specificity_divergence")
+
+
+# The same with the tips of side chains and up to two ions beside some of them.
+TIPS = {"D": "OD1", "E": "OE1", "N": "OD1", "S": "OG", "T": "OG1", "K": "NZ", "R": "NE", "Y": "OH"}
+_MOTIFS = {"p": r"[DE][DE]..[DE]", "t": r"(N|D)D(L|I|V).(S|T)...E"}
+_STARTS = {k: str([[m.start() for m in re.finditer(v, x)] for x in FOLDS]) for k, v in _MOTIFS.items()}
+_DIST = "sqrt(({a}.x - {b}.x) ** 2 + ({a}.y - {b}.y) ** 2 + ({a}.z - {b}.z) ** 2)"
+_SITES = f"""{_FOLDS}, tip AS (SELECT struct_id, vec_id, res_idx, l, sx AS x, by_ AS y, bz AS z FROM a WHERE l IN ({', '.join(f"'{x}'" for x in TIPS)})),
+prot AS (SELECT struct_id, res_idx, l, x, y, z FROM a UNION ALL SELECT struct_id, res_idx, l, x, y, z FROM tip),
+ion AS (SELECT struct_id, j, sx + 0.3 * (j + 1) AS x, by_ AS y, bz AS z FROM a, range(2) t(j) WHERE j < vec_id % 3 AND res_idx = (vec_id * 5 + j * 9) % 21),
+hit AS (SELECT struct_id, vec_id, m, s, s + o AS res_idx FROM (SELECT DISTINCT struct_id, vec_id FROM a), (VALUES ('p', {_STARTS['p']}, [0, 1, 4]), ('t', {_STARTS['t']}, [0, 1, 4, 8])) k(m, starts, offsets), unnest(starts[vec_id % 4 + 1]) u(s), unnest(offsets) w(o)),
+lead AS (SELECT h.* FROM hit h WHERE s = {{first}}),
+oxy AS (SELECT * FROM tip WHERE l IN ('D', 'E', 'N', 'S', 'T')),
+cage AS (SELECT DISTINCT o.* FROM oxy o JOIN lead USING (struct_id, res_idx)),
+mp AS (SELECT struct_id, avg(x) AS x, avg(y) AS y, avg(z) AS z, count(*) AS n FROM cage GROUP BY 1)""".replace("{first}", "(SELECT min(s) FROM hit g WHERE g.struct_id = h.struct_id AND g.m = h.m)")
+
+
+def sites(spark: SparkSession, d: str) -> DataFrame:
+    """The atom table with side chains and ions."""
+    k, res = F.col("vec_id"), F.col("res_idx")
+    e = vectors(spark, d).select("vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(20))).alias("res_idx"))
+    e = e.withColumn("l", F.substring(F.array(*map(F.lit, FOLDS))[(k % 4).cast("int")], res + 1, F.lit(1)))
+    v = lambda i: F.col("embedding")[i].cast("double")
+    names, tips = (F.create_map(*[F.lit(x) for kv in m.items() for x in kv]) for m in (_THREE, TIPS))
+    side = [v(3 * res + c) * 10 + v(61 + c - 3 * res) for c in range(3)]
+    atom = lambda r, n, name, xyz, het, el: F.struct(r.cast("int").alias("res_idx"), n.alias("res_name"), name.alias("atom_name"), *[x.alias(c) for x, c in zip(xyz, "xyz", strict=True)], F.lit(het).alias("hetero"), F.lit(el).alias("element"))
+    ca = F.array(atom(res, names[F.col("l")], F.lit("CA"), [v(3 * res + c) * 10 for c in range(3)], False, "C"))
+    tip = F.when(tips[F.col("l")].isNotNull(), F.array(atom(res, names[F.col("l")], tips[F.col("l")], side, False, "O")))
+    ion = [F.when((F.lit(j) < k % 3) & (res == (k * 5 + j * 9) % 21), F.array(atom(F.lit(100 + j), F.lit("MG"), F.lit("MG"), [side[0] + 0.3 * (j + 1), *side[1:]], True, "MG"))) for j in (0, 1)]
+    none = F.array().cast(e.select(ca.alias("c")).schema["c"].dataType)
+    e = e.withColumn("at", F.explode(F.concat(ca, *[F.coalesce(x, none) for x in (tip, *ion)])))
+    return e.select(k.cast("string").alias("struct_id"), "at.*", F.lit(80.0).alias("b"))
+
+
+@query(f"WITH {_SITES} SELECT struct_id, round(x, 6) AS mx, round(y, 6) AS my, round(z, 6) AS mz, n AS n_coordinating_oxygens FROM mp")
+def metal_points(spark: SparkSession, d: str) -> DataFrame:
+    return geometry.metal_point(sites(spark, d)).select("struct_id", *[r6(F.col(c), c) for c in ("mx", "my", "mz")], "n_coordinating_oxygens")
+
+
+@query(f"WITH {_SITES} SELECT struct_id, res_idx, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z FROM cage")
+def coordinating_oxygens(spark: SparkSession, d: str) -> DataFrame:
+    return geometry.cage(sites(spark, d)).select("struct_id", F.col("res_idx").cast("long").alias("res_idx"), *[r6(F.col(c), c) for c in "xyz"])
+
+
+@query(f"""WITH {_SITES}, cr AS (SELECT struct_id, avg({_DIST.format(a='c', b='m')}) AS r FROM cage c JOIN mp m USING (struct_id) GROUP BY 1), v AS (SELECT struct_id, min({_DIST.format(a='p', b='m')}) AS v FROM prot p JOIN mp m USING (struct_id) GROUP BY 1)
+SELECT s.struct_id, 21 AS n_residues, round(r, 6) AS carboxylate_convergence_radius, n AS n_coordinating_oxygens, round(v, 6) AS metal_point_void FROM (SELECT DISTINCT struct_id FROM a) s LEFT JOIN mp USING (struct_id) LEFT JOIN cr USING (struct_id) LEFT JOIN v USING (struct_id)""")
+def active_sites(spark: SparkSession, d: str) -> DataFrame:
+    a = geometry.active_site(sites(spark, d))
+    return a.select("struct_id", "n_residues", r6(F.col("carboxylate_convergence_radius"), "carboxylate_convergence_radius"), "n_coordinating_oxygens", r6(F.col("metal_point_void"), "metal_point_void"))
+
+
+@query(f"""WITH {_SITES}, f AS (SELECT m, a.* FROM a JOIN lead USING (struct_id, res_idx)), g AS (SELECT struct_id, m, avg(x) AS x, avg(y) AS y, avg(z) AS z FROM f GROUP BY 1, 2)
+SELECT p.struct_id, round(any_value({_DIST.format(a='u', b='w')}), 6) AS motif_centroid_distance, round(min({_DIST.format(a='p', b='t')}), 6) AS motif_min_distance
+FROM f p JOIN f t ON p.struct_id = t.struct_id AND p.m = 'p' AND t.m = 't' JOIN g u ON u.struct_id = p.struct_id AND u.m = 'p' JOIN g w ON w.struct_id = p.struct_id AND w.m = 't' GROUP BY 1""")
+def motif_structural_distance(spark: SparkSession, d: str) -> DataFrame:
+    m = geometry.motif_distance(sites(spark, d))
+    return m.select("struct_id", *[r6(F.col(c), c) for c in ("motif_centroid_distance", "motif_min_distance")])
+
+
+@query(f"""WITH {_SITES}, t AS (SELECT i.struct_id, j, count(c.x) FILTER ({_DIST.format(a='i', b='c')} <= 1.2) AS touch FROM ion i JOIN cage c USING (struct_id) GROUP BY 1, 2), e AS (SELECT i.struct_id, t.touch, {_DIST.format(a='i', b='m')} AS d FROM ion i JOIN mp m USING (struct_id) JOIN t USING (struct_id, j)),
+g AS (SELECT struct_id, count(*) AS n, min(d) AS d, count(*) FILTER (d <= 1.5) AS s, count(*) FILTER (touch >= 2) AS c, max(touch) AS k FROM e GROUP BY 1)
+SELECT m.struct_id, coalesce(g.n, 0) AS n_ions_modelled, round(d, 6) AS min_ion_to_cage_dist, coalesce(s, 0) AS n_ions_in_site, coalesce(c, 0) AS n_ions_coordinated, coalesce(k, 0) AS max_contacts, coalesce(c, 0) > 0 AS well_placed FROM mp m LEFT JOIN g USING (struct_id)""")
+def ion_sites(spark: SparkSession, d: str) -> DataFrame:
+    i = geometry.ion_site_check(sites(spark, d), 1.5, 1.2, 2)
+    return i.select("struct_id", "n_ions_modelled", r6(F.col("min_ion_to_cage_dist"), "min_ion_to_cage_dist"), "n_ions_in_site", "n_ions_coordinated", "max_contacts", "well_placed")
+
+
+@query(f"""WITH {_SITES}, held AS (SELECT DISTINCT o.struct_id, o.res_idx FROM oxy o JOIN ion i ON o.struct_id = i.struct_id AND {_DIST.format(a='o', b='i')} <= 1.2), cen AS (SELECT struct_id, avg(x) AS x, avg(y) AS y, avg(z) AS z FROM ion GROUP BY 1),
+n AS (SELECT struct_id, count(DISTINCT res_idx) FILTER (m = 'p') AS p, count(DISTINCT res_idx) FILTER (m = 't') AS t FROM hit JOIN held USING (struct_id, res_idx) GROUP BY 1),
+oc AS (SELECT struct_id, s, avg(x) AS x, avg(y) AS y, avg(z) AS z FROM hit JOIN oxy USING (struct_id, res_idx) WHERE m = 'p' GROUP BY 1, 2), dd AS (SELECT struct_id, min({_DIST.format(a='oc', b='cen')}) AS d FROM oc JOIN cen USING (struct_id) GROUP BY 1)
+SELECT struct_id, coalesce(p, 0) > 0 AND coalesce(t, 0) > 0 AS mg_canonical_motif_coordination, coalesce(p, 0) AS n_motif_coord_asp, coalesce(t, 0) AS n_motif_coord_nse, round(d, 6) AS mg_to_motif_dist FROM cen LEFT JOIN n USING (struct_id) LEFT JOIN dd USING (struct_id)""")
+def motif_ions(spark: SparkSession, d: str) -> DataFrame:
+    m = geometry.motif_coordination(sites(spark, d), 1.2)
+    return m.select("struct_id", "mg_canonical_motif_coordination", "n_motif_coord_asp", "n_motif_coord_nse", r6(F.col("mg_to_motif_dist"), "mg_to_motif_dist"))
+
+
+@query(f"WITH {_SITES} SELECT i.struct_id, j, p.res_idx, p.l, round({_DIST.format(a='i', b='p')}, 6) AS d FROM ion i JOIN prot p ON i.struct_id = p.struct_id AND {_DIST.format(a='i', b='p')} <= 0.7")
+def atoms_near_ions(spark: SparkSession, d: str) -> DataFrame:
+    """A join of points by cells."""
+    a = sites(spark, d)
+    i = geometry.ions(a).select("struct_id", (F.col("res_idx") - 100).cast("long").alias("j"), *[F.col(c).alias(f"b{c}") for c in "xyz"])
+    p = geometry.near_pairs(a.where("NOT hetero").withColumn("l", geometry.letters()), i, 0.7)
+    return p.select("struct_id", "j", F.col("res_idx").cast("long").alias("res_idx"), "l", r6(F.col("d"), "d"))
+
+
+@query(f"""WITH {_SITES}, near AS (SELECT DISTINCT p.struct_id, p.res_idx, p.l FROM prot p JOIN mp m ON p.struct_id = m.struct_id AND {_DIST.format(a='p', b='m')} <= 1.5), s AS (SELECT a.*, {_DIST.format(a='a', b='m')} AS d FROM near JOIN a USING (struct_id, res_idx) JOIN mp m USING (struct_id))
+SELECT struct_id, count(*) AS n_shell_residues, round(avg((l IN ('D', 'E'))::INT), 6) AS frac_acidic, round(avg((l IN ('F', 'Y', 'W'))::INT), 6) AS frac_aromatic, round(avg((l = 'G')::INT), 6) AS frac_glycine, round(avg((l = 'A')::INT), 6) AS frac_aa_A,
+  round(sqrt(var_pop(x) + var_pop(y) + var_pop(z)), 6) AS shell_radius_of_gyration, round(avg(d), 6) AS mean_dist_to_metal_point, count(*) FILTER (l IN ('F', 'Y', 'W') AND d <= 1.2) AS n_aromatic_within_8A FROM s GROUP BY 1""")
+def site_shares(spark: SparkSession, d: str) -> DataFrame:
+    f = geometry.site_features(sites(spark, d), 1.5, 1.2)
+    return f.select("struct_id", "n_shell_residues", *[r6(F.col(c), c) for c in ("frac_acidic", "frac_aromatic", "frac_glycine", "frac_aa_A", "shell_radius_of_gyration", "mean_dist_to_metal_point")], "n_aromatic_within_8A")
+
+
+@query(f"""WITH {_SITES}, c AS (SELECT a.struct_id, a.res_idx, {_DIST.format(a='a', b='m')} AS ca FROM a JOIN mp m USING (struct_id)), b AS (SELECT t.struct_id, t.res_idx, t.l, t.x, t.y, t.z, {_DIST.format(a='t', b='m')} AS d, ca FROM tip t JOIN mp m USING (struct_id) JOIN c ON c.struct_id = t.struct_id AND c.res_idx = t.res_idx WHERE l IN ('K', 'R')),
+k AS (SELECT * FROM b WHERE d <= 2.5 AND d < ca), y AS (SELECT * FROM tip WHERE l = 'Y'), ry AS (SELECT DISTINCT k.struct_id FROM k JOIN y USING (struct_id) WHERE k.l = 'R' AND (abs(k.res_idx - y.res_idx) <= 2 OR {_DIST.format(a='k', b='y')} <= 1.5)), n AS (SELECT struct_id, count(*) AS n, min(d) AS d FROM k GROUP BY 1)
+SELECT m.struct_id, coalesce(n.n, 0) AS n_diphosphate_basic_residues, round(d, 6) AS min_basic_distance, ry.struct_id IS NOT NULL AS "has_RY_pair" FROM mp m LEFT JOIN n USING (struct_id) LEFT JOIN ry ON ry.struct_id = m.struct_id""")
+def basic_sensors(spark: SparkSession, d: str) -> DataFrame:
+    s = geometry.diphosphate_sensor(sites(spark, d), 2.5, 1.5, 2)
+    return s.select("struct_id", "n_diphosphate_basic_residues", r6(F.col("min_basic_distance"), "min_basic_distance"), "has_RY_pair")
+
+
 @query(f"WITH {_ATOMS} SELECT struct_id, round(avg(b), 6) AS mean_plddt, round(quantile_cont(b, 0.5), 6) AS median_plddt, round(min(b), 6) AS min_plddt, round(avg((b >= 70)::INT), 6) AS fraction_confident, count(*) AS n_residues FROM a WHERE atom_name = 'CA' AND NOT hetero GROUP BY 1")
 def plddt(spark: SparkSession, d: str) -> DataFrame:
     p = geometry.plddt_summary(atoms(spark, d))
