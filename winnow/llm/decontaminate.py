@@ -21,8 +21,10 @@ costs no more than any other text.
 Tokens are runs of ASCII letters and digits and of bytes beyond ASCII, A-Z
 lower-cased; all else separates.  Defined results: null or empty texts on
 either side match nothing; an item shorter than MIN_OVERLAP tokens is matched
-as a whole; repeated documents are each reported; an empty table
-gives no rows.  Only doc_id and text, item_id and text are read.
+as a whole; repeated documents are each reported; an item without item_id is
+matched like any other and reported with a null; ties go to the first start; an
+empty table gives no rows.  Only doc_id and text, item_id and text are read, by
+name, exact case first.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from winnow.llm import common
 from winnow.llm import textscan as ts
 
 #: Fixed masks of four tokens each, and those that only items shorter than MIN_OVERLAP need.
@@ -192,7 +195,7 @@ def _scan(block: Block):
                 for r, i, s, n, k in block.overlaps(h, wb):
                     rows.append(c.first + int(r))
                     for col, v in zip(cols, (block.ids[i], s, n, k), strict=True):
-                        col.append(int(v))
+                        col.append(None if v is None else int(v))
             if rows:
                 yield pa.RecordBatch.from_pydict({"doc_id": ids.take(pa.array(rows)), **{k: pa.array(v, pa.int64()) for k, v in zip(("item_id", "first_word", "n_words", "n_equal"), cols, strict=True)}})
 
@@ -204,7 +207,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[Block]:
     ids: list = []
     texts: list[str] = []
     size = 0
-    b = benchmark.select(F.col("item_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    b = common.pick(benchmark, "item_id", "text").select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     for r in b.toLocalIterator(prefetchPartitions=False):
         ids.append(r.item_id)
         texts.append(r.text)
@@ -221,7 +224,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     each document and item that share one.  One row per pair; a document
     row that is repeated is reported once per row."""
     spark: SparkSession = docs.sparkSession
-    d = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    d = common.pick(docs, "doc_id", "text").withColumn("text", F.col("text").cast("string"))
     schema = f"doc_id {d.schema['doc_id'].dataType.simpleString()}, item_id long, first_word long, n_words long, n_equal long"
     out = None
     for block in _blocks(benchmark):

@@ -16,7 +16,7 @@ reads the counts.
 
 Built-in expressions only.  Defined results: a null text has size 0 and may
 be drawn like any other; a null source is one of its own, after the others; a
-null doc_id takes its slot from the text.  Rows are drawn one by one, whether or
+null doc_id takes its slot from the text, one that is no whole number from a hash of it.  Rows are drawn one by one, whether or
 not they repeat: three rows of one doc_id are three documents, of which equal
 ones are alike to the draw.  A very long text is one row like any other; a
 table without words takes nothing, an empty one gives no rows.  Only doc_id,
@@ -25,8 +25,9 @@ text and source decide; other columns, whatever their names, are left alone.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from winnow.llm import common
 
@@ -69,9 +70,14 @@ def sized(docs: DataFrame) -> DataFrame:
     return d.select("*", doc_id.alias("id"), source.cast("string").alias("source"), text.cast("string").alias("text")).withColumn("size", common.n_words("text")).withColumn("tie", F.xxhash64("text")).drop("text")
 
 
+def _number(rows: DataFrame) -> Column:
+    """The id as a number: itself, or a hash where it is of another type."""
+    return F.col("id") if isinstance(rows.schema["id"].dataType, T.IntegralType) else F.when(F.col("id").isNotNull(), F.xxhash64("id"))
+
+
 def copies(stored: DataFrame, weights: tuple[float, ...] = WEIGHTS, offset: float = OFFSET) -> DataFrame:
     """Of rows with id, source, size and tie, which should be read from files: all their columns, source_size, target and copies."""
-    d = stored.withColumn("bin", F.floor(F.log2(F.col("size") + 1.0) * 8).cast("int")).withColumn("slot", F.pmod(F.coalesce(F.col("id"), F.col("tie")), F.lit(SLOTS)))
+    d = stored.withColumn("bin", F.floor(F.log2(F.col("size") + 1.0) * 8).cast("int")).withColumn("slot", F.pmod(F.coalesce(_number(stored), F.col("tie")), F.lit(SLOTS)))
     strata = common.kept(d.groupBy("source", "bin", "slot").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words")), "strata")
     t = targets(strata.groupBy("source").agg(F.sum("words").alias("source_size")), weights)
     earlier = Window.partitionBy("source").orderBy("bin", "slot").rowsBetween(Window.unboundedPreceding, -1)

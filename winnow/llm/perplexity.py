@@ -211,14 +211,14 @@ def scores(docs: DataFrame, table: DataFrame, shard_grams: int = SHARD_GRAMS) ->
 
 def with_trust(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs with trusted: whether a label calls the document good and none calls it bad."""
-    good = common.kept(labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("q")).where("q >= 1").select(F.col("doc_id").alias("_id"), F.lit(True).alias("_good")), "trusted")
+    good = common.kept(common.pick(labels, "doc_id", "quality").where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("q")).where("q >= 1").select(F.col("doc_id").alias("_id"), F.lit(True).alias("_good")), "trusted")
     few = good.count() <= MAX_BROADCAST_LABELS  # 16 bytes each
     return docs.join(F.broadcast(good) if few else good, docs.doc_id == F.col("_id"), "left").withColumn("trusted", F.coalesce("_good", F.lit(False))).drop("_id", "_good")
 
 
 def classify(docs: DataFrame, labels: DataFrame, spread: float = SPREAD, shard_grams: int = SHARD_GRAMS) -> DataFrame:
     """doc_id, lang, n_chars, perplexity, threshold (of the language) and kept."""
-    d = docs.select("doc_id", "text", "lang")
+    d = common.pick(docs, "doc_id", "text", "lang")
     s = common.kept(scores(d, model(with_trust(d, labels)), shard_grams), "scores")
     q = s.where("perplexity IS NOT NULL").groupBy("lang").agg(F.percentile_approx(F.log("perplexity"), F.array(F.lit(0.5), F.lit(0.75)), F.lit(10_000)).alias("q"))
     limit = q.select(F.col("lang").alias("_lang"), F.exp(F.col("q")[0] + spread * F.greatest(F.col("q")[1] - F.col("q")[0], F.lit(0.005))).alias("threshold"))

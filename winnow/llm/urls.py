@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from winnow.llm import common
+
 BUCKETS = 1 << 14
 GRAMS = (3, 4, 5)
 SEED = 5
@@ -132,6 +134,7 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]] = RULE
 def judge(pages: DataFrame) -> DataFrame:
     """page_id, host, path, rule, verdict and score of every URL."""
     url = F.col("url").cast("string")
+    pages = common.pick(pages, "page_id", "url")
     d = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
     d = d.withColumn("_r", rule_of(F.col("host"), F.col("path")))
     sent = pages.sparkSession.sparkContext.broadcast(weights())  # BUCKETS numbers
