@@ -28,7 +28,8 @@ def test_merge(spark):
     seen = {r.ID: r.m for r in merge.first_wins([a, b], keep_blank=True).collect()}
     assert seen == {"i1": "1", "i2": None, "i3": "7"}
     wide = spark.createDataFrame([("i1", *["1"] * 300)], ["ID", *[f"c{i}" for i in range(300)]])
-    assert merge.first_wins([a, wide]).columns == ["ID", "m", "k"]
+    assert merge.first_wins([a, wide], max_columns=256).columns == ["ID", "m", "k"]
+    assert len(merge.first_wins([a, wide]).columns) == 303
 
 
 def test_statistics(spark):

@@ -359,6 +359,60 @@ def pca_2d(df: DataFrame, id_col: str, vec_col: str, standardise: bool = True) -
     return df.select(id_col, dot(axes[0], shift[0]).alias("pc1"), dot(axes[1], shift[1]).alias("pc2")), share
 
 
+def pcoa(pairs: DataFrame, block: int = 8, steps: int = 12, tolerance: float = 1e-10) -> tuple[DataFrame, list[float]]:
+    """id, pc1 and pc2 by classical scaling of a table of distances (a, b, d), both ways round, and the eigenvalues of the two axes.
+
+    The doubly centred matrix is never built: its product with a few vectors follows from the rows' squared distances and their means.
+    Rows are stored once as arrays; a block of vectors (points x block numbers, all that the driver holds) is multiplied again and again,
+    and the best axes are taken from the space of all products, until their residual is below the tolerance.  A missing distance is 0;
+    the larger share of each axis is positive.
+    """
+    from winnow.store import stored
+
+    spark = pairs.sparkSession
+    ids = [r.a for r in pairs.select("a").distinct().orderBy("a").collect()]  # the points
+    n = len(ids)
+    kind = pairs.schema["a"].dataType.simpleString()
+    index = spark.createDataFrame([(i, k) for k, i in enumerate(ids)], f"id {kind}, k int")
+    near = pairs.join(F.broadcast(index.select(F.col("id").alias("a"), F.col("k").alias("i"))), "a").join(F.broadcast(index.select(F.col("id").alias("b"), F.col("k").alias("j"))), "b")
+    rows = stored(near.groupBy("i").agg(F.collect_list("j").alias("j"), F.collect_list((F.col("d") * F.col("d")).cast("double")).alias("d2"), F.sum(F.col("d") * F.col("d")).alias("total")))
+    mean = np.zeros(n)
+    for r in rows.select("i", "total").collect():
+        mean[r.i] = r.total / n
+
+    def product(v: np.ndarray) -> np.ndarray:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                yield pd.DataFrame({"i": b["i"], "v": [np.asarray(d) @ v[np.asarray(j)] for j, d in zip(b["j"], b["d2"], strict=True)]})
+
+        out = np.zeros_like(v)
+        for r in rows.select("i", "j", "d2").mapInPandas(run, "i int, v array<double>").collect():
+            out[r.i] = r.v
+        s = v.sum(0)
+        return -0.5 * (out - mean[:, None] * s - mean @ v + mean.mean() * s)
+
+    block = min(block, n)
+    new = np.linalg.qr(np.random.default_rng(0).normal(size=(n, block)))[0]
+    basis, image = np.zeros((n, 0)), np.zeros((n, 0))
+    values, axes = np.zeros(2), np.zeros((n, 2))
+    for _ in range(steps):
+        w = product(new)
+        basis, image = np.hstack([basis, new]), np.hstack([image, w])
+        t = basis.T @ image
+        vals, vecs = np.linalg.eigh((t + t.T) / 2)
+        top = vecs[:, ::-1][:, :2]
+        values[: top.shape[1]], axes[:, : top.shape[1]] = vals[::-1][: top.shape[1]], basis @ top
+        off = np.abs(image @ top - axes[:, : top.shape[1]] * vals[::-1][: top.shape[1]]).max()
+        for _ in range(2):  # twice, so that the basis stays orthogonal
+            w = w - basis @ (basis.T @ w)
+        q, r = np.linalg.qr(w)
+        new = q[:, np.abs(np.diag(r)) > 1e-12 * max(1.0, np.abs(values).max())]
+        if off <= tolerance * max(1.0, np.abs(values).max()) or not new.shape[1] or basis.shape[1] + new.shape[1] > n:
+            break
+    points = axes * np.sqrt(np.clip(values, 0, None)) * np.where(axes.sum(0) < 0, -1, 1)
+    return spark.createDataFrame([(i, float(p[0]), float(p[1])) for i, p in zip(ids, points, strict=True)], f"id {kind}, pc1 double, pc2 double"), values.tolist()
+
+
 def pcoa_2d(distances: np.ndarray) -> tuple[np.ndarray, list[float]]:
     """Classical scaling of a square distance matrix (a few thousand rows, on the driver)."""
     n = len(distances)

@@ -54,6 +54,27 @@ def coordinating_relaxed(c: Column) -> Column:
     return F.when(a.isNotNull(), F.concat(coordinating(a, DDXXD_OFFSETS), F.coalesce(coordinating(b, NSE_DTE_OFFSETS), F.array().cast("array<int>"))))
 
 
+# Substances by code, of which some are folded together with a protein.
+SMILES = {
+    "DMAPP": "CC(C)=CCOP([O-])(=O)OP([O-])([O-])=O",
+    "GPP": "CC(C)=CCCC(C)=CCOP([O-])(=O)OP([O-])([O-])=O",
+    "FPP": "CC(C)=CCCC(C)=CCCC(C)=CCOP([O-])(=O)OP([O-])([O-])=O",
+    "GGPP": "CC(C)=CCCC(C)=CCCC(C)=CCCC(C)=CCOP([O-])(=O)OP([O-])([O-])=O",
+    "GFPP": "CC(C)=CCCC(C)=CCCC(C)=CCCC(C)=CCCC(C)=CCOP([O-])(=O)OP([O-])([O-])=O",
+    "C35": "CC(C)=CCCC(C)=CCCC(C)=CCCC(C)=CCCC(C)=CCCC(C)=CCCC(C)=CCOP([O-])(=O)OP([O-])([O-])=O",
+}
+COFOLDABLE = ("GPP", "FPP", "GGPP", "GFPP")
+
+
+def smiles(code: Column) -> Column:
+    """The SMILES of a substance code in any case, NULL for one that has none."""
+    return F.create_map(*[F.lit(x) for kv in SMILES.items() for x in kv])[F.upper(code)]
+
+
+def cofoldable(code: Column) -> Column:
+    return F.coalesce(F.upper(code).isin(*COFOLDABLE), F.lit(False))
+
+
 def accession(c: Column) -> Column:
     """sp|ACC|NAME and AF-ACC-F1... give ACC; anything else stays."""
     bar, af = F.regexp_extract(c, r"^[a-z]{2}\|([^|]+)\|", 1), F.regexp_extract(c, r"^AF-([A-Za-z0-9]+)-F\d+", 1)

@@ -10,24 +10,22 @@ from pyspark.sql import functions as F
 
 from winnow.functions.values import with_id, without_missing
 
-MAX_COLUMNS = 256
-
 log = logging.getLogger(__name__)
 
 
-def first_wins(frames: list[DataFrame], keep_blank: bool = False, max_columns: int = MAX_COLUMNS) -> DataFrame:
+def first_wins(frames: list[DataFrame], keep_blank: bool = False, max_columns: int | None = None) -> DataFrame:
     """The union of IDs and columns; each cell from the first frame that has a value.
 
     One shuffle whatever the number of frames: all are stacked with their
     position and grouped by ID.  Within a frame the first row of an ID counts (rows
-    are ordered by their values, as a relation has no order).  Frames wider than
-    max_columns are skipped, with a warning; raise it to take them.  keep_blank: the first frame that has the ID and
+    are ordered by their values, as a relation has no order).  All columns are taken; only where
+    max_columns is given are wider frames left out, with a warning.  keep_blank: the first frame that has the ID and
     the column wins even if its cell is missing.
     """
     parts = []
     for pos, df in enumerate(frames):
         d = without_missing(with_id(df))
-        if len(d.columns) - 1 > max_columns:
+        if max_columns is not None and len(d.columns) - 1 > max_columns:
             log.warning("frame %d has %d columns, more than %d: not merged", pos, len(d.columns) - 1, max_columns)
             continue
         d = d.filter(F.col("ID").isNotNull())

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from winnow.functions.values import number_of
+from winnow.functions.values import number, number_of
 from winnow.operators import quantiles
+from winnow.store import stored
 
 PERCENTS = {"p1": 0.01, "p5": 0.05, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99}
 
@@ -113,6 +114,59 @@ def stats_json(stats: DataFrame, metadata: dict | None = None) -> str:
     return json.dumps({**(metadata or {}), "metrics": out}, sort_keys=True, allow_nan=False)
 
 
+# ------------------------------------------------------------------ whole files
+
+
+def table_statistics(df: DataFrame, labelings: dict[str, DataFrame] | None = None, drop: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """The summary and the frequencies of all columns of a text table (with ID), overall and per class of each labeling (id, label).
+
+    One pass counts the rows of each (column, labeling, class, value); all else comes from these counts: what is a number, weighted moments
+    and percentiles, and the frequencies.  A column is numeric if all its present values are numbers, decided on the whole of it; an empty
+    one is categorical.  Rows without a class are in none of that labeling.  The summary: stat_column, labeling, label, kind, n, n_missing,
+    n_unique (categorical) and mean, std, min, max and percentiles (numeric); the frequencies: stat_column, labeling, label, value, freq.
+    """
+    columns = [c for c in df.columns if c != "ID" and c not in drop]
+    base, groups = df, [F.struct(F.lit(None).cast("string").alias("labeling"), F.lit(None).cast("string").alias("label"))]
+    for k, (name, labels) in enumerate((labelings or {}).items()):
+        one = labels.groupBy(F.col("id").cast("string").alias(f"_id{k}")).agg(F.max(F.col("label").cast("string")).alias(f"_l{k}"))
+        base = base.join(one, F.col("ID").cast("string") == F.col(f"_id{k}"), "left")
+        groups.append(F.when(F.col(f"_l{k}").isNotNull(), F.struct(F.lit(name).alias("labeling"), F.col(f"_l{k}").alias("label"))))
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("stat_column"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns]))
+    keys = ["stat_column", "labeling", "label"]
+    x = base.select(cells.alias("e"), F.filter(F.array(*groups), lambda g: g.isNotNull()).alias("g")).select("e.*", F.explode("g").alias("g")).select("stat_column", "g.*", "value")
+    counts = stored(x.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("freq")).withColumn("x", number(F.col("value"))))
+    w = F.col("freq").cast("double")
+    some = F.col("value").isNotNull()
+    shift = counts.groupBy(*keys).agg(F.min("x").alias("_x0"))  # so that the sum of squares stays small
+    same = lambda a, b: (F.col(f"{a}stat_column") == F.col(f"{b}stat_column")) & F.col(f"{a}labeling").eqNullSafe(F.col(f"{b}labeling")) & F.col(f"{a}label").eqNullSafe(F.col(f"{b}label"))
+    shift = shift.toDF("_stat_column", "_labeling", "_label", "_x0")
+    c = counts.join(shift, same("", "_")).drop("_stat_column", "_labeling", "_label").withColumn("_d", F.col("x") - F.col("_x0"))
+    p = F.expr(f"percentile(x, array({', '.join(map(str, PERCENTS.values()))}), freq)")
+    s = c.groupBy(*keys).agg(
+        F.coalesce(F.sum(F.when(some, F.col("freq"))), F.lit(0)).alias("n"), F.coalesce(F.sum(F.when(~some, F.col("freq"))), F.lit(0)).alias("n_missing"), F.count("value").alias("n_unique"), F.sum(F.when(F.col("x").isNotNull(), F.col("freq"))).alias("_k"),
+        F.first("_x0").alias("_x0"), F.sum(F.col("_d") * w).alias("_s1"), F.sum(F.col("_d") * F.col("_d") * w).alias("_s2"), F.min("x").alias("min"), F.max("x").alias("max"), p.alias("_p"))
+    kinds = s.where("labeling IS NULL").select(F.col("stat_column").alias("_c"), F.when((F.col("n") > 0) & (F.col("_k") == F.col("n")), "numeric").otherwise("categorical").alias("kind"))
+    s = s.join(F.broadcast(kinds), F.col("stat_column") == F.col("_c"))  # a row a column
+    numeric, n = F.col("kind") == "numeric", F.col("n")
+    std = F.when(n > 1, F.sqrt(F.greatest(F.col("_s2") - F.col("_s1") * F.col("_s1") / n, F.lit(0.0)) / (n - 1))).when(n == 1, 0.0)
+    only = lambda v: F.when(numeric, v)
+    summary = s.select(*keys, "kind", "n", "n_missing", F.when(~numeric, F.col("n_unique")).alias("n_unique"), only(F.col("_x0") + F.col("_s1") / n).alias("mean"), only(std).alias("std"), only(F.col("min")).alias("min"), only(F.col("max")).alias("max"), *[only(F.col("_p")[i]).alias(k) for i, k in enumerate(PERCENTS)])
+    text = F.broadcast(kinds.where("kind = 'categorical'"))
+    frequencies = counts.where(some).join(text, F.col("stat_column") == F.col("_c"), "left_semi").select(*keys, "value", "freq")
+    return summary, frequencies
+
+
+def self_consistency(samples: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    """ID, sc_rmsd_min, sc_rmsd_mean and n_samples from the RMSD of each refolded sample (ID, rmsd); failed ones, NULL or not finite,
+    don't count. ids: every one of these keeps a row."""
+    x = F.when(~F.isnan("rmsd") & (F.abs("rmsd") < float("inf")), F.col("rmsd"))
+    s = samples.groupBy("ID").agg(F.min(x).alias("sc_rmsd_min"), F.avg(x).alias("sc_rmsd_mean"), F.count(x).alias("n_samples"))
+    return ids.select("ID").join(s, "ID", "left").fillna(0, ["n_samples"]) if ids is not None else s
+
+
+# ------------------------------------------------------------------ labels
+
+
 def mode_label(df: DataFrame, key: str, label: str, rank: dict[str, int] | None = None) -> DataFrame:
     """The most frequent label of each key; ties go to the lower rank, then the lesser label."""
     counts = df.filter(F.col(label).isNotNull()).groupBy(key, label).agg(F.count(F.lit(1)).alias("c"))

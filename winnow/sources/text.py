@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from winnow.functions import values as v
+from winnow.sources.lines import numbered
 
 # Columns of the tools' headerless tables, and column aliases.
 DIAMOND = "query string, target string, identity double, similarity double, coverage double, bits double"
@@ -21,11 +22,11 @@ BOOKKEEPING = {"ID", "runtime_id", "fa_id", "id", "reference_id", "ddxxd_motif",
 def read_fasta(spark: SparkSession, path: str, keep_gaps: bool = False, token: bool = False) -> DataFrame:
     """id, sequence, file_pos: records are split at '>' by the text source, so a file is
     read in parallel; token: the id ends at the first blank."""
-    r = spark.read.option("lineSep", ">").text(path).filter(F.trim("value") != "")
+    r = numbered(spark.read.option("lineSep", ">").text(path), "file_pos").filter(F.trim("value") != "")
     head = F.regexp_extract("value", r"^([^\r\n]*)", 1)
     body = F.regexp_replace(F.regexp_replace("value", r"^[^\r\n]*[\r\n]*", ""), r"\s", "")
     name = v.first_token(head) if token else F.trim(head)
-    return r.select(name.alias("id"), (body if keep_gaps else F.translate(body, "-", "")).alias("sequence"), F.monotonically_increasing_id().alias("file_pos"))
+    return r.select(name.alias("id"), (body if keep_gaps else F.translate(body, "-", "")).alias("sequence"), "file_pos")
 
 
 def fasta_map(df: DataFrame) -> DataFrame:
@@ -117,10 +118,10 @@ def predictor_schema(df: DataFrame, target: str | None = None, rename: str = "is
 
 
 def read_labels(spark: SparkSession, path: str, keep_last: bool = False) -> DataFrame:
-    """id, label from reference_id and label, or the first two columns; missing labels go."""
-    df = spark.read.option("header", True).csv(path)
+    """id, label from reference_id and label, or the first two columns; missing labels go, the last row of an id counts."""
+    df = numbered(spark.read.option("header", True).csv(path), "_p")
     a, b = ("reference_id", "label") if {"reference_id", "label"} <= set(df.columns) else df.columns[:2]
-    d = v.without_missing(df.select(F.col(f"`{a}`").alias("id"), F.col(f"`{b}`").alias("label"))).withColumn("_p", F.monotonically_increasing_id())
+    d = v.without_missing(df.select(F.col(f"`{a}`").alias("id"), F.col(f"`{b}`").alias("label"), "_p"))
     d = d.filter(F.col("id").isNotNull() & F.col("label").isNotNull())
     return d.groupBy("id").agg(F.max_by("label", "_p").alias("label"))
 
@@ -200,17 +201,42 @@ def read_panel(spark: SparkSession, path: str) -> DataFrame:
 def read_designs(spark: SparkSession, path: str) -> DataFrame:
     """ID, sequence from FASTA, CSV or TSV; a row without id takes its number."""
     if path.endswith((".csv", ".tsv")):
-        df = spark.read.option("header", True).option("sep", "\t" if path.endswith(".tsv") else ",").csv(path)
+        df = numbered(spark.read.option("header", True).option("sep", "\t" if path.endswith(".tsv") else ",").csv(path), "_row")
         low = {c.strip().lower(): c for c in df.columns}
         seq = next((low[c] for c in ORDER_SEQUENCES if c in low), None)
         if seq is None:
             raise ValueError(f"no sequence column among {df.columns}")
         key = next((low[c] for c in ORDER_IDS if c in low), None)
-        i = F.col(f"`{key}`") if key else F.monotonically_increasing_id().cast("string")
+        i = F.col(f"`{key}`") if key else F.col("_row").cast("string")
         return df.select(i.alias("ID"), F.col(f"`{seq}`").alias("sequence"))
     return read_fasta(spark, path).select(F.col("id").alias("ID"), "sequence")
 
 
+#: The columns of the two tables that searches leave.
+TOP_K = "query_id string, rank long, neighbour_id string, score double"
+NEAREST = "ID string, min_embedding_distance double, hit string"
+
+
+def write_top_k(edges: DataFrame, path: str) -> None:
+    """query_id, rank, neighbour_id and score as CSV with a header, in the order of query and rank."""
+    e = edges.select(F.col("query_id").cast("string"), F.col("rank").cast("long"), F.col("neighbour_id").cast("string"), F.col("score").cast("double"))
+    e.orderBy("query_id", "rank").write.mode("overwrite").option("header", True).csv(path)
+
+
+def read_top_k(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("header", True).schema(TOP_K).csv(path)
+
+
+def write_nearest(nearest: DataFrame, path: str) -> None:
+    """ID, min_embedding_distance and hit as CSV with a header, by ID; a query without neighbour keeps its row."""
+    n = nearest.select(F.col("ID").cast("string"), F.col("min_embedding_distance").cast("double"), F.col("hit").cast("string"))
+    n.orderBy("ID").write.mode("overwrite").option("header", True).csv(path)
+
+
+def read_nearest(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("header", True).schema(NEAREST).csv(path)
+
+
 def write_order(order: DataFrame, prefix: str) -> None:
     """All rows as CSV, the good ones as 'ID<tab>construct' text."""
     order.write.mode("overwrite").option("header", True).csv(f"{prefix}_order.csv")
