@@ -124,3 +124,13 @@ def test_odd_tables(spark):
     assert out[0].n_words == 60 and out[0].base_failed
     clash = spark.createDataFrame([(1, "w " * 60, "en", "s", 5, 1)], "doc_id long, text string, lang string, source string, TEXT int, Lang int")
     assert quality.quality_rules(clash).first().n_words == 60
+
+
+def test_models_sent_or_joined_give_the_same(spark, rng, monkeypatch):
+    rows = [(i, prose(rng, rng.randint(30, 200)) + rng.choice(["", " ### $$$", " A B C D"]), rng.choice(["en", "de", None]), rng.choice(["a", "b", "c", None]), 0) for i in range(400)]
+    d = spark.createDataFrame(rows, DOCUMENTS)
+    got = []
+    for most in (10_000, 0):
+        monkeypatch.setattr(quality, "MAX_BROADCAST_GROUPS", most)
+        got.append(sorted((r.doc_id, None if r.distance is None else round(r.distance, 6), r.kept) for r in quality.quality_rules(d).collect()))
+    assert got[0] == got[1]

@@ -32,8 +32,9 @@ whatever their names.
 
 from __future__ import annotations
 
+import logging
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -43,6 +44,8 @@ from pyspark.sql import functions as F
 
 from winnow.llm import common, textscan as ts
 
+log = logging.getLogger(__name__)
+
 MIN_WORDS = 50
 #: Share of a group that the estimate rests on; under half of it may be anything.
 SUPPORT = 0.6
@@ -67,6 +70,8 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 FEATURES = {"word_length": 0.04, "symbols": 0.35, "upper": 0.25, "marks": 0.35, "letters": 0.03, "dup_lines": 0.08, "repeats": 0.05}
 P = len(FEATURES)
 _PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
+#: Bytes of text scanned at a time: the arrays made of them stay in a core's cache.
+SCAN_BYTES = 1 << 18
 #: Logarithmic bins of a squared distance: so many a doubling, the first of all at 2**LEAST.
 PER_DOUBLING, LEAST, BINS = 16, -20, 16 * 60
 
@@ -113,7 +118,7 @@ def count_chunk(c: ts.Chunk) -> dict[str, np.ndarray]:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        got = [count_chunk(c) for c in ts.chunks(b)]
+        got = [count_chunk(c) for c in ts.chunks(b, limit=SCAN_BYTES)]
         if not got:
             continue
         cols = {"doc_id": b.column("doc_id"), "lang": b.column("lang"), "source": b.column("source")}
@@ -207,8 +212,37 @@ def _estimates(b: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
     return on, col.drop_null().flatten().to_numpy().reshape(len(on), -1 if len(on) else 0)
 
 
-def _binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Moments by group, start and bin of what a task reads, for each scope whose estimate a row carries."""
+def _carried(b: pa.RecordBatch, scope: int, field: str) -> tuple[np.ndarray, np.ndarray]:
+    """The rows that a join gave this field of the model, and its values."""
+    return _estimates(b, f"{field}{scope}")
+
+
+def _sent(model: DataFrame) -> Callable:
+    """The same from the model itself, sent to all tasks: at most MAX_BROADCAST_GROUPS groups of a few hundred numbers."""
+    groups: dict[int, dict] = {0: {}, 1: {}, 2: {}}
+    fields = {k: {"est": [], "scale": []} for k in groups}
+    for r in model.select("scope", "lang", "source", "est", "scale").collect():
+        if r.est is not None:
+            groups[r.scope][r.lang if r.scope < 2 else None, r.source if r.scope < 1 else None] = len(fields[r.scope]["est"])
+            fields[r.scope]["est"].append(r.est)
+            fields[r.scope]["scale"].append(r.scale)
+    told = model.sparkSession.sparkContext.broadcast((groups, {k: {f: np.array(v, float) for f, v in x.items()} for k, x in fields.items()}))
+
+    def found(b: pa.RecordBatch, scope: int, field: str) -> tuple[np.ndarray, np.ndarray]:
+        groups, fields = told.value
+        names = [b.column(k).dictionary_encode() for k in ("lang", "source")]
+        words = [[*n.dictionary.to_pylist(), None] for n in names]
+        codes = [n.indices.fill_null(len(n.dictionary)).to_numpy().astype(np.int64) for n in names]
+        keys, where = np.unique(codes[0] * len(words[1]) + codes[1], return_inverse=True)
+        at = np.array([groups[scope].get((words[0][k // len(words[1])] if scope < 2 else None, words[1][k % len(words[1])] if scope < 1 else None), -1) for k in keys.tolist()], np.int64)[where]
+        on = np.flatnonzero(at >= 0)
+        return on, fields[scope][field][at[on]]
+
+    return found
+
+
+def _binned(batches: Iterator[pa.RecordBatch], estimates: Callable) -> Iterator[pa.RecordBatch]:
+    """Moments by group, start and bin of what a task reads, for each scope that the model has an estimate of."""
     held: dict[tuple, np.ndarray] = {}
 
     def rows() -> pa.RecordBatch:
@@ -225,7 +259,7 @@ def _binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = [n.indices.fill_null(len(n.dictionary)).to_numpy().astype(np.int64) for n in names]
         words = [[*n.dictionary.to_pylist(), None] for n in names]
         for scope in range(3):
-            on, est = _estimates(b, f"est{scope}")
+            on, est = estimates(b, scope, "est")
             if not len(on):
                 continue
             lang = codes[0][on] if scope < 2 else np.full(len(on), len(words[0]) - 1)
@@ -319,7 +353,7 @@ def _columns() -> list[str]:
     return [*FEATURES, *[f"m{i}" for i in range(P)], *[f"v{k}" for k in range(len(_PAIRS))]]
 
 
-def _joined(stats: DataFrame, model: DataFrame, n_groups: int) -> DataFrame:
+def _joined(stats: DataFrame, model: DataFrame) -> DataFrame:
     """Each row with the estimates of its group, its language and the table, where the model has such."""
     out = stats
     for scope, keys in ((0, ["lang", "source"]), (1, ["lang"]), (2, [])):
@@ -328,11 +362,19 @@ def _joined(stats: DataFrame, model: DataFrame, n_groups: int) -> DataFrame:
             out = out.join(F.broadcast(m), F.lit(True), "left")
             continue
         on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-        # few groups: their estimates go everywhere; else a join whose large partitions adaptive execution splits
-        out = out.join(F.broadcast(m) if n_groups <= MAX_BROADCAST_GROUPS else m, on, "left").drop(*[f"_{k}" for k in keys])
+        out = out.join(m, on, "left").drop(*[f"_{k}" for k in keys])
     return out
 
 
+def _with_model(rows: DataFrame, model: DataFrame, n_groups: int, run: Callable, schema: str) -> DataFrame:
+    """run(batches, estimates) over the rows: the model of few groups is sent to the tasks, so that rows carry nothing
+    of it; that of more is joined to them, and adaptive execution splits the large partitions."""
+    if n_groups <= MAX_BROADCAST_GROUPS:
+        estimates = _sent(model)
+        return rows.mapInArrow(lambda it: run(it, estimates), schema)
+    return _joined(rows, model).mapInArrow(lambda it: run(it, _carried), schema)
+
+
 def fit(stats: DataFrame) -> tuple[DataFrame, int]:
     """The MCD estimate of every group: the start of least determinant, once all are settled."""
     sums = [F.sum(x).alias(x) for x in _SUMS]
@@ -343,24 +385,27 @@ def fit(stats: DataFrame) -> tuple[DataFrame, int]:
         todo = model.where("NOT settled")
         if not n_groups or not todo.limit(1).count():
             break
-        binned = _joined(stats, todo, n_groups).mapInArrow(_binned, _BINNED).groupBy(*keys, "start", "bin").agg(*sums)
+        binned = _with_model(stats, todo, n_groups, _binned, _BINNED).groupBy(*keys, "start", "bin").agg(*sums)
         was = todo.select(*[F.col(k).alias(f"_{k}") for k in keys], "det")
         rows = binned.join(was, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]).drop(*[f"_{k}" for k in keys])
         model = common.kept(rows.groupBy(*keys).applyInPandas(_next, _MODEL).unionByName(model.where("settled")), "mcd")
+    open_ = model.where("NOT settled").count() if n_groups else 0
+    if open_:
+        log.warning("%d of %d groups hadn't settled after %d steps; their last estimates are used", open_, n_groups, MOST_STEPS)
     best = F.expr("array_position(det, array_min(det)) - 1").cast("int")
     model = model.withColumn("best", best).withColumn("est", F.slice("est", F.col("best") * _WIDTH + 1, F.lit(_WIDTH))).withColumn("scale", F.array(F.get("scale", F.col("best"))))
     return model.drop("best"), n_groups
 
 
-def _verdicts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verdicts(batches: Iterator[pa.RecordBatch], estimates: Callable) -> Iterator[pa.RecordBatch]:
     for b in batches:
         x = _features(b)
         d2 = np.full(len(x), np.nan)
         for scope in range(3):
-            on, est = _estimates(b, f"est{scope}")
+            on, est = estimates(b, scope, "est")
             new = np.isnan(d2[on])
             if new.any():
-                _, scale = _estimates(b, f"scale{scope}")
+                _, scale = estimates(b, scope, "scale")
                 d2[on[new]] = _distances(x[on[new]], est[new])[:, 0] / scale[new, 0]
         yield pa.RecordBatch.from_arrays([b.column(c) for c in ("doc_id", *COUNTS[:5])] + [pa.array(d2, mask=np.isnan(d2))], names=["doc_id", *COUNTS[:5], "distance"])
 
@@ -375,7 +420,7 @@ def quality_rules(docs: DataFrame, tail: float = TAIL) -> DataFrame:
     stats = common.kept(statistics(docs), "stats")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     x = stats.select("doc_id", "lang", "source", *COUNTS[:5], *[v.alias(k) for k, v in _feature_columns().items()])
-    model, n_groups = fit(x.where(~failed))  # rows that the base drops anyway don't shape the estimate
+    model, n_groups = fit(x.where(~failed).select("lang", "source", *FEATURES))  # rows that the base drops anyway don't shape the estimate
     kind = stats.schema["doc_id"].dataType.simpleString()
-    out = _joined(x, model, n_groups).mapInArrow(_verdicts, f"doc_id {kind}, {', '.join(f'{c} long' for c in COUNTS[:5])}, distance double")
+    out = _with_model(x, model, n_groups, _verdicts, f"doc_id {kind}, {', '.join(f'{c} long' for c in COUNTS[:5])}, distance double")
     return out.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= chi2_cutoff(P, tail)))
