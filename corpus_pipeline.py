@@ -20,9 +20,9 @@ from winnow.llm.common import shared_dir, table
 
 
 def _content(docs: DataFrame, *names: str) -> Column:
-    """A hash of these columns of numbered(docs); a null differs from an empty text."""
-    cols = [F.col(f"c{common.place(docs, n)}").cast("string") for n in names]
-    return F.xxhash64(*[x for c in cols for x in (c, c.isNull())])
+    """A hash of 128 bits of these columns of numbered(docs); a null differs from an empty text."""
+    cols = [x for n in names for c in [F.col(f"c{common.place(docs, n)}").cast("string")] for x in (c, c.isNull())]
+    return F.concat(F.lpad(F.hex(F.xxhash64(*cols)), 16, "0"), F.lpad(F.hex(F.xxhash64(F.lit("again"), *cols)), 16, "0"))
 
 
 def _where(docs: DataFrame, key: Column, keys: DataFrame, how: str) -> DataFrame:
