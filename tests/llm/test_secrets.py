@@ -24,14 +24,17 @@ def base(t):
 def test_automaton_is_the_expression(pattern):
     one = S.Automaton([pattern], False)
     search = S.Automaton([pattern], True)
+    back = S.Automaton([pattern], True, True)
     rx = re.compile(pattern)
     r = random.Random(3)
     for _ in range(400):
         t = "".join(r.choices("abcdexyzAB019", k=r.randint(0, 12)))
         ends = [e for e in range(len(t) + 1) if rx.fullmatch(t, 0, e) and e]
-        assert one.longest(t.encode(), 0) == (max(ends) if ends else -1)
+        assert one.longest(t.encode(), 0)[0] == (max(ends) if ends else -1)
         hit = search.ends(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0]
-        assert bool(hit) == any(rx.fullmatch(t, a, b) for a in range(len(t)) for b in range(a + 1, len(t) + 1))
+        starts = [any(rx.fullmatch(t, a, b) for b in range(a + 1, len(t) + 1)) for a in range(len(t))]
+        assert bool(hit) == any(starts)
+        assert back.before(t.encode()).tolist() == starts
 
 
 def test_spans(spark, odd_texts, rng):
@@ -53,3 +56,27 @@ def test_added_kinds(spark):
 
 def test_empty_table(spark):
     assert S.scan(spark.createDataFrame([], DOCUMENTS)).collect() == []
+
+
+def test_spans_do_not_depend_on_how_starts_are_found(rng, monkeypatch):
+    _, each, back = S.automata()
+    parts = ["eyJ", "eyJ", ".", "a", "abcdefgh", "token", "=", ":", " ", "AKIA", "0123456789abcdef", "xoxb-", "bearer ", "-----BEGIN ", "PRIVATE KEY-----", "A"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 80))).encode() for _ in range(400)]
+    every = (1 << len(S.KINDS)) - 1
+    got = []
+    for tries in (4, 0, 10**9):
+        monkeypatch.setattr(S, "TRIES", tries)
+        got.append([S.spans_of(t, every, each, back) for t in texts])
+    assert got[0] == got[1] == got[2] and sum(map(len, got[0])) > 500
+
+
+@pytest.mark.parametrize("text", ["eyJ" * 300_000 + ".a.", "eyJ" * 100_000 + "." + "eyJ" * 100_000 + ".a." + "eyJ" * 100_000, "xoxb-" * 200_000, "bearer " * 150_000, "-----BEGIN " * 90_000, "ghp_" * 250_000, "token" * 200_000])
+def test_long_lines_take_time_in_proportion(text):
+    import time
+
+    search, each, back = S.automata()
+    for a in (*each, *back):
+        a.table  # noqa: B018
+    began = time.process_time()
+    S.spans_of(text.encode(), (1 << len(S.KINDS)) - 1, each, back)
+    assert time.process_time() - began < 8  # tried one by one, hours
