@@ -4,8 +4,9 @@ A URL's host and path are cut out by expressions.  A rule of a host and a path
 prefix fits that host and its subdomains; the longest fitting rule decides.
 Where none fits, a logistic regression decides whose features are the
 character n-grams of host and path, hashed into BUCKETS weights.  It is trained
-on the driver on a labelled table of a few hundred URLs, made from the lists
-below by rule, and its weights, of fixed size, go to the tasks.
+on the driver on a labelled table of at most TABLE_ROWS URLs: those in UNWANTED
+and NEUTRAL, written by hand, and as many again with the words of the lists
+crossed by rule.  Its weights, of fixed size, go to the tasks.
 
 Defined results: a null URL, or one without ``://``, has empty host and path,
 no rule, and what the method makes of nothing (its bias: allow).  Repeated rows
@@ -37,6 +38,46 @@ _GOOD = "news blog docs wiki library science school city garden music sport trav
 _PATHS = "article page item post about contact archive topic story guide photo list en de fr es index help".split()
 
 
+#: Written by hand, each a URL without its scheme, of many forms; none is in the tests.
+UNWANTED = """
+royal-casino-online.com/slots/free-spins megaslots247.net/play casinobonus.top/no-deposit luckyspin-casino.bet/signup freebets-today.com/odds bet-win-big.info/football sportsbet-tips.club/tips
+bet777.vip/register online-betting-offers.biz/bonus bigbet-online.com/live pokerroom-bonus.com/texas-holdem play-poker-online.net/tournament poker-chips-cheap.com/ videopoker-free.info/jacks fullpoker.bet/lobby
+blackjack-real-money.com/ roulette-system-win.net/buy jackpot-lottery-winner.info/claim you-won-a-prize.xyz/claim?id=8 free-iphone-giveaway.win/step1 prize-survey-reward.club/start lotto-numbers-win.biz/
+cheap-pills-online.com/viagra buy-viagra-now.net/order cialis-generic-discount.biz/ pharmacy-no-prescription.com/tramadol discount-meds-store.ru/cart canadian-pharmacy-24h.info/ rx-pills-cheap.top/buy online-pharmacy-sale.com/xanax
+weight-loss-miracle.xyz/order keto-diet-pills.shop/trial testosterone-boost.biz/buy hair-loss-cure.info/buy-now cheap-replica-watches.ru/rolex replica-handbags-outlet.cn/gucci best-replicas-sale.com/watches fake-designer-bags.top/buy
+cheap-nike-outlet.ru/shoes outlet-sale-cheap.biz/jordan buy-cheap-followers.com/instagram cheap-essays-writing.com/order buy-essay-now.net/ cheap-flights-deal-win.info/click payday-loan-fast.com/apply instant-cash-loans.net/bad-credit
+quick-loans-approved.biz/ loan-no-credit-check.info/apply cash-advance-today.com/ debt-relief-now.biz/free forex-profit-robot.com/join crypto-doubler.io/invest bitcoin-profit-system.top/signup free-bitcoin-generator.xyz/ earn-money-fast.club/home
+work-from-home-income.biz/ make-money-online-now.info/secret get-rich-quick.top/ binary-options-win.com/trade hot-singles-near-you.com/chat adult-dating-hookup.net/join sexy-cams-live.com/room free-xxx-videos.net/watch hardcore-porn-tube.com/video
+nude-webcam-girls.tv/ escort-girls-city.com/vip milf-dating-sex.net/ teen-cam-chat.xxx/live pornpics-free.org/gallery sexchat-online.info/ adult-toys-discount.biz/sale mail-order-brides.info/russian
+cracked-software-download.net/photoshop-keygen serial-keys-free.info/windows warez-torrent-hub.to/download full-version-crack.com/setup.exe keygen-patch.net/ torrent-movies-free.to/hd watch-free-movies-online.xyz/stream free-mp3-download.biz/
+game-hacks-cheats.net/unlimited-coins robux-generator-free.xyz/ v-bucks-hack.club/ account-verify-login.xyz/paypal secure-update-bank.top/login apple-id-locked.info/verify microsoft-alert-call.xyz/support win-defender-virus-warning.top/scan
+seo-backlinks-cheap.com/buy buy-traffic-now.net/ link-farm-directory.biz/submit article-spinner-free.info/ spam-mailer.top/bulk bulk-email-lists.biz/buy click-here-now.xyz/offer best-deal-buy.ru/cheap-phones hotdeals-buy.biz/cheap-perfume
+clickbank-offers.top/weightloss psychic-reading-free.info/ enlarge-pills.biz/ moneyback-slot.win/ 1xslots-mirror.ru/bonus-code vulkan-kazino.ru/igrat kazino-onlain.top/ stavki-na-sport.bet/
+""".split()
+NEUTRAL = """
+www.gardenersdiary.co.uk/roses/pruning.html news.rivertown-gazette.com/2019/05/council-vote blog.smallkitchen.net/recipes/lentil-soup docs.pylibrary.org/en/stable/api.html en.encyclopedia-open.org/wiki/Photosynthesis
+www.cityofmillbrook.gov/permits library.northfield.edu/catalog/search school.st-marys.ie/timetable museum-of-transport.org/exhibits/trams www.mountainhut.ch/de/anreise historicalsociety.org/archive/1872 weather.coastguard.gov/marine/forecast
+journals.openscience.org/article/10.1234/abc data.health-ministry.gov/hospital-beds research.uni-lakeside.de/projekte/wald forum.bicyclerepair.org/t/gear-cable-routing/231 www.chesscorner.com/openings/sicilian-defence photo.lenscraft.net/gallery/iceland
+theatre-royal.co.uk/whats-on choir.stjohns.org/concerts www.birdsofeurope.eu/species/robin stackhelp.com/questions/4521/sort-a-list code.opentools.dev/repo/issues/17 maps.trailfinder.org/route/ridge-walk www.villagebakery.fr/nos-pains
+recipes.grandmother.it/pasta/ragu travel.slowtrain.eu/vienna-to-prague www.bookshelf-reviews.com/fiction/2021 podcast.historyhour.org/episodes/rome art.cityscapes.es/exposicion/goya design.typefoundry.net/specimens music.localband.ca/tour-dates
+sport.village-fc.org/fixtures www.sailingclub.nz/regatta-results farm-museum.se/om-oss energy.gridwatch.org/today climate.icecores.edu/data/vostok astronomy.skycharts.net/july math.problemweek.edu/week-12 physics.lecturenotes.org/optics.pdf
+chemistry.safety-sheets.com/acetone biology.fieldguide.org/mosses geology.rockhounds.us/quartz medicine.journalclub.org/asthma-review law.casenotes.edu/contract parliament.gov/bills/2020/14 court.records.gov/opinions election.results.gov/county
+www.sandwell-hospital.nhs.uk/visiting pharmacy.university.edu/courses casino-theatre-history.org/building poker-faced-owl.blog/about winchester-cathedral.org.uk/visit wine-growers.fr/vendanges betterworldbooks.org/donate alphabet-learning.com/letters
+essex-county.gov/parks middlesex-library.org/hours sussex-wildlife.org.uk/reserves scunthorpe-museum.org/collections analytics.webstats.dev/docs cocktail-history.com/gin titanic-archive.org/passengers assessment.schools.edu/grade-5
+spam-filter.mailserver.org/docs/bayes antispam-research.edu/papers security.patchnotes.org/advisory/12 phishing-awareness.gov/report loans.library.edu/interlibrary debt-statistics.gov/quarterly money-museum.org/coins credit-union.coop/branches
+cheap-eats-guide.blog/lisbon bargain-hunt.bbc-fan.org/episodes watchmakers-guild.org/training replica-ship-project.org/build torrent-river-hydrology.edu/gauge crack-propagation.materials.edu/fatigue hacker-news-digest.com/today keyboard-club.com/layouts
+diet-research.org/mediterranean pill-bug-facts.org/habitat vitamin-d-study.edu/results lottery-funded-heritage.org.uk/projects prize-lectures.org/chemistry free-software-foundation.example.org/licences click-beetles.org/species dating-methods.archaeology.edu/radiocarbon
+adult-education.city.gov/evening-classes escort-vessels.navalhistory.org/class hot-springs-geology.org/iceland sexual-health.clinic.org/advice bonus-army-1932.history.org/march slots-and-tenons.woodwork.com/joints tips.gardening.org/compost support.opensource.dev/faq
+""".split()
+TABLE_ROWS = 1200
+
+
+def by_hand() -> list[tuple[str, str, int]]:
+    """The table written by hand as (host, path, 1 if unwanted)."""
+    cut = lambda u: (u.partition("/")[0], "/" + u.partition("/")[2].partition("?")[0])
+    return [(*cut(u), k) for k, us in ((1, UNWANTED), (0, NEUTRAL)) for u in us]
+
+
 def labelled(n: int = 900, seed: int = SEED) -> list[tuple[str, str, int]]:
     """(host, path, 1 if unwanted), made by rule from the word lists."""
     r = random.Random(seed)
@@ -108,7 +149,7 @@ class Weights:
 
 @lru_cache(1)
 def weights() -> Weights:
-    return Weights(labelled())
+    return Weights(by_hand() * 3 + labelled(TABLE_ROWS - 3 * len(by_hand())))
 
 
 def host_of(url: Column) -> Column:
