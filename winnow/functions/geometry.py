@@ -133,18 +133,24 @@ def aromatic_lining(atoms: DataFrame, cutoff: float = 10.0, near: float = 3.5, f
         ring = ring | ((F.col("res_name") == r) & F.col("atom_name").isin(*names))
     r = atoms.filter(ring).join(pocket.select("struct_id", "res_idx"), ["struct_id", "res_idx"], "left_semi").join(metal_point(atoms), "struct_id")
 
-    def facing(pdf: pd.DataFrame) -> pd.DataFrame:
-        p = pdf[["x", "y", "z"]].to_numpy(float)
-        m = pdf[["mx", "my", "mz"]].to_numpy(float)[0]
-        c = p.mean(0)
-        d = float(np.linalg.norm(m - c))
-        ok = False
-        if len(p) >= 3 and near <= d <= far:
-            normal = np.linalg.svd(p - c)[2][2]
-            ok = bool(np.degrees(np.arccos(np.clip(abs(normal @ (m - c)) / d, 0, 1))) <= angle)
-        return pd.DataFrame({"struct_id": [pdf["struct_id"].iloc[0]], "facing": [int(ok)]})
-
-    f = r.groupBy("struct_id", "res_idx").applyInPandas(facing, "struct_id string, facing int").groupBy("struct_id").agg(F.sum("facing").alias("n_inward_rings"))
+    rings = r.groupBy("struct_id", "res_idx").agg(F.collect_list(F.array("x", "y", "z")).alias("p"), F.first(F.array("mx", "my", "mz")).alias("m"))
+
+    def facing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if not len(b):
+                continue
+            n = np.array([len(p) for p in b["p"]])
+            x = np.full((len(b), n.max(), 3), np.nan)
+            for k, p in enumerate(b["p"]):
+                x[k, : n[k]] = np.stack(p)
+            c = np.nanmean(x, axis=1)
+            to = np.stack(b["m"]) - c
+            d = np.linalg.norm(to, axis=1)
+            normal = np.linalg.svd(np.nan_to_num(x - c[:, None]))[2][:, 2]  # all rings of a batch at once; missing points are at the centre
+            tilt = np.degrees(np.arccos(np.clip(np.abs((normal * to).sum(1)) / np.maximum(d, 1e-12), 0, 1)))
+            yield pd.DataFrame({"struct_id": b["struct_id"], "facing": ((n >= 3) & (d >= near) & (d <= far) & (tilt <= angle)).astype(int)})
+
+    f = rings.mapInPandas(facing, "struct_id string, facing int").groupBy("struct_id").agg(F.sum("facing").alias("n_inward_rings"))
     return n.join(f, "struct_id", "left").fillna(0, ["n_inward_rings"])
 
 

@@ -936,6 +936,23 @@ def basic_sensors(spark: SparkSession, d: str) -> DataFrame:
     return s.select("struct_id", "n_diphosphate_basic_residues", r6(F.col("min_basic_distance"), "min_basic_distance"), "has_RY_pair")
 
 
+@query(f"""WITH {_SITES}, p AS (SELECT struct_id, res_idx // 7 AS pocket, x, y, z FROM a), pc AS (SELECT struct_id, pocket, avg(x) AS x, avg(y) AS y, avg(z) AS z FROM p GROUP BY 1, 2),
+g AS (SELECT p.struct_id, p.pocket, min({_DIST.format(a='p', b='m')}) AS dmin, avg({_DIST.format(a='p', b='c')}) AS depth, any_value({_DIST.format(a='c', b='m')}) <= max({_DIST.format(a='p', b='c')}) AS enclosed FROM p JOIN pc c ON p.struct_id = c.struct_id AND p.pocket = c.pocket JOIN mp m ON m.struct_id = p.struct_id GROUP BY 1, 2)
+SELECT struct_id, pocket, round(dmin, 6) AS dmin, enclosed, round(depth, 6) AS pocket_depth FROM (SELECT *, row_number() OVER (PARTITION BY struct_id ORDER BY enclosed DESC, dmin, pocket) AS k FROM g WHERE dmin <= 1.2) WHERE k = 1""")
+def pocket_choice(spark: SparkSession, d: str) -> DataFrame:
+    s = sites(spark, d)
+    spheres = geometry.calphas(s).select("struct_id", F.floor(F.col("res_idx") / 7).alias("pocket"), "x", "y", "z")
+    c = geometry.choose_pocket(spheres, geometry.metal_point(s), 1.2)
+    return c.select("struct_id", "pocket", r6(F.col("dmin"), "dmin"), "enclosed", r6(F.col("pocket_depth"), "pocket_depth"))
+
+
+@query(f"""WITH {_SITES}, near AS (SELECT DISTINCT p.struct_id, p.res_idx, p.l FROM prot p JOIN mp m ON p.struct_id = m.struct_id AND {_DIST.format(a='p', b='m')} <= 1.5)
+SELECT struct_id, count(*) AS n_pocket_residues, count(*) FILTER (l = 'W') AS n_trp, count(*) FILTER (l = 'Y') AS n_tyr, count(*) FILTER (l = 'F') AS n_phe, count(*) FILTER (l IN ('W', 'Y', 'F')) AS n_pocket_aromatics, round(avg((l IN ('W', 'Y', 'F'))::INT), 6) AS aromatic_fraction FROM near GROUP BY 1""")
+def aromatic_pockets(spark: SparkSession, d: str) -> DataFrame:
+    a = geometry.aromatic_lining(sites(spark, d), 1.5)
+    return a.select("struct_id", "n_pocket_residues", "n_trp", "n_tyr", "n_phe", "n_pocket_aromatics", r6(F.col("aromatic_fraction"), "aromatic_fraction"))
+
+
 @query(f"WITH {_ATOMS} SELECT struct_id, round(avg(b), 6) AS mean_plddt, round(quantile_cont(b, 0.5), 6) AS median_plddt, round(min(b), 6) AS min_plddt, round(avg((b >= 70)::INT), 6) AS fraction_confident, count(*) AS n_residues FROM a WHERE atom_name = 'CA' AND NOT hetero GROUP BY 1")
 def plddt(spark: SparkSession, d: str) -> DataFrame:
     p = geometry.plddt_summary(atoms(spark, d))
