@@ -89,9 +89,10 @@ def candidate_pairs(k: DataFrame, shared: int = SHARED, coverage: float = 0.8) -
 
 def _greedy_rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The rule itself, on pairs (centre, nc, ID, n) that are few."""
-    p = pd.concat(list(batches), ignore_index=True)
-    if not len(p):
+    parts = [b for b in batches if len(b)]
+    if not parts:
         return
+    p = pd.concat(parts, ignore_index=True)
     links: dict = {}
     size = dict(zip(p["centre"], p["nc"], strict=True)) | dict(zip(p["ID"], p["n"], strict=True))
     for c, i in zip(p["centre"], p["ID"], strict=True):
