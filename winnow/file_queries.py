@@ -5,12 +5,16 @@ Files go to new folders in the shared one.  The SQL is over the tables themselve
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winnow.__main__ import merged
+from winnow.functions import seq
 from winnow.functions import values as v
 from winnow.operators import knn, select, similarity, stats
+from winnow.plans.pipeline import run_funnel
 from winnow.queries import _E, _LETTERS, _VOTE, _labels, letters, neighbour_edges, query, r6, table, vectors
 from winnow.sources import lines
 from winnow.sources import text as src
@@ -197,3 +201,100 @@ def calibration(spark: SparkSession, d: str) -> DataFrame:
     rows = [(b["lo"], b["hi"], b["n"], b["accuracy"], float(c["tau"]), c["n_predicted"], c["n_queries"]) for b in c["calibration_curve"]]
     df = spark.createDataFrame(rows, "lo double, hi double, n long, accuracy double, tau double, n_predicted long, n_queries long")
     return df.withColumn("accuracy", F.round("accuracy", 6))
+
+
+# ------------------------------------------------------------------ other tools' tables
+
+
+@query("SELECT 'pocket' || l_linenumber || '_' || l_orderkey || '_' || l_partkey || '_' || l_suppkey AS pocket, l_extendedprice AS x, l_discount AS y, l_tax AS z, CASE WHEN l_quantity > 10 THEN l_quantity END AS score FROM lineitem")
+def pocket_predictions_file(spark: SparkSession, d: str) -> DataFrame:
+    path, li = scratch(spark, "pockets"), table(spark, d, "lineitem")
+    name = F.concat(F.lit("  pocket"), "l_linenumber", F.lit("_"), "l_orderkey", F.lit("_"), "l_partkey", F.lit("_"), "l_suppkey")
+    li.select(name.alias("name "), F.when(F.col("l_quantity") > 10, F.col("l_quantity").cast("string")).otherwise(" - ").alias(" score"), F.col("l_extendedprice").alias(" center_x"), F.col("l_discount").alias(" center_y"), F.col("l_tax").alias(" center_z")).write.option("header", True).option("ignoreLeadingWhiteSpace", False).csv(path)
+    return src.read_pocket_predictions(spark, path).select("pocket", "x", "y", "z", "score")
+
+
+@query("SELECT count(*) AS n_residues, round(sum(c_acctbal), 4) AS total, min(c_acctbal) AS least FROM customer WHERE c_custkey % 5 > 0")
+def residue_scores_file(spark: SparkSession, d: str) -> DataFrame:
+    """The fifth cell of each row; rows whose fifth cell is no number are left out."""
+    path, c = scratch(spark, "scores"), table(spark, d, "customer")
+    c.select(F.lit("A"), "c_custkey", "c_mktsegment", F.lit("x"), F.when(F.col("c_custkey") % 5 > 0, F.col("c_acctbal").cast("string")).otherwise("score")).write.csv(path)
+    s = src.read_residue_scores(spark, path).agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("t"), F.min("score").alias("l"))
+    return s.select(F.col("n").alias("n_residues"), F.round("t", 4).alias("total"), F.col("l").alias("least"))
+
+
+@query("SELECT s_suppkey::VARCHAR AS \"ID\", s_acctbal AS tm FROM supplier")
+def melting_file(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark, "melting")
+    table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("Prediction")).write.option("header", True).csv(path)
+    return src.read_melting(spark.read.option("header", True).csv(path))
+
+
+@query("SELECT 's' || s_suppkey AS \"ID\", round(10 ** (s_nationkey / 8.0::DOUBLE), 6) AS kcat FROM supplier")
+def kinetics_file(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark, "kinetics")
+    table(spark, d, "supplier").select(F.concat(F.lit("s"), "s_suppkey", F.lit("_wild")).alias("fa_id"), (F.col("s_nationkey") / 8.0).alias("kcat")).write.option("header", True).csv(path)
+    return src.read_kinetics(spark.read.option("header", True).csv(path), ["kcat"]).select("ID", r6(F.col("kcat"), "kcat"))
+
+
+@query("SELECT 'r' || p_partkey % 50 AS reference_id, p_size AS resnum FROM part WHERE p_partkey % 4 > 0")
+def panel_file(spark: SparkSession, d: str) -> DataFrame:
+    """Rows whose number is none are left out."""
+    path, k = scratch(spark, "panel"), F.col("p_partkey")
+    p = table(spark, d, "part").select(F.concat(F.lit("r"), k % 50).alias("reference_id"), F.when(k % 4 > 0, F.col("p_size").cast("string")).otherwise("twelve").alias("resnum"))
+    p.write.option("header", True).csv(path)
+    return src.read_panel(spark, path)
+
+
+@query("SELECT c_custkey::VARCHAR AS \"ID\", c_acctbal AS \"isTPS\", c_nationkey::DOUBLE AS \"FPP\" FROM customer")
+def predictor_scores(spark: SparkSession, d: str) -> DataFrame:
+    """The calibrated score goes before the raw one."""
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias(" id"), F.lit("0.5").alias("TPS_score"), F.col("c_acctbal").cast("string").alias("TPS_p_calibrated "), F.col("c_nationkey").cast("string").alias("FPP_score"))
+    return src.predictor_schema(c, "FPP")
+
+
+@query("""WITH a AS (SELECT c_custkey || '' AS "ID", c_acctbal AS bal FROM customer WHERE c_custkey % 2 = 0), b AS (SELECT c_custkey || '' AS "ID", c_nationkey AS near, c_mktsegment AS hit FROM customer WHERE c_custkey % 3 = 0)
+SELECT coalesce(a."ID", b."ID") AS "ID", bal, near AS near_self, hit AS hit_self FROM a FULL JOIN b ON a."ID" = b."ID" """)
+def results_loaded(spark: SparkSession, d: str) -> DataFrame:
+    """Chosen result tables on the first token of their ids; a self-comparison under names of its own; bookkeeping left out."""
+    c, k = table(spark, d, "customer"), F.col("c_custkey")
+    a = c.where(k % 2 == 0).select(F.concat(k.cast("string"), F.lit(" a note")).alias("ID"), F.col("c_acctbal").alias("bal"), k.alias("fa_id"))
+    b = c.where(k % 3 == 0).select(k.cast("string").alias("ID"), F.col("c_nationkey").alias("near"), F.col("c_mktsegment").alias("hit"))
+    return src.load_results(spark, {"a": a, "b": b, "c": a}, ["a", "b"], ("b",))
+
+
+@query("""WITH b AS (SELECT l_returnflag AS c, quantile_cont(l_extendedprice, 0.05) AS lo, quantile_cont(l_extendedprice, 0.95) AS hi FROM lineitem GROUP BY 1)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem JOIN b ON l_returnflag = c WHERE l_extendedprice BETWEEN lo AND hi""")
+def bands_text(spark: SparkSession, d: str) -> DataFrame:
+    """Bands exported as JSON and read by the filter."""
+    li = table(spark, d, "lineitem")
+    bands = stats.export_bands(stats.numeric_stats(li, ["l_extendedprice"], ["l_returnflag"]), {"l_extendedprice": {}}, labeling="l_returnflag")
+    return select.band_filter(li, json.loads(stats.bands_json(bands, "l_returnflag"))).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+@query(f"SELECT id AS \"ID\", id AS name, sequence, 'CC(C)' AS smiles, 'MG' AS ion, 4 AS n_chains FROM ({_LETTERS})")
+def folding_inputs(spark: SparkSession, d: str) -> DataFrame:
+    """The job table of a folding run with two ions and a ligand, as JSON, read again."""
+    jobs = src.cofold_jobs(letters(spark, d).withColumnRenamed("id", "ID"), 2, "CC(C)")
+    made = src.fold_inputs(jobs, ["sequence"], ["ligand"], ["ion_1", "ion_2"])
+    at = lambda p: F.get_json_object("json", p)
+    chains = F.json_array_length(at("$.sequences"))
+    return made.select("ID", at("$.name").alias("name"), at("$.sequences[0].protein.sequence").alias("sequence"), at("$.sequences[1].ligand.smiles").alias("smiles"), at("$.sequences[3].ligand.ccdCodes[0]").alias("ion"), chains.alias("n_chains"))
+
+
+@query("""WITH t AS (SELECT * FROM orders WHERE o_totalprice >= 100000), c AS (SELECT o.*, c_acctbal FROM t o JOIN customer ON c_custkey = o_custkey WHERE c_acctbal >= 0)
+SELECT "ID", bal FROM (SELECT o_orderkey || '' AS "ID", o_orderstatus, c_acctbal AS bal, row_number() OVER (PARTITION BY o_orderstatus ORDER BY c_acctbal DESC, o_orderkey || '') AS k FROM c) WHERE k <= 20""")
+def funnel_tiers(spark: SparkSession, d: str) -> DataFrame:
+    """Two tiers: what the second needs is only made for those that the first keeps, and merged over what is carried forward."""
+    o = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("ID"), "o_custkey", "o_orderstatus", "o_totalprice")
+    c = table(spark, d, "customer")
+    balance = lambda kept: kept.join(c, kept.o_custkey.cast("long") == c.c_custkey).select("ID", F.col("c_acctbal").alias("bal"))
+    first = {"spec": {"ops": [{"op": "gate", "conditions": [{"col": "o_totalprice", "ge": 100000}]}]}}
+    second = {"metrics": [balance], "spec": {"group_by": "o_orderstatus", "n_out_per_group": 20, "ops": [{"op": "gate", "conditions": [{"col": "bal", "ge": 0}]}, {"op": "score", "terms": [{"col": "bal", "direction": "higher"}]}]}}
+    return run_funnel(spark, o, [first, second], scratch(spark, "funnel")).select("ID", F.col("bal").cast("double").alias("bal"))
+
+
+@query(f"SELECT p_partkey, CASE p_partkey % 4 {' '.join(f'WHEN {i} THEN {chr(39)}{seq.SMILES[k]}{chr(39)}' for i, k in enumerate(('DMAPP', 'GPP', 'C35')))} END AS smiles, p_partkey % 4 = 1 AS cofoldable FROM part")
+def substances(spark: SparkSession, d: str) -> DataFrame:
+    code = F.array(*map(F.lit, ("dmapp", "GPP", "C35", "EDSQ")))[(F.col("p_partkey") % 4).cast("int")]
+    return table(spark, d, "part").select("p_partkey", seq.smiles(code).alias("smiles"), seq.cofoldable(code).alias("cofoldable"))
