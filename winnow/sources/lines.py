@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from winnow.store import sent_if_small, stored
+from winnow.store import sent_if_small
 
 
 def numbered(read: DataFrame, name: str = "row") -> DataFrame:
@@ -16,7 +16,8 @@ def numbered(read: DataFrame, name: str = "row") -> DataFrame:
     rows of the splits before it, one count each.  The same under any number of splits; blank rows that the reader skips don't count.
     """
     at = read.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_at"))
-    splits = stored(at.groupBy(F.col("_file").alias("_f"), F.col("_start").alias("_s")).agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("_least")))
+    # not stored: counted under the same split sizes as the rows themselves, whenever these are read
+    splits = at.groupBy(F.col("_file").alias("_f"), F.col("_start").alias("_s")).agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("_least"))
     before = Window.orderBy("_f", "_s").rowsBetween(Window.unboundedPreceding, -1)  # a row a split
     splits = sent_if_small(splits.select("_f", "_s", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("_least")).alias("_add")), 1_000_000)
     out = at.join(splits, (F.col("_file") == F.col("_f")) & (F.col("_start") == F.col("_s")))
