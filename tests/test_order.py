@@ -56,6 +56,23 @@ def test_a_wrong_sketch_costs_passes_and_no_result(spark, monkeypatch):
     assert got.q2 == np.quantile(xs, 0.5)
 
 
+def test_a_pass_meets_each_value_once(spark, monkeypatch):
+    """Seven percentiles are up to fourteen ranks: no pass reads a value beside each of them."""
+    monkeypatch.setattr(quantiles, "LAST_VALUES", 20)
+    met, plain = [], quantiles._met
+
+    def counted(*a):
+        m = plain(*a)
+        met.append(m.count())
+        return m
+
+    monkeypatch.setattr(quantiles, "_met", counted)
+    r = random.Random(5)
+    df = spark.createDataFrame([("a", r.gauss(0, 1)) for _ in range(3000)], "g string, x double")
+    quantiles.exact_quantiles(df, ["g"], stats.PERCENTS, 0).collect()
+    assert met and max(met) <= 3000
+
+
 def test_summary_is_the_same_either_way(spark):
     r = random.Random(4)
     df = spark.createDataFrame([(r.choice("abc"), r.choice(["u", None]), r.gauss(0, 5) if r.random() < 0.9 else None) for _ in range(9000)], "g string, h string, x double")

@@ -45,18 +45,15 @@ def numeric_stats(df: DataFrame, columns: list[str], strata: list[str] | None =
     x = df.select(*[F.col(f"`{s}`").cast("string").alias(f"_s{i}") for i, s in enumerate(strata)], F.explode(F.array(*[F.struct(F.lit(c).alias("stat_column"), number_of(df, c).alias("x")) for c in columns])).alias("e"))
     x = x.select(*[f"_s{i}" for i in range(len(strata))], "e.stat_column", "e.x")
     exact_rows = quantiles.EXACT_ROWS if exact_rows is None else exact_rows
-    few = x.where("x IS NOT NULL").limit(exact_rows + 1).count() <= exact_rows
-    p = [F.expr(f"percentile(x, array({', '.join(map(str, PERCENTS.values()))}))").alias("_p")] if few else []
-    aggs = [F.count("x").alias("n"), (F.count(F.lit(1)) - F.count("x")).alias("n_missing"), F.avg("x").alias("mean"), F.when(F.count("x") > 0, F.coalesce(F.stddev_samp("x"), F.lit(0.0))).alias("std"), F.min("x").alias("min"), F.max("x").alias("max"), *p]
+    aggs = [F.count("x").alias("n"), (F.count(F.lit(1)) - F.count("x")).alias("n_missing"), F.avg("x").alias("mean"), F.when(F.count("x") > 0, F.coalesce(F.stddev_samp("x"), F.lit(0.0))).alias("std"), F.min("x").alias("min"), F.max("x").alias("max")]
     # a row for each grouping that it belongs to: overall, and its class of each labeling
     groups = [F.struct(F.lit(None).cast("string").alias("labeling"), F.lit(None).cast("string").alias("label"))]
     groups += [F.when(F.col(f"_s{i}").isNotNull(), F.struct(F.lit(s).alias("labeling"), F.col(f"_s{i}").alias("label"))) for i, s in enumerate(strata)]
-    x = x.withColumn("g", F.explode(F.filter(F.array(*groups), lambda e: e.isNotNull()))).select("stat_column", "g.labeling", "g.label", "x")
+    x = x.withColumn("g", F.explode(F.array(*groups))).where("g IS NOT NULL").select("stat_column", "g.labeling", "g.label", "x")
     keys = ["stat_column", "labeling", "label"]
-    out = x.groupBy(*keys).agg(*aggs)
-    if few:
-        return out.select(*keys, "n", "n_missing", "mean", "std", "min", "max", *[F.col("_p")[i].alias(k) for i, k in enumerate(PERCENTS)])
-    q = quantiles.exact_quantiles(x, keys, PERCENTS, 0)
+    out = stored(x.groupBy(*keys).agg(*aggs))
+    few = (out.where("labeling IS NULL").agg(F.sum("n")).first()[0] or 0) <= exact_rows
+    q = quantiles.exact_quantiles(x, keys, PERCENTS, 1 << 62 if few else 0, out.select(*keys, "n", F.col("min").alias("a"), F.col("max").alias("b")))
     q = q.select(*[F.col(k).alias(f"_{k}") for k in keys], *PERCENTS)
     return out.join(q, (F.col("stat_column") == F.col("_stat_column")) & F.col("labeling").eqNullSafe(F.col("_labeling")) & F.col("label").eqNullSafe(F.col("_label")), "left").drop("_stat_column", "_labeling", "_label")
 
