@@ -134,3 +134,19 @@ def test_interpreter(spark):
         sel.run_selection(df, {"ops": [{"op": "magic"}]})
     seqs = spark.createDataFrame([("x_c0_w5", "MKV")], "id string, sequence string")
     assert sel.run_selection(df, {"ops": []}, sequences=seqs).filter(F.col("sequence").isNotNull()).count() == 1
+
+
+def test_few_groups_are_sent_whatever_their_sides_look_like(spark):
+    """Bands and moments of a few groups are no shuffle join by the group, even where Spark itself would send nothing."""
+    df = spark.range(2000).select(F.col("id").cast("string").alias("ID"), (F.col("id") % 3).cast("string").alias("cls"), (F.col("id") * 1.5).alias("x"))
+    bands = df.groupBy("cls").agg(F.expr("percentile(x, 0.1)").alias("lo"), F.expr("percentile(x, 0.9)").alias("hi")).withColumnRenamed("cls", "category")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        inside = df.join(bands, df.cls == bands.category).where("x BETWEEN lo AND hi").count()
+        for out, n in ((sel.band_join(df, bands, "x", "cls"), inside), (sel.scored(df, [{"col": "x", "direction": "higher"}], "cls"), 2000)):
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+            assert out.count() == n
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from winnow.functions.values import all_of, greatest, number_of
 from winnow.operators import gate as gates
 from winnow.operators.ranks import ranked
+from winnow.store import sent_if_small, stored
 
 # ------------------------------------------------------------------ bands
 
@@ -50,9 +51,9 @@ def band_filter(df: DataFrame, metrics: dict, bands_file: str | None = None) ->
 
 
 def band_join(df: DataFrame, bands: DataFrame, metric: str, by: str) -> DataFrame:
-    """The same for bands in a table (category, lo, hi), one row per category; Spark
-    broadcasts it while it is small."""
-    b = bands.select(F.col("category").cast("string").alias("_c"), "lo", "hi")
+    """The same for bands in a table (category, lo, hi), one row per category; it is stored
+    and counted first, and sent to the tasks while it is small, so that no category's rows meet in one task."""
+    b = sent_if_small(stored(bands.select(F.col("category").cast("string").alias("_c"), "lo", "hi")))
     x = number_of(df, metric)
     j = df.join(b, F.col(f"`{by}`").cast("string") == F.col("_c"), "left")
     ok = F.col("_c").isNull() | ((F.col("lo").isNull() | (x >= F.col("lo"))) & (F.col("hi").isNull() | (x <= F.col("hi"))))
@@ -76,8 +77,8 @@ def _best_first(df: DataFrame, score_col: str | None, tie: tuple[str, ...]) -> l
 def scored(df: DataFrame, terms: list[dict], zscore_within: str | None = None, score_col: str = "score") -> DataFrame:
     """Sum of signed, weighted z-scores per group; a missing term or group makes it NULL.
 
-    The moments of all groups come from one aggregate that is joined back (Spark sends it to the tasks while it is small), so
-    no group is gathered in one task.
+    The moments of all groups come from one aggregate that is stored, counted and joined back, sent to the tasks while it is small,
+    so no group is gathered in one task.
     """
     for t in terms:
         if t["col"] not in df.columns:
@@ -87,6 +88,7 @@ def scored(df: DataFrame, terms: list[dict], zscore_within: str | None = None, s
         base = df.crossJoin(F.broadcast(df.agg(*aggs)))  # one row
     else:
         moments = df.groupBy(F.col(f"`{zscore_within}`").alias("_g")).agg(*aggs).where("_g IS NOT NULL")
+        moments = sent_if_small(stored(moments))
         base = df.join(moments, F.col(f"`{zscore_within}`") == F.col("_g"), "left").drop("_g")
     total = F.lit(0.0)
     for i, t in enumerate(terms):
@@ -236,7 +238,7 @@ REGISTRY: dict[str, Op] = {
 
 
 def run_selection(df: DataFrame, spec: dict, sequences: DataFrame | None = None, clusters: DataFrame | None = None, target: str | None = None, tie: tuple[str, ...] = ("ID",), trace: list | None = None) -> DataFrame:
-    """Apply the ops of a spec in order: one lazy plan, but for ranks of all rows (see score) and native clusters, which run jobs.
+    """Apply the ops of a spec in order: one lazy plan, but for moments and ranks of groups (see score) and native clusters, which run jobs.
     Every op's name is looked up first.
 
     trace: gets (op, frame) after each step, for manifest().
