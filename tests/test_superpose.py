@@ -72,6 +72,21 @@ def test_least_rmsd_over_templates(spark, monkeypatch):
     assert [r.template for r in sp.best_templates(df.limit(2), df.limit(0)).collect()] == [None, None]
 
 
+def test_rmsds_equal_to_the_digits_asked_for_are_ties(spark, monkeypatch):
+    """The lesser name wins, in one block and between blocks, though the other's RMSD is less by a millionth."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(sp.PLACES, 3)) * 5
+    off = rng.normal(size=(sp.PLACES, 3))
+    sets = {"x": x, "a": x + off * (1 + 1e-6), "b": x + off}
+    df = spark.createDataFrame([(n, v.tolist()) for n, v in sets.items()], "struct_id string, points array<array<double>>")
+    r = [plain_fit(sets[n], x)[2] for n in "ab"]
+    assert r[0] - r[1] > 1e-9 and round(r[0], 4) == round(r[1], 4)
+    for at_a_time in (2048, 1):
+        monkeypatch.setattr(sp, "AT_A_TIME", at_a_time)
+        named = [sp.best_templates(df.where("struct_id = 'x'"), df.where("struct_id <> 'x'"), d).first().template for d in (9, 4)]
+        assert named == ["b", "a"]
+
+
 def test_divergence_of_panel_residues(spark):
     """Gaps in the alignment, missing residues, numbers of the file, pairs that are not looked at."""
     r = random.Random(3)

@@ -95,12 +95,12 @@ def _spread(x: np.ndarray) -> np.ndarray:
     return np.sqrt(((x[:, i] - x[:, j]) ** 2).sum(2))
 
 
-def best_of(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each set x the least RMSD to any set y and which that is (the first of equals), -1 where none shares three points.
+def best_of(x: np.ndarray, y: np.ndarray, digits: int = 9) -> tuple[np.ndarray, np.ndarray]:
+    """Of each set x the least RMSD to any set y and which that is (the first of those equal to so many digits), -1 where none shares three points.
 
     The residuals e of a superposition of n points change no distance by more than |e_i| + |e_j|, so its squared RMSD is at least
     the sum of the squared differences of distances by 2 n (n - 1).  Each set meets first the one with the least bound, and then
-    those only whose bound is below what it has.
+    those only whose bound is below what it has, or no more above it than a rounding.
     """
     dx, dy = _spread(x), _spread(y)
     shared = np.isfinite(x).all(2).astype(float) @ np.isfinite(y).all(2).astype(float).T
@@ -116,23 +116,26 @@ def best_of(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             p, q = i[lo : lo + (1 << 14)], j[lo : lo + (1 << 14)]
             used = np.isfinite(x[p]).all(2) & np.isfinite(y[q]).all(2)
             rmsd = superpose(y[q], x[p], used)[2]
-            order = np.lexsort((q, rmsd.round(9), p))
+            order = np.lexsort((q, rmsd.round(digits), p))
             p, q, rmsd = p[order], q[order], rmsd[order]
             first = np.flatnonzero(np.append(True, p[1:] != p[:-1]))
             p, q, rmsd = p[first], q[first], rmsd[first]
-            better = (rmsd.round(9) < best[p].round(9)) | ((rmsd.round(9) == best[p].round(9)) & (q < which[p]))
+            new, old = rmsd.round(digits), best[p].round(digits)
+            better = (new < old) | ((new == old) & (q < which[p]))
             best[p[better]], which[p[better]] = rmsd[better], q[better]
 
     if len(y):
         some = np.flatnonzero(np.isfinite(bound).any(1))
         meet(some, bound[some].argmin(1))
-        meet(*np.nonzero((bound <= best[:, None]) & np.isfinite(bound)))
+        meet(*np.nonzero((bound <= best[:, None] + 10.0**-digits) & np.isfinite(bound)))
     return np.where(which >= 0, best, np.nan), which
 
 
-def best_templates(found: DataFrame, templates: DataFrame) -> DataFrame:
+def best_templates(found: DataFrame, templates: DataFrame, digits: int = 9) -> DataFrame:
     """struct_id, catalytic_constellation_rmsd and template: of rows of constellations(), the template of the least RMSD (ties: the least id).
 
+    RMSDs that are the same to so many digits are ties; the RMSD is that of the template named.
+
     Structures and templates meet in blocks of bounded size; NULL where no template shares three points.
     """
     blocks = lambda n: max(1, -(-n // AT_A_TIME))
@@ -144,13 +147,13 @@ def best_templates(found: DataFrame, templates: DataFrame) -> DataFrame:
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         x, y = group[group["side"] == 0], group[group["side"] == 1].sort_values("struct_id")
-        rmsd, which = best_of(_array(x["points"]), _array(y["points"])) if len(x) and len(y) else (np.zeros(0), np.zeros(0, int))
+        rmsd, which = best_of(_array(x["points"]), _array(y["points"]), digits) if len(x) and len(y) else (np.zeros(0), np.zeros(0, int))
         names = y["struct_id"].to_numpy()
         good = which >= 0
         return pd.DataFrame({"struct_id": x["struct_id"].to_numpy()[: len(which)][good], "rmsd": rmsd[good], "template": names[which[good]]})
 
     near = both.repartition(min(MOST_TASKS, 2 * rows * cols), "i", "j").groupBy("i", "j").applyInPandas(run, "struct_id string, rmsd double, template string")
-    near = near.groupBy("struct_id").agg(F.min(F.struct(F.round("rmsd", 9).alias("k"), "template", "rmsd")).alias("b"))
+    near = near.groupBy("struct_id").agg(F.min(F.struct(F.round("rmsd", digits).alias("k"), "template", "rmsd")).alias("b"))
     return found.select("struct_id").join(near, "struct_id", "left").select("struct_id", F.col("b.rmsd").alias("catalytic_constellation_rmsd"), F.col("b.template").alias("template"))
 
 

@@ -809,7 +809,7 @@ w AS (SELECT struct_id, template, round(sqrt(greatest(0, e0 - 2 * (sqrt(greatest
 SELECT struct_id, min(rmsd) AS rmsd, arg_min(template, (rmsd, template)) AS template FROM w GROUP BY 1""")
 def template_match(spark: SparkSession, d: str) -> DataFrame:
     c = superpose.constellations(folds(spark, d))
-    t = superpose.best_templates(c, c.where(F.col("struct_id").cast("long") % 40 == 0))
+    t = superpose.best_templates(c, c.where(F.col("struct_id").cast("long") % 40 == 0), 4)
     return t.select("struct_id", F.round("catalytic_constellation_rmsd", 4).alias("rmsd"), "template")
 
 
