@@ -87,6 +87,80 @@ def test_rmsds_equal_to_the_digits_asked_for_are_ties(spark, monkeypatch):
         assert named == ["b", "a"]
 
 
+def unlike(seed, n, size=1.0):
+    """Sets without structure, some of whose points are missing in one of a few ways, far from each other."""
+    rng = np.random.default_rng(seed)
+    x = (rng.normal(size=(n, sp.PLACES, 3)) + rng.normal(size=(n, 1, 3)) * 10) * size
+    x[(rng.random((6, sp.PLACES)) < 0.15)[rng.integers(0, 6, n)]] = np.nan
+    return x
+
+
+def of_all(x, y, digits=4):
+    """The least RMSD of each x and which y has it, by every pair."""
+    p, q = (v.reshape(-1) for v in np.indices((len(x), len(y))))
+    rmsd = sp.superpose(y[q], x[p], np.isfinite(x[p]).all(2) & np.isfinite(y[q]).all(2))[2].reshape(len(x), -1)
+    which = np.where(np.isnan(rmsd), np.inf, rmsd.round(digits)).argmin(1)
+    return rmsd[np.arange(len(x)), which], which
+
+
+def test_few_pairs_are_superposed(monkeypatch):
+    """Even where no set is like another."""
+    x, y = unlike(7, 150), unlike(8, 1200)
+    rmsd, which = of_all(x, y)
+    plain, met = sp.superpose, []
+    monkeypatch.setattr(sp, "superpose", lambda a, b, used: met.append(len(a)) or plain(a, b, used))
+    got = sp.best_of(x, y, 4)
+    assert (got[1] == which).all() and got[0] == pytest.approx(rmsd, abs=1e-9)
+    assert sum(met) < 0.05 * len(x) * len(y)
+
+
+@pytest.mark.parametrize("size", [1.0, 1e-3, 1e-25, 1e21])
+def test_best_of_parts_is_that_of_all(size, monkeypatch):
+    """Coordinates of any size, some columns and pairs at a time, and what was met before."""
+    monkeypatch.setattr(sp, "COLUMNS_AT_A_TIME", 7)
+    monkeypatch.setattr(sp, "PAIRS_AT_A_TIME", 50)
+    x, y = unlike(9, 40, size), unlike(10, 90, size)
+    y[70:] = y[:20] * [1, 1, -1] + 3 * size
+    x[5, 2:], x[6:12] = np.nan, y[70:76]
+    rmsd, which = of_all(x, y)
+    got = sp.best_of(x, y, 4)
+    ok = np.arange(len(x)) != 5
+    assert got[1][5] == -1 and np.isnan(got[0][5])
+    assert (got[1][ok] == which[ok]).all() and got[0][ok] == pytest.approx(rmsd[ok], abs=1e-9, rel=1e-9)
+    first = sp.best_of(x, y[:45], 4)
+    known = np.where(np.isnan(first[0]), np.inf, first[0])
+    then = sp.best_of(x, y[45:], 4, known)
+    tie = np.array([r == s for r, s in zip(then[0].round(4), known.round(4), strict=True)])
+    assert (np.where((then[1] >= 0) & ~tie, then[1] + 45, first[1])[ok] == which[ok]).all()
+    assert [v.tolist() for v in sp.best_of(x[:0], y)] == [[], []] and (sp.best_of(x, y[:0])[1] == -1).all()
+
+
+def test_the_bound_is_not_below_the_trace():
+    rng = np.random.default_rng(11)
+    c = rng.normal(size=(3000, 3, 3)) * 10.0 ** rng.integers(-3, 4, (3000, 1, 1))
+    c[:500, :, 2], c[500:900, :, 1:], c[900:1000] = 0, 0, 0
+    c[1000:1100] = np.eye(3) * [1, 1, -1] * rng.random((100, 1, 1))
+    s = np.linalg.svd(c, compute_uv=False)
+    t = s[:, 0] + s[:, 1] + np.sign(np.linalg.det(c)) * s[:, 2]
+    size = s.sum(1)
+    assert (sp._at_most(c) >= t - 1e-6 * size).all() and np.median((sp._at_most(c) - t)[1100:] / size[1100:]) < 0.01
+
+
+def test_equal_templates_in_several_parts(spark, monkeypatch):
+    """Many have the same points; the least id is named though it may be in any part."""
+    monkeypatch.setattr(sp, "AT_A_TIME", 3)
+    monkeypatch.setattr(sp, "PART_BLOCKS", 1)
+    x, y = unlike(12, 10), unlike(13, 12)
+    y = np.concatenate([y, y, y[:6]])
+    names = [f"t{k}" for k in np.random.default_rng(14).permutation(len(y))]
+    frame = lambda ids, v: spark.createDataFrame([(n, [None if np.isnan(p).any() else p.tolist() for p in w]) for n, w in zip(ids, v, strict=True)], "struct_id string, points array<array<double>>")
+    order = np.argsort(names)
+    rmsd, which = of_all(x, y[order])
+    got = {r.struct_id: r for r in sp.best_templates(frame([f"x{k}" for k in range(10)], x), frame(names, y), 4).collect()}
+    for k in range(10):
+        assert got[f"x{k}"].template == names[order[which[k]]] and got[f"x{k}"].catalytic_constellation_rmsd == pytest.approx(rmsd[k], abs=1e-9)
+
+
 def test_divergence_of_panel_residues(spark):
     """Gaps in the alignment, missing residues, numbers of the file, pairs that are not looked at."""
     r = random.Random(3)

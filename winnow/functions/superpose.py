@@ -6,19 +6,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from winnow.functions.geometry import sequences
 from winnow.functions.seq import DDXXD, DDXXD_OFFSETS, NSE_DTE, NSE_DTE_OFFSETS, coordinating, locate
 from winnow.operators.alignment import Scores, align_places
+from winnow.operators.similarity import packed
+from winnow.store import stored
 
 # The atoms of a constellation's residues.
 CONSTELLATION = ("CA", "CB")
 #: Points of a constellation: a place for each slot and atom.
 PLACES = (len(DDXXD_OFFSETS) + len(NSE_DTE_OFFSETS)) * len(CONSTELLATION)
-#: Structures and templates in one group.
-AT_A_TIME, MOST_TASKS = 2048, 20_000
+#: Structures and templates in one packed block, and blocks of templates in one part; templates and pairs that are compared at once.
+AT_A_TIME, PART_BLOCKS, COLUMNS_AT_A_TIME, PAIRS_AT_A_TIME = 4096, 8, 512, 1 << 15
 #: The alignment that anchors a superposition: match 2, mismatch -1, gaps -10 and -0.5, all doubled.
 ANCHOR = Scores(opening=-20, extend=-1, match=4, mismatch=-2)
 
@@ -83,38 +87,45 @@ def constellations(atoms: DataFrame) -> DataFrame:
     return m.select("struct_id", F.transform(F.sequence(F.lit(0), F.lit(PLACES - 1)), lambda i: F.col("m")[i]).alias("points"))
 
 
-def _array(points: pd.Series) -> np.ndarray:
-    """Rows of points to (row, point, 3), NaN where one is missing."""
-    nothing = [np.nan] * 3
-    return np.array([[nothing if p is None else list(p) for p in row] for row in points], float).reshape(len(points), -1, 3)
+def _at_most(c: np.ndarray) -> np.ndarray:
+    """Of covariances c (pairs, 3, 3) a number not below the trace that any rotation gives them, near it for most.
 
-
-def _spread(x: np.ndarray) -> np.ndarray:
-    """The distances of all points of each set, which no superposition changes."""
-    i, j = np.triu_indices(x.shape[1], 1)
-    return np.sqrt(((x[:, i] - x[:, j]) ** 2).sum(2))
-
-
-def best_of(x: np.ndarray, y: np.ndarray, digits: int = 9) -> tuple[np.ndarray, np.ndarray]:
+    With the singular values s, the last with the sign of the determinant, that trace is t = s1 + s2 + s3, so
+    t^2 = |c|^2 + 2 e and e^2 = |cofactors|^2 + 2 det t; t is between |c| / sqrt(3) and |c| sqrt(3).
+    """
+    u, v, w = c[:, 0].T, c[:, 1].T, c[:, 2].T
+    cross = lambda p, q: (p[1] * q[2] - p[2] * q[1], p[2] * q[0] - p[0] * q[2], p[0] * q[1] - p[1] * q[0])
+    vw, wu, uv = cross(v, w), cross(w, u), cross(u, v)
+    size = (c * c).sum((1, 2))
+    minors = sum(m * m for row in (vw, wu, uv) for m in row)
+    det = u[0] * vw[0] + u[1] * vw[1] + u[2] * vw[2]
+    up, least = np.sqrt(3 * size), np.sqrt(size / 3)
+    for _ in range(2):
+        up = np.minimum(up, np.sqrt(size + 2 * np.sqrt(np.maximum(minors + 2 * det * np.where(det < 0, least, up), 0))))
+    return up
+
+
+def best_of(x: np.ndarray, y: np.ndarray, digits: int = 9, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Of each set x the least RMSD to any set y and which that is (the first of those equal to so many digits), -1 where none shares three points.
 
-    The residuals e of a superposition of n points change no distance by more than |e_i| + |e_j|, so its squared RMSD is at least
-    the sum of the squared differences of distances by 2 n (n - 1).  Each set meets first the one with the least bound, and then
-    those only whose bound is below what it has, or no more above it than a rounding.
+    n times the squared RMSD is the sum of the squares of both sets about their centres, less twice the greatest trace that a rotation
+    gives their covariance C.  That is at most sqrt(3) |C|, which leaves few pairs; of these a narrower bound leaves about one, which is
+    superposed.  C comes of products in single precision, whose error is added to the bounds.  The y that have the same points meet the
+    x together: these are centred over the points shared, so nothing is left to subtract for a pair.
+    known: what each x has met elsewhere; then -1 is also where no y is as near to so many digits.
     """
-    dx, dy = _spread(x), _spread(y)
-    shared = np.isfinite(x).all(2).astype(float) @ np.isfinite(y).all(2).astype(float).T
-    ok_x, ok_y = np.isfinite(dx).astype(float), np.isfinite(dy).astype(float)
-    vx, vy = np.nan_to_num(dx), np.nan_to_num(dy)
-    gap = (vx * vx) @ ok_y.T + ok_x @ (vy * vy).T - 2 * vx @ vy.T
-    bound = np.sqrt(np.maximum(gap, 0) / np.maximum(2 * shared * (shared - 1), 1)) * (1 - 1e-9) - 1e-6
-    bound[shared < 3] = np.inf
-    best, which = np.full(len(x), np.inf), np.full(len(x), -1)
+    fx, fy = np.isfinite(x).all(2), np.isfinite(y).all(2)
+    x0, y0 = np.where(fx[..., None], x, 0.0), np.where(fy[..., None], y, 0.0)
+    scale = max(np.abs(x0).max(initial=0), np.abs(y0).max(initial=0)) or 1.0
+    x0, y0 = x0 / scale, y0 / scale
+    best, which = np.full(len(x), np.inf) if known is None else known.astype(float), np.full(len(x), len(y))
+    masks, mask_of = np.unique(fx, axis=0, return_inverse=True) if len(x) else (fx, np.zeros(0, int))
+    mask_of = mask_of.reshape(-1)
 
     def meet(i: np.ndarray, j: np.ndarray) -> None:
         for lo in range(0, len(i), 1 << 14):
             p, q = i[lo : lo + (1 << 14)], j[lo : lo + (1 << 14)]
-            used = np.isfinite(x[p]).all(2) & np.isfinite(y[q]).all(2)
+            used = fx[p] & fy[q]
             rmsd = superpose(y[q], x[p], used)[2]
             order = np.lexsort((q, rmsd.round(digits), p))
             p, q, rmsd = p[order], q[order], rmsd[order]
@@ -124,11 +135,71 @@ def best_of(x: np.ndarray, y: np.ndarray, digits: int = 9) -> tuple[np.ndarray,
             better = (new < old) | ((new == old) & (q < which[p]))
             best[p[better]], which[p[better]] = rmsd[better], q[better]
 
-    if len(y):
-        some = np.flatnonzero(np.isfinite(bound).any(1))
-        meet(some, bound[some].argmin(1))
-        meet(*np.nonzero((bound <= best[:, None] + 10.0**-digits) & np.isfinite(bound)))
-    return np.where(which >= 0, best, np.nan), which
+    def most(i: np.ndarray) -> np.ndarray:
+        """The squared RMSD, to scale, up to which one is met: no more above the least so far than a rounding."""
+        return ((best[i] + 1.1 * 10.0**-digits + 1e-6) / scale) ** 2
+
+    def meet_tile(cols: np.ndarray, mask: np.ndarray) -> None:
+        """All x and some y that have the points of one mask."""
+        used = fx & mask
+        at = np.flatnonzero(used.sum(1) >= 3)
+        n = used[at].sum(1).astype(float)
+        a = x0[at] * mask[:, None]
+        a = np.where(used[at][..., None], a - (a.sum(1) / n[:, None])[:, None], 0.0)
+        b = y0[cols] - (y0[cols].sum(1) / max(1, mask.sum()))[:, None] * mask[:, None]
+        own = (a * a).sum((1, 2))
+        shared = (masks & mask).astype(float)
+        other = shared @ (b * b).sum(2).T  # of each mask of x the squares of y over the points shared
+        for axis in range(3):
+            other -= (shared @ b[..., axis].T) ** 2 / np.maximum(shared.sum(1), 1)[:, None]
+        slack = 2e-5 * (own + (b * b).sum((1, 2)).max())  # products of single precision, on twice the trace
+        other = other.astype(np.float32)
+        left = np.ascontiguousarray(a.transpose(2, 0, 1), np.float32)
+        right = np.ascontiguousarray(b.transpose(1, 2, 0), np.float32).reshape(len(mask), -1)
+        step = max(1, PAIRS_AT_A_TIME // len(cols))
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        room = [np.empty((3, min(step, len(at)), 3 * len(cols)), np.float32), *(np.empty((min(step, len(at)), len(cols)), np.float32) for _ in range(3))]
+        for lo in range(0, len(at), step):
+            part = slice(lo, lo + step)
+            rows = at[part]
+            c, size, e, square = room[0][:, : len(rows)], *(r[: len(rows)] for r in room[1:])
+            np.matmul(left[:, part], right, out=c)
+            c = c.reshape(3, len(rows), 3, len(cols))
+            np.multiply(c[0, :, 0], c[0, :, 0], out=size)
+            for k in range(1, 9):
+                np.multiply(c[k // 3, :, k % 3], c[k // 3, :, k % 3], out=square)
+                size += square
+            np.take(other, mask_of[rows], axis=0, out=e)
+            new = np.flatnonzero(np.isinf(best[rows]))
+            if len(new):
+                meet(rows[new], cols[(e[new] - np.sqrt(12 * size[new])).argmin(1)])
+            e += np.maximum(own[part] - slack[part] - n[part] * most(rows), -1e30)[:, None].astype(np.float32)
+            np.maximum(e, 0, out=e)
+            e *= e
+            size *= 12
+            i, j = np.divmod(np.flatnonzero(e <= size), len(cols))
+            if len(i):
+                bound = own[lo + i] + other[mask_of[rows[i]], j] - slack[lo + i] - 2 * _at_most(c[:, i, :, j].astype(float))
+                near = bound <= n[lo + i] * most(rows[i])
+                found.append((rows[i[near]], cols[j[near]], (bound / n[lo + i])[near]))
+        if found:  # of each x first the one with the least bound, then those that this doesn't rule out
+            i, j, bound = (np.concatenate(v) for v in zip(*found, strict=True))
+            order = np.lexsort((bound, i))
+            i, j, bound = i[order], j[order], bound[order]
+            first = np.append(True, i[1:] != i[:-1])[: len(i)]
+            meet(i[first], j[first])
+            rest = ~first & (bound <= most(i))
+            meet(i[rest], j[rest])
+
+    if len(x) and len(y):
+        kinds, kind_of = np.unique(fy, axis=0, return_inverse=True)
+        order = np.argsort(kind_of.reshape(-1), kind="stable")
+        ends = np.cumsum(np.bincount(kind_of.reshape(-1)))
+        for mask, end, begin in zip(kinds, ends, [0, *ends[:-1]], strict=True):
+            for lo in range(begin, end, COLUMNS_AT_A_TIME):
+                meet_tile(order[lo : min(end, lo + COLUMNS_AT_A_TIME)], mask)
+    found = which < len(y)
+    return np.where(found, best, np.nan), np.where(found, which, -1)
 
 
 def best_templates(found: DataFrame, templates: DataFrame, digits: int = 9) -> DataFrame:
@@ -136,23 +207,33 @@ def best_templates(found: DataFrame, templates: DataFrame, digits: int = 9) -> D
 
     RMSDs that are the same to so many digits are ties; the RMSD is that of the template named.
 
-    Structures and templates meet in blocks of bounded size; NULL where no template shares three points.
+    Both sides are dealt and packed once, in blocks of bounded size; a task holds one of structures while a part of the templates
+    streams past.  NULL where no template shares three points.
     """
-    blocks = lambda n: max(1, -(-n // AT_A_TIME))
-    rows, cols = blocks(found.count()), blocks(templates.count())
-    deal = lambda n: F.pmod(F.xxhash64(F.lit("block"), "struct_id"), F.lit(n)).cast("int")
-    a = found.withColumn("i", deal(rows)).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(cols - 1)))).withColumn("side", F.lit(0))
-    b = templates.withColumn("j", deal(cols)).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(rows - 1)))).withColumn("side", F.lit(1))
-    both = a.select("i", "j", "side", "struct_id", "points").union(b.select("i", "j", "side", "struct_id", "points"))
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        x, y = group[group["side"] == 0], group[group["side"] == 1].sort_values("struct_id")
-        rmsd, which = best_of(_array(x["points"]), _array(y["points"]), digits) if len(x) and len(y) else (np.zeros(0), np.zeros(0, int))
-        names = y["struct_id"].to_numpy()
-        good = which >= 0
-        return pd.DataFrame({"struct_id": x["struct_id"].to_numpy()[: len(which)][good], "rmsd": rmsd[good], "template": names[which[good]]})
-
-    near = both.repartition(min(MOST_TASKS, 2 * rows * cols), "i", "j").groupBy("i", "j").applyInPandas(run, "struct_id string, rmsd double, template string")
+    kind = found.schema["struct_id"].dataType.simpleString()
+    found = stored(found.select("struct_id", "points"))
+    templates = stored(templates.groupBy("points").agg(F.min("struct_id").alias("struct_id")))  # of equal ones the others are never named
+    nothing = F.array(*[F.lit(None).cast("double")] * 3)
+    flat = lambda df: df.select(F.col("struct_id").alias("id"), F.flatten(F.transform("points", lambda p: F.coalesce(p.cast("array<double>"), nothing))).alias("v"))
+    parts = lambda n, rows: max(1, -(-n // rows))
+    a = packed(flat(found), parts(found.count(), AT_A_TIME), AT_A_TIME, kind)
+    b = packed(flat(templates), parts(templates.count(), PART_BLOCKS * AT_A_TIME), AT_A_TIME, kind).select(F.col("ids").alias("names"), F.col("v").alias("tv"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: dict[int, np.ndarray] = {}
+        points = lambda v, n: np.frombuffer(v.as_buffer(), float).reshape(n, -1, 3)
+        for batch in batches:
+            for i, block in enumerate(batch["block"].to_pylist()):
+                ids, names = batch["ids"][i].values, batch["names"][i].values
+                by_name = pc.sort_indices(names).to_numpy()
+                known = met.setdefault(block, np.full(len(ids), np.inf))
+                rmsd, which = best_of(points(batch["v"][i], len(ids)), points(batch["tv"][i], len(names))[by_name], digits, known)
+                good = np.flatnonzero(which >= 0)
+                known[good] = rmsd[good]
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(good)), pa.array(rmsd[good]), names.take(pa.array(by_name[which[good]]))], ["struct_id", "rmsd", "template"])
+
+    pairs = b.crossJoin(a.hint("shuffle_replicate_nl"))  # neither side is sent to all tasks or shuffled again: a task reads its two parts
+    near = pairs.mapInArrow(run, f"struct_id {kind}, rmsd double, template {kind}")
     near = near.groupBy("struct_id").agg(F.min(F.struct(F.round("rmsd", digits).alias("k"), "template", "rmsd")).alias("b"))
     return found.select("struct_id").join(near, "struct_id", "left").select("struct_id", F.col("b.rmsd").alias("catalytic_constellation_rmsd"), F.col("b.template").alias("template"))
 
